@@ -13,10 +13,10 @@ from segwatch.functions.columns import is_missing, nan_to_null, require_columns
 from segwatch.functions.pvalue import with_ks_p_value
 from segwatch.functions.storage import cut
 
-SAMPLE_ROWS = 200_000  # rows looked at to place bucket bounds; they affect balance, never the result
-ROWS_PER_BUCKET = 1_000_000
 MIN_BUCKETS = 256
+BUCKETS_PER_ROOT = 1
 MAX_BUCKET_ROWS = 1 << 18  # features x buckets: what is broadcast, about 16 MB
+SAMPLES_PER_BUCKET = 32  # rows looked at to place the bounds; they affect balance, never the result
 
 
 def both_sides(reference: DataFrame, current: DataFrame, features: Sequence[str], side: str) -> DataFrame:
@@ -37,21 +37,22 @@ def drop_missing(df: DataFrame, features: Sequence[str], keep: Sequence[str] = (
 
 
 def _bounds(df: DataFrame, features: Sequence[str]) -> list[list[float]]:
-    """Roughly equally filled, strictly increasing bucket bounds of each feature, with open ends."""
+    """Roughly equally filled, strictly increasing bucket bounds of each feature, with open ends.
+
+    Without drift the largest gap is about 1 / sqrt(rows); buckets of no more weight than that let
+    most of them be ruled out after counting.
+    """
     rows = df.count()
-    buckets = max(MIN_BUCKETS, math.ceil(rows / ROWS_PER_BUCKET))
-    buckets = max(2, min(buckets, MAX_BUCKET_ROWS // len(features)))
-    looked_at = df if rows <= SAMPLE_ROWS else df.sample(SAMPLE_ROWS / rows, seed=0)
+    buckets = min(max(MIN_BUCKETS, math.isqrt(rows) * BUCKETS_PER_ROOT), max(2, MAX_BUCKET_ROWS // len(features)))
+    wanted = SAMPLES_PER_BUCKET * buckets
+    values = df.select(*(nan_to_null(f).alias(f"v{i}") for i, f in enumerate(features)))
+    looked_at = values if rows <= wanted else values.sample(wanted / rows, seed=0)
     shares = [i / buckets for i in range(1, buckets)]
-    found = looked_at.agg(*(
-        F.percentile_approx(nan_to_null(f), shares, 10 * buckets).alias(f"b{i}")
-        for i, f in enumerate(features)
-    )).head()
-    bounds = []
-    for i in range(len(features)):
-        inner = sorted({b for b in found[f"b{i}"] or () if math.isfinite(b)}) or [0.0]
-        bounds.append([-math.inf, *inner, math.inf])
-    return bounds
+    found = looked_at.approxQuantile(values.columns, shares, 1 / (4 * buckets))
+    return [
+        [-math.inf, *(sorted({b for b in inner if math.isfinite(b)}) or [0.0]), math.inf]
+        for inner in found
+    ]
 
 
 def _bucketed(df: DataFrame, features: Sequence[str], side: str, bounds: list[list[float]]) -> DataFrame:
@@ -78,8 +79,8 @@ def ks_by_side(df: DataFrame, features: Sequence[str], side: str) -> DataFrame:
 
     1. Count both sides per bucket of values. The combined counts are features x buckets rows, and
        give the gap at every bucket edge and an upper limit of it inside every bucket.
-    2. Only buckets whose limit exceeds the largest gap already found can hold a larger one. Their
-       rows are counted per distinct value (combined on the map side, so a value of any frequency
+    2. Only buckets of several values whose limit exceeds the largest gap already found can hold a
+       larger one. Their rows are counted per distinct value (combined on the map side, so a value of any frequency
        travels as one row per task) and summed up in order within the bucket.
 
     Missing values are dropped per feature. Raises ``ValueError`` when a side has none left.
@@ -91,7 +92,8 @@ def ks_by_side(df: DataFrame, features: Sequence[str], side: str) -> DataFrame:
         F.count_if(F.col("is_reference")).alias("n_ref"),
         F.count_if(~F.col("is_reference")).alias("n_curr"),
     ]
-    histogram = cut(long.groupBy("f", "bucket").agg(*counted))
+    one_value = (F.min("value") == F.max("value")).alias("one_value")
+    histogram = cut(long.groupBy("f", "bucket").agg(*counted, one_value))
 
     totals = histogram.groupBy("f").agg(F.sum("n_ref").alias("all_ref"), F.sum("n_curr").alias("all_curr"))
     found = {r["f"]: (r["all_ref"], r["all_curr"]) for r in totals.collect()}
@@ -114,7 +116,8 @@ def ks_by_side(df: DataFrame, features: Sequence[str], side: str) -> DataFrame:
         # Inside a bucket the gap is widest if one side's values all come first.
         .withColumn("inside", F.greatest(gap("upto_ref", "from_curr"), gap("from_ref", "upto_curr")))
     )
-    open_buckets = F.broadcast(edges.where(F.col("inside") > F.col("at_edge")).select("f", "bucket", "from_ref", "from_curr"))
+    still_open = ~F.col("one_value") & (F.col("inside") > F.col("at_edge"))
+    open_buckets = F.broadcast(edges.where(still_open).select("f", "bucket", "from_ref", "from_curr"))
 
     distinct = (
         long.join(open_buckets.select("f", "bucket"), ["f", "bucket"], "left_semi")

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from segwatch.functions.columns import is_missing, key_digest, require_columns
 
 DIGEST_DIGITS = 32
+FEW_ROWS = 8
 SMALL_RANGE = 10_000  # rows that a top-k may bring to one task
 PIVOTS_PER_PASS = 16
 
@@ -32,6 +33,8 @@ def bounded_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -
     """
     require_columns(df, keys)
     digest = key_digest(keys, seed)
+    if n <= FEW_ROWS:
+        return df.withColumn("__digest", digest).orderBy("__digest", *keys).limit(n).drop("__digest")
     # Hexadecimal text of one length sorts like the number. Its magnitude is the number of digits
     # after the leading zeros and the first of them.
     digits = F.ltrim(digest, F.lit("0"))
