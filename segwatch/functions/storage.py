@@ -1,11 +1,14 @@
-"""Cutting lineage through the folder every executor of the cluster can reach."""
+"""Small tables made on the driver, and lineage cut through the folder all executors can reach."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -35,3 +38,12 @@ def cut(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A table of a few rows inside the plan itself; no Python worker is needed to read it."""
+    fields = T.StructType.fromDDL(schema)
+    if not rows:
+        return spark.createDataFrame([], fields)
+    columns = {f.name: pa.array(values) for f, values in zip(fields, zip(*rows))}
+    return spark.createDataFrame(pa.table(columns), schema=fields)

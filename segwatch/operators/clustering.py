@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from segwatch.functions.columns import any_missing, as_double, is_missing, require_columns
 from segwatch.functions.distance import nearest, squared_distance
+from segwatch.functions.storage import local_table
 from segwatch.operators.rows import bounded_sample
 from segwatch.operators.scaling import Scaler, column_moments
 
@@ -47,7 +48,7 @@ class Clustering:
     def to_table(self, spark: SparkSession) -> DataFrame:
         rows = [(i, *map(float, c)) for i, c in enumerate(self.centroids)]
         names = ", ".join(f"`{f}` double" for f in self.features)
-        return spark.createDataFrame(rows, f"cluster int, {names}")
+        return local_table(spark, rows, f"cluster int, {names}")
 
 
 def _check_points(points: Points, width: int) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from segwatch.functions.columns import is_missing, nan_to_null, require_columns
 from segwatch.functions.pvalue import with_ks_p_value
-from segwatch.functions.storage import cut
+from segwatch.functions.storage import cut, local_table
 
 MIN_BUCKETS = 256
 BUCKETS_PER_ROOT = 1
@@ -100,9 +100,8 @@ def ks_by_side(df: DataFrame, features: Sequence[str], side: str) -> DataFrame:
     for i, name in enumerate(features):
         if 0 in found.get(i, (0, 0)):
             raise ValueError(f"Feature {name} has no values on one side: {found.get(i, (0, 0))}")
-    names = df.sparkSession.createDataFrame(
-        [(i, name, *found[i]) for i, name in enumerate(features)], "f int, feature string, all_ref bigint, all_curr bigint"
-    )
+    rows = [(i, name, *found[i]) for i, name in enumerate(features)]
+    names = local_table(df.sparkSession, rows, "f int, feature string, all_ref bigint, all_curr bigint")
 
     def gap(ref: str, curr: str):
         return F.abs(F.col(ref) / F.col("all_ref") - F.col(curr) / F.col("all_curr"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segwatch.functions.columns import as_double, nan_to_null, require_columns
+from segwatch.functions.storage import local_table
 
 SCALER_SCHEMA = "feature string, position int, mean double, std double, scale double"
 
@@ -41,7 +42,7 @@ class Scaler:
             (name, i, self.means[i], self.stds[i], self.scales[i])
             for i, name in enumerate(self.features)
         ]
-        return spark.createDataFrame(rows, SCALER_SCHEMA)
+        return local_table(spark, rows, SCALER_SCHEMA)
 
     @classmethod
     def from_table(cls, table: DataFrame) -> Scaler:

@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from segwatch.functions.storage import local_table
 from segwatch.operators.clustering import Clustering
 from segwatch.operators.history import (
     ALIASES,
@@ -64,7 +65,7 @@ class RunLog:
         rows.select(*columns).write.format(self.fmt).mode("append").save(self.path(name))
 
     def _append_local(self, name: str, rows: Sequence[tuple]) -> None:
-        self.append(name, self.spark.createDataFrame(rows, SCHEMAS[name]).coalesce(1))
+        self.append(name, local_table(self.spark, rows, SCHEMAS[name]).coalesce(1))
 
     def next_seq(self) -> int:
         """A number larger than all this log handed out before, across processes by the clock."""
@@ -105,7 +106,7 @@ class RunLog:
             for position, (feature, value) in enumerate(zip(clustering.features, centroid))
         ]
         self._append_local("centroids", rows)
-        wanted = self.spark.createDataFrame([(model,)], "model string")
+        wanted = local_table(self.spark, [(model,)], "model string")
         known = self.table("versions").where(F.col("model") == model)
         version = next_versions(wanted, known).head()["version"]
         self._append_local("versions", [(model, version, run_id)])

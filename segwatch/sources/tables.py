@@ -27,7 +27,9 @@ def _plain(path: str) -> str:
     return unquote(parts.netloc + parts.path).rstrip("/")
 
 
-def _refuse_overlap(path: str, sources: Sequence[str]) -> None:
+def _refuse_overlap(path: str, df: DataFrame, sources: Sequence[str] | None) -> None:
+    if sources is None:
+        sources = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
     target = _plain(path)
     for source in map(_plain, sources):
         if source == target or source.startswith(target + "/") or target.startswith(source + "/"):
@@ -40,13 +42,14 @@ def write_table(
     """Replace the table at ``path``.
 
     Overwriting a plain file table that the same plan reads would delete the input before it is
-    read, so that is refused. ``sources`` are the input paths; by default Spark names them.
+    read, so that is refused. ``sources`` are the input paths; by default the folders of the files
+    that Spark names for ``df``.
     """
-    _refuse_overlap(path, df.inputFiles() if sources is None else sources)
+    _refuse_overlap(path, df, sources)
     df.write.format(fmt).mode("overwrite").save(path)
 
 
 def write_csv(df: DataFrame, path: str, sources: Sequence[str] | None = None) -> None:
     """Replace the CSV table at ``path``: a header row in each file, no index column."""
-    _refuse_overlap(path, df.inputFiles() if sources is None else sources)
+    _refuse_overlap(path, df, sources)
     df.write.option("header", True).mode("overwrite").csv(path)

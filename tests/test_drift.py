@@ -1,0 +1,167 @@
+import math
+
+import numpy as np
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from reference_math import exact_p, exact_p_equal
+from reference_math import ks as numpy_ks
+
+from segwatch.functions.storage import local_table
+from segwatch.functions.pvalue import exact_one_sample, exact_two_sample
+from segwatch.operators import drift
+from segwatch.operators.drift import (
+    drift_metrics,
+    drift_report,
+    drift_report_by_side,
+    drifted_features,
+    drop_missing,
+    ks_statistic,
+    with_p_value,
+    with_verdict,
+)
+
+
+def column(spark, values, parts=3):
+    return local_table(spark, [(float(v),) for v in values], "v double").repartition(parts)
+
+
+def statistic(spark, a, b):
+    return ks_statistic(column(spark, a), column(spark, b), ["v"]).head()
+
+
+@pytest.mark.parametrize("buckets", [256, 4])
+def test_statistic_equals_numpy_with_ties_and_hot_values(spark, monkeypatch, buckets):
+    monkeypatch.setattr(drift, "MIN_BUCKETS", buckets)
+    monkeypatch.setattr(drift, "BUCKETS_PER_ROOT", 0)
+    rng = np.random.default_rng(0)
+    cases = [
+        (rng.standard_normal(300), rng.standard_normal(200)),
+        (rng.standard_normal(300), rng.standard_normal(200) + 1.0),
+        (rng.integers(0, 4, 100).astype(float), rng.integers(0, 5, 77).astype(float)),
+        (np.r_[np.zeros(200), rng.random(100)], np.r_[np.zeros(20), rng.random(80)]),
+        (np.array([-np.inf, 1.0, np.inf]), np.array([0.0, np.inf])),
+    ]
+    for a, b in cases:
+        row = statistic(spark, a.tolist(), b.tolist())
+        assert row["ks_stat"] == pytest.approx(numpy_ks(a, b), abs=1e-15)
+        assert (row["n_ref"], row["n_curr"]) == (len(a), len(b))
+
+
+def test_known_values(spark):
+    assert statistic(spark, [1.0, 1.0, 2.0], [1.0, 2.0, 2.0])["ks_stat"] == pytest.approx(1 / 3)
+    same = with_p_value(ks_statistic(column(spark, range(10)), column(spark, range(10)), ["v"])).head()
+    assert (same["ks_stat"], same["p_value"]) == (0.0, 1.0)
+    apart = with_p_value(ks_statistic(column(spark, range(5)), column(spark, range(10, 15)), ["v"])).head()
+    assert apart["ks_stat"] == 1.0 and apart["p_value"] == pytest.approx(2 / math.comb(10, 5))
+
+
+def test_missing_values_are_dropped_per_feature_and_side(spark):
+    ref = spark.createDataFrame([(1.0, 1.0), (None, 2.0), (float("nan"), 3.0), (4.0, 4.0)], "a double, b double")
+    curr = spark.createDataFrame([(1.0, None), (4.0, 5.0)], "a double, b double")
+    rows = {r["feature"]: r for r in ks_statistic(ref, curr, ["a", "b"]).collect()}
+    assert (rows["a"]["n_ref"], rows["a"]["n_curr"], rows["a"]["ks_stat"]) == (2, 2, 0.0)
+    assert (rows["b"]["n_ref"], rows["b"]["n_curr"], rows["b"]["ks_stat"]) == (4, 1, 1.0)
+    assert drop_missing(ref, ["a", "b"]).count() == 6
+
+
+def test_side_without_values_raises(spark):
+    full, empty = column(spark, [1.0] * 10), column(spark, [])
+    for ref, curr in ((full, empty), (empty, full), (full, column(spark, [float("nan")]))):
+        with pytest.raises(ValueError, match="no values"):
+            ks_statistic(ref, curr, ["v"])
+
+
+def test_report_predicate_and_metrics(spark):
+    rng = np.random.default_rng(4)
+    ref = spark.createDataFrame([(float(a), float(b)) for a, b in rng.standard_normal((400, 2))], "a double, b double")
+    curr = ref.select((F.col("a") + 2.0).alias("a"), "b")
+    report = drift_report(ref, curr, ["a", "b"])
+    assert {r["feature"]: r["drifted"] for r in report.collect()} == {"a": True, "b": False}
+    assert [r["feature"] for r in drifted_features(report).collect()] == ["a"]
+    metrics = {r["key"]: r["value"] for r in drift_metrics(report).collect()}
+    assert set(metrics) == {"drift_ks_a", "drift_pval_a", "drift_ks_b", "drift_pval_b", "n_drifted_features"}
+    assert metrics["n_drifted_features"] == 1.0 and metrics["drift_ks_b"] == 0.0
+    both = ref.withColumn("s", F.lit(True)).unionAll(curr.withColumn("s", F.lit(False)))
+    by_side = drift_report_by_side(both, ["a", "b"], "s")
+    assert sorted(by_side.collect()) == sorted(report.collect())
+
+
+def test_threshold_itself_is_not_drift(spark):
+    tests = spark.createDataFrame([("at", 0.05), ("below", 0.0499999)], "feature string, p_value double")
+    assert {r["feature"]: r["drifted"] for r in with_verdict(tests).collect()} == {"at": False, "below": True}
+
+
+def test_bucketed_statistic_equals_a_plain_window_on_given_data(spark, data):
+    from pyspark.sql import Window
+
+    events = spark.read.parquet(data("0.001", "events"))
+    sided = events.select("value", (F.col("event_type") == "click").alias("s"))
+    w = Window.orderBy("value").rangeBetween(Window.unboundedPreceding, 0)
+    everything = Window.partitionBy()
+    plain = sided.select(
+        F.abs(
+            F.sum(F.col("s").cast("int")).over(w) / F.sum(F.col("s").cast("int")).over(everything)
+            - F.sum((~F.col("s")).cast("int")).over(w) / F.sum((~F.col("s")).cast("int")).over(everything)
+        ).alias("d")
+    ).agg(F.max("d")).head()[0]
+    found = drift.ks_by_side(sided, ["value"], "s").head()["ks_stat"]
+    assert found == plain
+
+
+def test_exact_two_sample_equals_enumeration():
+    for n, m in ((1, 1), (3, 3), (4, 6), (3, 7), (5, 2)):
+        for d in sorted({abs(i / n - j / m) for i in range(n + 1) for j in range(m + 1)}):
+            assert exact_two_sample(n, m, d) == pytest.approx(exact_p(n, m, d), abs=1e-12)
+    for n, h in ((50, 7), (1000, 61), (5000, 61)):
+        assert exact_two_sample(n, n, h / n) == pytest.approx(exact_p_equal(n, h), rel=1e-9)
+    assert exact_two_sample(5000, 5000, 0.0122) == pytest.approx(0.85082, abs=1e-5)
+    assert exact_two_sample(300, 200, 0.9) == pytest.approx(exact_two_sample(200, 300, 0.9))
+
+
+def test_exact_one_sample_published_value():
+    assert exact_one_sample(1, 0.7) == pytest.approx(0.6)
+    assert exact_one_sample(10, 0.274) == pytest.approx(1 - 0.6284796154565, abs=1e-12)
+    assert exact_one_sample(20, 0.01) == 1.0 and exact_one_sample(20, 1.0) == 0.0
+
+
+def test_p_values_of_large_and_lopsided_samples(spark):
+    rows = [
+        ("series", 20_002, 20_002, 0.013), ("small", 20_000, 20_000, 0.0005), ("tail", 50_000, 50_000, 0.02),
+        ("apart", 20_000, 30_000, 1.0), ("lopsided", 1_000_000, 40, 0.2), ("huge", 10**12, 10**12, 1.5e-6),
+        ("exact", 10_000, 10_000, 0.02),
+    ]
+    found = {
+        r["feature"]: r["p_value"]
+        for r in with_p_value(spark.createDataFrame(rows, "feature string, n_ref bigint, n_curr bigint, ks_stat double")).collect()
+    }
+    assert found["small"] == pytest.approx(1.0) and found["apart"] == 0.0
+    assert found["lopsided"] == pytest.approx(exact_one_sample(40, 0.2))
+    assert found["exact"] == pytest.approx(exact_p_equal(10_000, 200), rel=1e-9)
+
+    def limit(z):
+        return 2 * sum((-1) ** (k - 1) * math.exp(-2 * (k * z) ** 2) for k in range(1, 60))
+
+    assert found["series"] == pytest.approx(limit(0.013 * math.sqrt(10_001)), abs=2e-3)
+    assert found["huge"] == pytest.approx(limit(1.5e-6 * math.sqrt(5e11)), abs=1e-6)
+    assert found["tail"] == pytest.approx(limit(0.02 * math.sqrt(25_000)), rel=0.05)
+
+
+def test_series_agrees_with_the_exact_matrix_form(spark):
+    sizes = [(2 * n, 2 * n, z / math.sqrt(n)) for n in (5_100,) for z in (0.4, 0.7, 1.0, 1.4, 1.9)]
+    df = spark.createDataFrame([(str(i), *s) for i, s in enumerate(sizes)], "feature string, n_ref bigint, n_curr bigint, ks_stat double")
+    for row in with_p_value(df).collect():
+        n = row["n_ref"] // 2
+        assert row["p_value"] == pytest.approx(exact_one_sample(n, row["ks_stat"]), abs=1e-7)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.floats(-5, 5).map(lambda v: round(v, 1)), min_size=1, max_size=40),
+    st.lists(st.floats(-5, 5).map(lambda v: round(v, 1)), min_size=1, max_size=40),
+)
+def test_statistic_properties(spark, a, b):
+    one, other = statistic(spark, a, b)["ks_stat"], statistic(spark, b, a)["ks_stat"]
+    assert one == pytest.approx(other, abs=1e-15) and 0.0 <= one <= 1.0
+    assert one == pytest.approx(numpy_ks(a, b), abs=1e-15)
