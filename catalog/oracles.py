@@ -23,7 +23,7 @@ def _scaled(where: str = "", source: str = "lineitem") -> str:
     keys = ", ".join(f"l.{k}" for k in KEYS)
     return (
         f"stats AS (SELECT {stats} FROM {source} {where}), "
-        f"scaled AS (SELECT {keys}, {xs}, md5(concat_ws('|', {keys}, '0')) AS digest FROM lineitem l, stats st)"
+        f"scaled AS (SELECT {keys}, {_sums('l.{f}', sep=', ')}, {xs}, md5(concat_ws('|', {keys}, '0')) AS digest FROM lineitem l, stats st)"
     )
 
 
@@ -94,7 +94,7 @@ def _davies_bouldin(rows: str, n: int) -> str:
 
 ROW_DISTANCE = "sqrt(" + _sums("(a.x{i} - b.x{i}) * (a.x{i} - b.x{i})") + ")"
 SAMPLED = (
-    "sampled AS (SELECT digest AS id, cluster AS own, x0, x1, x2, x3 FROM near0 "
+    "sampled AS (SELECT row_number() OVER () AS id, cluster AS own, x0, x1, x2, x3 FROM near0 "
     f"ORDER BY md5(concat_ws('|', {KEY_LIST}, '42')) LIMIT 2000)"
 )
 LABELLED = "labelled AS (SELECT cluster AS own, x0, x1, x2, x3 FROM near0)"
@@ -317,8 +317,7 @@ ORACLES: dict[str, str] = {
     "LEFT JOIN versions v ON v.model = p.model AND v.version = p.version",
     "promotions": "SELECT 'model-' || o_custkey AS model, 'champion' AS alias, CAST(o_orderkey AS VARCHAR) AS version, "
     "o_orderkey AS seq FROM orders WHERE o_orderpriority <> '1-URGENT' AND o_totalprice / 1000000.0 >= 0.35",
-    "batch_scoring": f"{ASSIGNED} SELECT {', '.join(f'near0.{k}' for k in KEYS)}, {FEATURE_LIST}, cluster FROM near0 "
-    f"JOIN lineitem USING ({KEY_LIST})",
+    "batch_scoring": f"{ASSIGNED} SELECT {KEY_LIST}, {FEATURE_LIST}, cluster FROM near0",
     "evaluation": f"{EVALUATED} SELECT 'inertia' AS key, 1.0::DOUBLE AS value UNION ALL SELECT 'eval_inertia', 1.0 UNION ALL "
     "SELECT 'eval_inertia_on_data', (SELECT round(sum(distance), 3) FROM near0) UNION ALL "
     "SELECT 'eval_silhouette_score', (SELECT round(silhouette, 3) FROM sil) UNION ALL "
