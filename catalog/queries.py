@@ -23,7 +23,7 @@ from segwatch.operators.drift import (
 )
 from segwatch.operators.quality import davies_bouldin, inertia, silhouette
 from segwatch.operators.rows import before_rank, bounded_sample, head, split_at_rank
-from segwatch.operators.scaling import Scaler, apply_scaler, column_moments, fit_scaler, scale_features, with_scale
+from segwatch.operators.scaling import apply_scaler, column_moments, fit_scaler, scale_features, with_scale
 from segwatch.operators.summary import row_count, value_counts
 from segwatch.plans.jobs import CANDIDATE, CHAMPION, evaluate, run_monitoring, run_scoring, train
 from segwatch.plans.runlog import RunLog

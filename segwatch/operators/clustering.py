@@ -252,7 +252,7 @@ def lloyd(
     return Clustering(tuple(features), tuple(map(tuple, state.points.tolist())), state.cost, state.steps)
 
 
-def _spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Use all cores for an iterative job on a scan of few partitions; leave larger scans alone."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
@@ -305,8 +305,10 @@ def fit_kmeans(
         raise ValueError("k and n_init must be at least 1")
     require_columns(df, [*features, *(keys or ())])
     extra = [c for c in keys or () if c not in features]
-    table = _spread(df.select(*extra, *(as_double(f).alias(f) for f in features)))
-    table = table.persist(StorageLevel.MEMORY_AND_DISK)
+    table = df.select(*extra, *(as_double(f).alias(f) for f in features))
+    mine = not (df.storageLevel.useMemory or df.storageLevel.useDisk)  # else the caller keeps it cached
+    if mine:
+        table = spread(table).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         moments = column_moments(table, features).collect()
         rows = moments[0]["n_rows"]
@@ -324,7 +326,8 @@ def fit_kmeans(
             starts = [min(scored, key=lambda s: s.cost).points.tolist()]
         best = min(_run(table, features, starts, max_iter, limit), key=lambda s: s.cost)
     finally:
-        table.unpersist()
+        if mine:
+            table.unpersist()
     if len(best.points) < k:
         log.warning("found %d distinct centroids instead of %d", len(best.points), k)
     return Clustering(tuple(features), tuple(map(tuple, best.points.tolist())), best.cost, best.steps)

@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segwatch.functions.columns import is_missing, nan_to_null, require_columns
@@ -50,7 +50,7 @@ def _bounds(df: DataFrame, features: Sequence[str]) -> list[list[float]]:
     shares = [i / buckets for i in range(1, buckets)]
     found = looked_at.approxQuantile(values.columns, shares, 1 / (4 * buckets))
     return [
-        [-math.inf, *(sorted({b for b in inner if math.isfinite(b)}) or [0.0]), math.inf]
+        [-math.inf, *(sorted({b + 0.0 for b in inner if math.isfinite(b)}) or [0.0]), math.inf]
         for inner in found
     ]
 
@@ -60,8 +60,9 @@ def _bucketed(df: DataFrame, features: Sequence[str], side: str, bounds: list[li
     values = [f"__v{i}" for i in range(len(features))]
     buckets = [f"__b{i}" for i in range(len(features))]
     wide = df.select(F.col(side).alias("is_reference"), *(
-        # Bucketizer wants a number in every row; missing values are filtered below.
-        F.when(is_missing(f), F.lit(math.nan)).otherwise(F.col(f).cast("double")).alias(v)
+        # Bucketizer wants a number in every row; missing values are filtered below. Adding zero turns
+        # -0.0 into 0.0, which are equal but which its binary search would keep apart.
+        F.when(is_missing(f), F.lit(math.nan)).otherwise(F.col(f).cast("double") + F.lit(0.0)).alias(v)
         for f, v in zip(features, values)
     ))
     bucketizer = Bucketizer(splitsArray=bounds, inputCols=values, outputCols=buckets, handleInvalid="keep")
@@ -80,8 +81,8 @@ def ks_by_side(df: DataFrame, features: Sequence[str], side: str) -> DataFrame:
     1. Count both sides per bucket of values. The combined counts are features x buckets rows, and
        give the gap at every bucket edge and an upper limit of it inside every bucket.
     2. Only buckets of several values whose limit exceeds the largest gap already found can hold a
-       larger one. Their rows are counted per distinct value (combined on the map side, so a value of any frequency
-       travels as one row per task) and summed up in order within the bucket.
+       larger one. Their rows are counted per distinct value (combined on the map side, so a value
+       of any frequency travels as one row per task) and summed up in order within the bucket.
 
     Missing values are dropped per feature. Raises ``ValueError`` when a side has none left.
     """
@@ -92,29 +93,34 @@ def ks_by_side(df: DataFrame, features: Sequence[str], side: str) -> DataFrame:
         F.count_if(F.col("is_reference")).alias("n_ref"),
         F.count_if(~F.col("is_reference")).alias("n_curr"),
     ]
-    one_value = (F.min("value") == F.max("value")).alias("one_value")
-    histogram = cut(long.groupBy("f", "bucket").agg(*counted, one_value))
 
-    totals = histogram.groupBy("f").agg(F.sum("n_ref").alias("all_ref"), F.sum("n_curr").alias("all_curr"))
-    found = {r["f"]: (r["all_ref"], r["all_curr"]) for r in totals.collect()}
-    for i, name in enumerate(features):
-        if 0 in found.get(i, (0, 0)):
-            raise ValueError(f"Feature {name} has no values on one side: {found.get(i, (0, 0))}")
-    rows = [(i, name, *found[i]) for i, name in enumerate(features)]
-    names = local_table(df.sparkSession, rows, "f int, feature string, all_ref bigint, all_curr bigint")
-
-    def gap(ref: str, curr: str):
-        return F.abs(F.col(ref) / F.col("all_ref") - F.col(curr) / F.col("all_curr"))
-
-    up_to_here = Window.partitionBy("f").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    edges = (
-        histogram.join(F.broadcast(names.drop("feature")), "f")
-        .withColumns({"upto_ref": F.sum("n_ref").over(up_to_here), "upto_curr": F.sum("n_curr").over(up_to_here)})
+    def gap(ref: str, curr: str) -> Column:
+        return F.abs(F.try_divide(F.col(ref), F.col("all_ref")) - F.try_divide(F.col(curr), F.col("all_curr")))
+
+    feature = Window.partitionBy("f")
+    up_to_here = feature.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    one_value = (F.min("value") == F.max("value")).alias("one_value")
+    edges = cut(
+        long.groupBy("f", "bucket").agg(*counted, one_value)
+        .withColumns({
+            "all_ref": F.sum("n_ref").over(feature), "all_curr": F.sum("n_curr").over(feature),
+            "upto_ref": F.sum("n_ref").over(up_to_here), "upto_curr": F.sum("n_curr").over(up_to_here),
+        })
         .withColumns({"from_ref": F.col("upto_ref") - F.col("n_ref"), "from_curr": F.col("upto_curr") - F.col("n_curr")})
-        .withColumn("at_edge", F.max(gap("upto_ref", "upto_curr")).over(Window.partitionBy("f")))
+        .withColumn("at_edge", F.max(gap("upto_ref", "upto_curr")).over(feature))
         # Inside a bucket the gap is widest if one side's values all come first.
         .withColumn("inside", F.greatest(gap("upto_ref", "from_curr"), gap("from_ref", "upto_curr")))
     )
+    known = edges.groupBy("f").agg(F.first("all_ref"), F.first("all_curr"), F.first("at_edge")).collect()
+    found = {r[0]: tuple(r)[1:] for r in known}
+    for i, name in enumerate(features):
+        sizes = found.get(i, (0, 0))[:2]
+        if 0 in sizes:
+            raise ValueError(f"Feature {name} has no values on one side: {sizes[0]} and {sizes[1]} rows")
+    names = F.broadcast(local_table(
+        df.sparkSession, [(i, name, *found[i]) for i, name in enumerate(features)],
+        "f int, feature string, all_ref bigint, all_curr bigint, at_edge double",
+    ))
     still_open = ~F.col("one_value") & (F.col("inside") > F.col("at_edge"))
     open_buckets = F.broadcast(edges.where(still_open).select("f", "bucket", "from_ref", "from_curr"))
 
@@ -128,16 +134,13 @@ def ks_by_side(df: DataFrame, features: Sequence[str], side: str) -> DataFrame:
             "f", "bucket", F.sum("n_ref").over(ordered).alias("here_ref"), F.sum("n_curr").over(ordered).alias("here_curr")
         )
         .join(open_buckets, ["f", "bucket"])
-        .join(F.broadcast(names.drop("feature")), "f")
+        .join(names, "f")
         .withColumns({"here_ref": F.col("here_ref") + F.col("from_ref"), "here_curr": F.col("here_curr") + F.col("from_curr")})
-        .select("f", gap("here_ref", "here_curr").alias("gap"))
-    )
-    largest = (
-        edges.select("f", F.col("at_edge").alias("gap")).unionAll(inner)
-        .groupBy("f").agg(F.max("gap").alias("ks_stat"))
+        .groupBy("f").agg(F.max(gap("here_ref", "here_curr")).alias("inner"))
     )
-    return largest.join(F.broadcast(names), "f").select(
-        "feature", "ks_stat", F.col("all_ref").alias("n_ref"), F.col("all_curr").alias("n_curr")
+    return names.join(inner, "f", "left").select(
+        "feature", F.greatest("at_edge", "inner").alias("ks_stat"),
+        F.col("all_ref").alias("n_ref"), F.col("all_curr").alias("n_curr"),
     )
 
 

@@ -15,6 +15,8 @@ DIGEST_DIGITS = 32
 FEW_ROWS = 8
 SMALL_RANGE = 10_000  # rows that a top-k may bring to one task
 PIVOTS_PER_PASS = 16
+PIVOT_SAMPLE = 100_000
+PIVOT_STEPS = (-0.05, -0.005, -0.001, 0.0, 0.001, 0.005, 0.05)
 
 
 def head(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame:
@@ -69,15 +71,19 @@ def _constant(df: DataFrame, column: str, value: object) -> Column:
     return F.lit(value)
 
 
-def _pivots(df: DataFrame, column: str, share: float) -> list:
-    """Values of ``column`` around the wanted share of the rows; any values would be correct."""
+def _pivots(df: DataFrame, column: str, share: float, size: int) -> list:
+    """Values of ``column`` around the wanted share of the rows; any values would be correct.
+
+    They come from a sample, since a quantile sketch of every partition of a large table would be
+    too much for the one task that merges them. Text has no sketch and takes values by hash.
+    """
     if _numeric_order(df, column):
-        shares = sorted({min(max(share + step, 0.0), 1.0) for step in (-2e-3, -4e-4, 0.0, 4e-4, 2e-3)})
-        found = df.agg(F.percentile_approx(column, shares).alias("p")).head()["p"]
-    else:
-        found = df.agg(*(
-            F.min_by(column, F.xxhash64(column, F.lit(i))).alias(f"p{i}") for i in range(PIVOTS_PER_PASS)
-        )).head()
+        shares = sorted({min(max(share + step, 0.0), 1.0) for step in PIVOT_STEPS})
+        pivots = F.percentile_approx(column, shares)
+        fraction = PIVOT_SAMPLE / size
+        found = df.sample(fraction, seed=0).agg(pivots).head()[0] if fraction < 1 else None
+        return sorted(set(found or df.agg(pivots).head()[0]))
+    found = df.agg(*(F.min_by(column, F.xxhash64(column, F.lit(i))) for i in range(PIVOTS_PER_PASS))).head()
     return sorted(set(found))
 
 
@@ -97,7 +103,7 @@ def value_at_rank(df: DataFrame, column: str, rank: int) -> tuple[object, int, i
         if size <= SMALL_RANGE:
             pivots = [inside.orderBy(column).limit(wanted + 1).agg(F.max(column)).head()[0]]
         else:
-            pivots = _pivots(inside, column, wanted / size)
+            pivots = _pivots(inside, column, wanted / size, size)
         measures = []
         for i, pivot in enumerate(pivots):
             at = _constant(inside, column, pivot)

@@ -2,7 +2,7 @@ import datetime as dt
 import random
 
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -108,7 +108,7 @@ def test_split_is_a_filter_without_shuffle(spark, data):
     assert "Exchange" not in plan and "PushedFilters: [Or(" in plan
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, phases=[Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.integers(-5, 5), min_size=1, max_size=60), st.data())
 def test_value_at_rank_property(spark, values, draw):
     rank = draw.draw(st.integers(0, len(values) - 1))

@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 
 from segwatch import FEATURE_COLS
@@ -83,7 +83,7 @@ def test_moments_by_group_equal_moments_of_each_group(spark):
         assert (row["n"], row["mean"], row["std"]) == (alone["n"], alone["mean"], alone["std"])
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, phases=[Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(-1e6, 1e6), min_size=2, max_size=40))
 def test_scaled_output_is_standard(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "a double")
