@@ -14,13 +14,16 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or the checkpoint folder set on the context.
 
-    A cluster sets it to shared storage. Only where it is unset, as in local tests, is a folder
-    made on this machine and recorded in the session for the next caller.
+    A cluster has to name one on shared storage. Only a local session without any gets a folder on
+    this machine, recorded in the session for the next caller.
     """
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError(f"Set {CHECKPOINT_SETTING} to a folder all executors can reach")
         folder = tempfile.mkdtemp(prefix="segwatch-")
         spark.conf.set(CHECKPOINT_SETTING, folder)
     return folder

@@ -32,6 +32,7 @@ UNROLLED_TERMS = 128
 CENTROID_BYTES = 64 << 20
 RESTART_ROWS = 20_000
 PARALLEL_FITS = 8
+START_TOL = 1e-4
 
 Points = Sequence[Sequence[float]]
 
@@ -291,8 +292,8 @@ def fit_kmeans(
 ) -> Clustering:
     """K-means on the whole table with ``n_init`` seedings, keeping the lowest inertia.
 
-    Seeds come from a bounded sample chosen by the hash of ``keys`` (of the features themselves when
-    no key is given). ``restarts="full"`` iterates all seedings over the whole table, one pass per
+    Seeds come from a bounded sample chosen by the hash of ``keys``, which identify rows, or by
+    chance when no key is given. ``restarts="full"`` iterates all seedings over the whole table, one pass per
     iteration for all of them together. ``restarts="sample"`` fits each on the sample, scores each
     result on the whole table in one pass for all, and continues the best one there until it
     settles; a table of at most ``restart_rows`` rows is its own sample. ``tol`` is relative to the
@@ -317,10 +318,17 @@ def fit_kmeans(
             raise ValueError(f"Missing values per column: {holes}")
         if rows < k:
             raise ValueError(f"{rows} rows cannot form {k} clusters")
-        limit = tol * float(np.mean([r["std"] ** 2 for r in moments]))
-        sample = bounded_sample(table, keys or features, restart_rows, seed) if rows > restart_rows else table
+        variance = float(np.mean([r["std"] ** 2 for r in moments]))
+        limit = tol * variance
+        if rows <= restart_rows:
+            sample = table
+        elif keys:
+            sample = bounded_sample(table, keys, restart_rows, seed)
+        else:  # equal rows would share one hash, so take rows by chance
+            sample = table.sample(restart_rows / rows, seed=seed).repartition(PARALLEL_FITS)
         steps = max_iter if restarts == "sample" else 0
-        starts = _mllib_fits(sample.select(*features), features, k, seed, n_init, steps, math.sqrt(limit))
+        near_enough = math.sqrt(max(tol, START_TOL) * variance)  # the chosen start goes on to `tol` below
+        starts = _mllib_fits(sample.select(*features), features, k, seed, n_init, steps, near_enough)
         if restarts == "sample" and n_init > 1:
             scored = _run(table, features, starts, 0, limit)
             starts = [min(scored, key=lambda s: s.cost).points.tolist()]

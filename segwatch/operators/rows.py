@@ -27,9 +27,10 @@ def head(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame:
 def bounded_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> DataFrame:
     """``n`` rows without replacement: those with the smallest hash of key and seed.
 
-    The choice depends on the keys alone, so it is the same on every run and partitioning. A plain
-    top-k would send ``n`` rows per partition to the last task, which on a table of many partitions
-    is far more than ``n``. So one narrow pass over the keys counts rows by the magnitude of their
+    ``keys`` should identify rows; rows sharing a key enter together, up to ``n``. The choice depends
+    on the keys alone, so it is the same on every run and partitioning. A plain top-k would send
+    ``n`` rows per partition to the last task, which on a table of many partitions is far more than
+    ``n``. So one narrow pass over the keys counts rows by the magnitude of their
     hash (at most 480 groups); the smallest magnitude with at least ``n`` hashes up to it then bounds
     the rows that take part in the top-k to about ``2 n``.
     """

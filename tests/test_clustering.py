@@ -143,6 +143,14 @@ def test_fit_finds_separated_blobs(spark, restarts, rows):
     assert np.allclose(numpy_lloyd(values, model.centroids, 1), model.centroids)
 
 
+def test_fit_without_a_key_on_mostly_equal_rows(spark):
+    df = spark.range(0, 1200, 1, 4).select(
+        F.when(F.col("id") < 800, F.lit(0.0)).otherwise(100.0 + (F.col("id") % 2) * 50).alias("f0")
+    )
+    model = sorted_centroids(fit_kmeans(df, ["f0"], k=3, n_init=3, restart_rows=300))
+    assert model.centroids == ((0.0,), (100.0,), (150.0,)) and model.inertia == 0.0
+
+
 def test_fit_checks_its_input(spark):
     df = spark.createDataFrame([(1.0,), (None,), (float("nan"),)], "f0 double")
     with pytest.raises(ValueError, match="'f0': 2"):
