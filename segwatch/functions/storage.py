@@ -2,45 +2,67 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
 from collections.abc import Sequence
+from urllib.parse import urlparse
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, or the checkpoint folder set on the context.
 
-    A cluster has to name one on shared storage. Only a local session without any gets a folder on
-    this machine, recorded in the session for the next caller.
+    Where neither is set, intermediate tables go below the session's warehouse. On a cluster that
+    has to be storage all executors reach, so a path on the driver's own disk is refused there.
     """
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError(f"Set {CHECKPOINT_SETTING} to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="segwatch-")
-        spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    if folder:
+        return folder.rstrip("/")
+    warehouse = spark.conf.get(WAREHOUSE_SETTING).rstrip("/")
+    local = urlparse(warehouse).scheme in ("", "file")
+    if local and not context.master.startswith("local"):
+        raise ValueError(f"Set {CHECKPOINT_SETTING} to a folder all executors can reach; {warehouse} is local")
+    return f"{warehouse}/segwatch-intermediate"
+
+
+def _session_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/segwatch-{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing has written to yet."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path below this application's part of the shared folder that nothing has written to yet."""
+    return f"{_session_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably, so that later uses neither recompute it nor depend on an executor."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
+
+    Later uses neither recompute it nor depend on the executor that made it. Unlike a reliable
+    checkpoint, which first runs the plan and then runs it again to write, this is one job, and the
+    columns later steps do not need are not read.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove every intermediate table of this application. Lazy results that read them end with it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_session_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def same_place(path: str) -> str:
+    """A path without scheme and trailing slash, for comparing places."""
+    parts = urlparse(path)
+    return os.path.normpath(parts.netloc + parts.path)
 
 
 def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
