@@ -166,6 +166,10 @@ def _load(path: str) -> tuple[TrieEncoder, Splitter, dict]:
         memory["encoder"] = TrieEncoder(model["vocab"], [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]])
         memory["splitter"] = Splitter(Tokenizer.from_file(path))
         memory["words"] = {}
+        token = memory["encoder"].token
+        for content, i in memory["splitter"].special.items():  # the model's own vocabulary need not list them
+            token.extend([""] * (i + 1 - len(token)))
+            token[i] = content
     return memory["encoder"], memory["splitter"], memory["words"]
 
 

@@ -242,9 +242,10 @@ def near_duplicates(
     roots = cut(components(linked_fingerprints(distinct, distinct.count(), reach, shard_rows)), "roots")
     of_root = roots.join(distinct, roots.node == distinct.fingerprint).groupBy("root").agg(F.min("first").alias("component"))
     linked = roots.join(of_root, "root").select(F.col("node").alias("fingerprint"), "component", "root")
-    of_print = distinct.join(linked, "fingerprint", "left").select(
+    # Written, so that Spark can split a fingerprint that many rows have in the last join.
+    of_print = cut(distinct.join(linked, "fingerprint", "left").select(
         "fingerprint", F.coalesce("component", "first").alias("component"), F.coalesce("root", "fingerprint").alias("root")
-    )
+    ), "components")
     return marked.join(of_print, "fingerprint").select(
         F.col("key").alias(key), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"), "root", *(["carried"] if carry else []),

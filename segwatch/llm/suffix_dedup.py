@@ -428,14 +428,15 @@ def suffix_dedup(
     kind = df.schema[key].dataType.simpleString()
     placed = "doc {}, mark bigint, hash bigint, context bigint, at bigint, left smallint, right smallint".format(kind)
     found = cut(_named(df, key, text).mapInArrow(_anchor_rows(length), placed), "anchors")
-    shared = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
+    # Both sides of the joins are read from files, so that Spark can split an anchor with many rows.
+    shared = cut(found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "shared-hashes")
     found = cut(found.join(shared, "hash"), "shared-anchors")
 
     contexts = found.groupBy("hash", "context").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "mark", "at", "left", "right")).alias("one")
     )
     contexts = cut(contexts, "contexts")
-    several = contexts.groupBy("hash").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1")
+    several = cut(contexts.groupBy("hash").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1"), "several")
     whole = contexts.where("n > 1").select(
         "hash", "context", (-F.col("one.left")).cast("bigint").alias("low"), F.col("one.right").cast("bigint").alias("high")
     )
@@ -469,7 +470,7 @@ def suffix_dedup(
     )
     many = bodies.where(F.col("contexts") > SORTED_CONTEXTS).select("hash", "context", "left", "bytes").dropDuplicates(["hash", "context"])
     strings = many.mapInArrow(_string_rows(length), "hash bigint, context bigint, low bigint, one bigint, two bigint")
-    twice = strings.groupBy("hash", "low", "one", "two").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    twice = cut(strings.groupBy("hash", "low", "one", "two").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "twice")
     counted = strings.join(twice, ["hash", "low", "one", "two"]).groupBy("hash", "context").agg(
         F.min("low").alias("low"), (F.max("low") + length).alias("high")
     )
