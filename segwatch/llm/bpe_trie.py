@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segwatch.llm.pieces import END, KEPT_WORDS, Splitter, byte_signs, worker_memory
+from segwatch.llm.pieces import END, Splitter, byte_signs, learn, portions, worker_memory
 
 PAIR_LIMIT = 2_000_000
 FOREVER = float("inf")
@@ -199,22 +199,16 @@ def bpe_round_trip(df: DataFrame, vocabulary: str, text: str = "text", ids: bool
         encoder, splitter, known = _load(vocabulary)
         token = encoder.token
         for batch in batches:
-            cut = [splitter.words(t) for t in batch.column(at).to_pylist()]
-            fresh = {w for words in cut for w in words if w not in known}
-            pieces = {w: splitter.pieces(w) for w in fresh if isinstance(w, str)}
-            of_piece = dict(encoder.encode({p for found in pieces.values() for p in found}))
-            for word, found in pieces.items():
-                known[word] = array("I", [i for p in found for i in of_piece[p]]).tobytes()
-            known.update((w, array("I", [w]).tobytes()) for w in fresh if isinstance(w, int))
             rows = []
-            for words in cut:
-                raw = b"".join([known[w] for w in words])
-                found = array("i", raw)
-                shown = " ".join([token[i] for i in found])
-                rows.append((len(found), hashlib.sha256(raw).hexdigest(), hashlib.sha256(shown.encode()).hexdigest(),
-                             *((found, shown) if ids else ())))
-            if len(known) > KEPT_WORDS:
-                known.clear()
+            for texts in portions(batch.column(at).to_pylist()):
+                cut = [splitter.words(t) for t in texts]
+                learn(known, cut, splitter, encoder.encode)
+                for words in cut:
+                    raw = b"".join([known[w] for w in words])
+                    found = array("i", raw)
+                    shown = " ".join([token[i] for i in found])
+                    rows.append((len(found), hashlib.sha256(raw).hexdigest(), hashlib.sha256(shown.encode()).hexdigest(),
+                                 *((found, shown) if ids else ())))
             columns = [batch.column(batch.schema.get_field_index(c)) for c in out]
             columns += [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(added.values())]
             yield pa.RecordBatch.from_arrays(columns, names=[*out, *added])

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from segwatch.functions.storage import cut
-from segwatch.llm.pieces import END, KEPT_WORDS, Splitter, worker_memory
+from segwatch.llm.pieces import END, Splitter, learn, portions, worker_memory
 
 CAPACITY = 4096
 END_ID = 2
@@ -101,24 +101,19 @@ def harmonic_packing(
         last = array("I", [end_id]).tobytes()
         taken = dict.fromkeys(counts, 0)
         for batch in batches:
-            cut_up = [splitter.words(t) for t in batch.column(1).to_pylist()]
-            fresh = {w for words in cut_up for w in words if w not in known}
-            pieces = {w: splitter.pieces(w) for w in fresh if isinstance(w, str)}
-            of_piece = _encode_pieces(sorted({p for found in pieces.values() for p in found}), tokenizer, ends)
-            for word, found in pieces.items():
-                known[word] = array("I", [i for p in found for i in of_piece[p]]).tobytes()
-            known.update((w, array("I", [w]).tobytes()) for w in fresh if isinstance(w, int))
-            rows = []
-            for n, words in enumerate(cut_up):
-                raw = b"".join([known[w] for w in words]) + last
-                start, total = 0, len(raw) // 4
-                for length, kind in cut_lengths(total, capacity, counts):
-                    crc = zlib.crc32(raw[4 * start:4 * (start + length)])
-                    rows.append((n, start, length, crc, total, kind, taken[kind]))
-                    taken[kind] += 1
-                    start += length
-            if len(known) > KEPT_WORDS:
-                known.clear()
+            rows, n = [], 0
+            for texts in portions(batch.column(1).to_pylist()):
+                cut_up = [splitter.words(t) for t in texts]
+                learn(known, cut_up, splitter, lambda fresh: _encode_pieces(fresh, tokenizer, ends).items())
+                for words in cut_up:
+                    raw = b"".join([known[w] for w in words]) + last
+                    start, total = 0, len(raw) // 4
+                    for length, kind in cut_lengths(total, capacity, counts):
+                        crc = zlib.crc32(raw[4 * start:4 * (start + length)])
+                        rows.append((n, start, length, crc, total, kind, taken[kind]))
+                        taken[kind] += 1
+                        start += length
+                    n += 1
             columns = [pa.array([r[i] for r in rows], pa.int64()) for i in range(7)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(columns[0]), *columns[1:]], names=["key", "start", "length", "crc", "tokens", "class", "number"]

@@ -6,7 +6,10 @@ import re
 import sys
 import types
 import unicodedata
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 # Below U+0180 composition changes nothing and lower case depends on the single sign; the listed
 # punctuation and currency signs are as simple. There `str.split` also parts words where the tokenizer
@@ -24,7 +27,8 @@ _LETTERS, _NUMBERS = _signs("L"), _signs("N")
 # Fixed value: the splitting pattern of the tokenizer file, written out for the signs above.
 PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{SPACE_SIGNS}{_LETTERS}{_NUMBERS}]+")
 END = "</w>"
-KEPT_WORDS = 700_000
+KEPT_WORDS = 600_000
+PORTION_CHARS = 2_000_000
 
 
 @lru_cache(maxsize=2)
@@ -71,6 +75,37 @@ class Splitter:
         return [word[1:]] if word[0] == " " else PIECE.findall(word)
 
 
+def portions(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """The texts of a batch in portions of bounded size, so that their words are not all held at once."""
+    held: list[str | None] = []
+    size = 0
+    for text in texts:
+        held.append(text)
+        size += len(text or "")
+        if size > PORTION_CHARS:
+            yield held
+            held, size = [], 0
+    yield held
+
+
+def learn(known: dict[str | int, bytes], words: list[list[str | int]], splitter: Splitter, encode) -> None:
+    """Add the ids of all new words, as 32-bit numbers. ``encode`` gives those of new pieces.
+
+    A piece is a word too, so what is known of either serves both. Beyond the limit the words that came last
+    go, since frequent ones come early.
+    """
+    if len(known) > KEPT_WORDS:
+        for word in list(islice(known, KEPT_WORDS // 2, None)):
+            del known[word]
+    fresh = {w for found in words for w in found if w not in known}
+    known.update((w, array("I", [w]).tobytes()) for w in fresh if isinstance(w, int))
+    pieces = {w: splitter.pieces(w) for w in fresh if isinstance(w, str)}
+    for piece, ids in encode(sorted({p for found in pieces.values() for p in found if p not in known})):
+        known[piece] = array("I", ids).tobytes()
+    for word, found in pieces.items():
+        known[word] = b"".join([known[p] for p in found])
+
+
 def worker_memory(name: str) -> dict:
     """A dictionary that lives as long as the Python worker, so that tasks reuse what others found."""
     home = sys.modules.setdefault("segwatch_worker_memory", types.ModuleType("segwatch_worker_memory"))
