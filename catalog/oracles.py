@@ -248,13 +248,19 @@ def _blob_fit(steps: int = 12) -> str:
 EVALUATED = f"{ASSIGNED}, {SAMPLED}, {_silhouette('sampled', ROW_DISTANCE)}, {LABELLED}, {_davies_bouldin('labelled', 4)}"
 EMBEDDED_WIDE = "wide AS (SELECT label AS own, " + ", ".join(f"v[{i + 1}] AS x{i}" for i in range(64)) + " FROM embedded)"
 
+ORDERS = (
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate::VARCHAR AS o_orderdate, "
+    "o_orderpriority FROM orders"
+)
+
 ORACLES: dict[str, str] = {
     "cluster_distribution": f"{ASSIGNED} SELECT cluster, count(*) AS n FROM near0 GROUP BY cluster ORDER BY cluster",
     "gaussian_blobs": f"WITH {_blobs()} SELECT o_orderkey, "
     + ", ".join(f"round({d}, 6) + 0.0 AS {d}" for d in DIMS[:4]) + ", true_label FROM blobs",
-    "table_sink": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
-    "csv_sink_and_scan": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
-    "table_scan": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
+    "table_sink": ORDERS,
+    "csv_sink_and_scan": ORDERS,
+    "csv_of_documents": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+    "table_scan": ORDERS,
     "project_features": f"SELECT {FEATURE_LIST} FROM lineitem",
     "split_halves_by_key": f"WITH {EVENT_HALVES} SELECT CASE WHEN early THEN 'first' ELSE 'second' END AS side, "
     "count(*) AS n, round(sum(value), 3) AS total FROM halves GROUP BY early",

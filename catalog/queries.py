@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from segwatch.config import Settings
 from segwatch.functions.storage import fresh_path
@@ -37,7 +37,6 @@ WIDTH = 64
 DIMS = tuple(f"feature_{i + 1}" for i in range(WIDTH))
 BLOB_FEATURES = DIMS[:4]
 SETTINGS = Settings(features=FEATURES)
-CSV_SCHEMA = "o_orderkey bigint, o_custkey bigint, o_totalprice double"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,21 +75,36 @@ def gaussian_blobs(spark, sf_dir):
     return _rounded(blobs_for_keys(_table(spark, sf_dir, "orders"), "o_orderkey"), BLOB_FEATURES)
 
 
+def _dates_as_text(df: DataFrame) -> DataFrame:
+    """Engines name the types of dates and times differently; as text they compare."""
+    times = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType, T.DateType))]
+    return df.withColumns({name: F.col(name).cast("string") for name in times})
+
+
+def _through_csv(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    source, target = f"{sf_dir}/{name}.parquet", fresh_path(spark, f"{name}-csv")
+    table = read_table(spark, source)
+    write_csv(table, target, sources=[source])
+    return _dates_as_text(read_csv(spark, target, table.schema))
+
+
 def table_sink(spark, sf_dir):
     source, target = f"{sf_dir}/orders.parquet", fresh_path(spark, "orders")
-    orders = read_table(spark, source).select("o_orderkey", "o_custkey", "o_totalprice")
-    write_table(orders, target, sources=[source])
-    return read_table(spark, target)
+    write_table(read_table(spark, source), target, sources=[source])
+    return _dates_as_text(read_table(spark, target))
 
 
 def csv_sink_and_scan(spark, sf_dir):
-    source, target = f"{sf_dir}/orders.parquet", fresh_path(spark, "orders-csv")
-    write_csv(read_table(spark, source).select("o_orderkey", "o_custkey", "o_totalprice"), target, sources=[source])
-    return read_csv(spark, target, CSV_SCHEMA)
+    return _through_csv(spark, sf_dir, "orders")
+
+
+def csv_of_documents(spark, sf_dir):
+    """Whole texts with line breaks, quotes and commas."""
+    return _through_csv(spark, sf_dir, "documents")
 
 
 def table_scan(spark, sf_dir):
-    return _table(spark, sf_dir, "orders").drop("o_orderdate")
+    return _dates_as_text(_table(spark, sf_dir, "orders"))
 
 
 # rows and columns
@@ -213,7 +227,7 @@ def kmeans_on_blobs(spark, sf_dir):
 
 def kmeans_on_lineitem(spark, sf_dir):
     scaled, _ = scale_features(_lineitem(spark, sf_dir), FEATURES)
-    return _as_rows(spark, sorted_centroids(fit_kmeans(scaled, FEATURES, keys=KEYS, n_init=3)))
+    return _as_rows(spark, sorted_centroids(fit_kmeans(scaled, FEATURES, keys=KEYS)))
 
 
 # quality
@@ -410,7 +424,7 @@ def evaluation(spark, sf_dir):
 def training(spark, sf_dir):
     """Train, evaluate and promote on blobs; the recorded metrics of the run."""
     runs = RunLog(spark, fresh_path(spark, "runs"))
-    settings = replace(Settings(), n_init=3)
+    settings = Settings()
     blobs = blobs_for_keys(_table(spark, sf_dir, "orders"), "o_orderkey")
     train(blobs, ["o_orderkey"], runs, settings)
     evaluate(blobs, ["o_orderkey"], runs, settings)
@@ -420,7 +434,7 @@ def training(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        cluster_distribution, gaussian_blobs, table_sink, csv_sink_and_scan, table_scan, project_features,
+        cluster_distribution, gaussian_blobs, table_sink, csv_sink_and_scan, csv_of_documents, table_scan, project_features,
         split_halves_by_key, split_halves_by_date, drop_missing_per_feature, first_rows, row_sample, row_counts,
         row_counts_if, moments, standardised_rows, stored_scalers, apply_stored_scaler, clusters_by_frequency,
         nearest_centroid, lloyd_steps, training_labels, kmeans_on_blobs, kmeans_on_lineitem, inertia_on_lineitem,

@@ -15,7 +15,6 @@ class Settings:
     random_state: int = 42
     max_iter: int = 300
     n_init: int = 10
-    restarts: str = "sample"
     silhouette_rows: int = 2000
     silhouette_threshold: float = 0.35
     drift_threshold: float = 0.05

@@ -9,6 +9,8 @@ import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+TIED_CELLS = 1 << 20  # differences held at once when rows are ranked again
+
 
 def squared_distance(values: Sequence[Column], point: Sequence[float]) -> Column:
     """Sum of squared differences, as one JVM expression in feature order."""
@@ -32,8 +34,11 @@ def nearest(rows: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarra
     if len(points) > 1:
         two = np.partition(ranking, 1, axis=1)[:, :2]
         size = (rows * rows).sum(axis=1) + (points * points).sum(axis=1).max()
-        for i in np.flatnonzero(two[:, 1] - two[:, 0] <= 1e-12 * rows.shape[1] * size):
-            best[i] = ((rows[i] - points) ** 2).sum(axis=1).argmin()
+        close = np.flatnonzero(two[:, 1] - two[:, 0] <= 1e-12 * rows.shape[1] * size)
+        step = max(1, TIED_CELLS // points.size)
+        for at in range(0, len(close), step):
+            some = close[at:at + step]
+            best[some] = ((rows[some, None, :] - points[None]) ** 2).sum(axis=2).argmin(axis=1)
     return best, ((rows - points[best]) ** 2).sum(axis=1)
 
 

@@ -6,21 +6,18 @@ import logging
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from segwatch.functions.columns import any_missing, as_double, is_missing, require_columns
+from segwatch.functions.columns import HEX_WORD, any_missing, as_double, digest_word, is_missing, require_columns
 from segwatch.functions.distance import nearest, squared_distance
 from segwatch.functions.storage import local_table
-from segwatch.operators.rows import bounded_sample
 from segwatch.operators.scaling import Scaler, column_moments
 
 log = logging.getLogger(__name__)
@@ -28,11 +25,8 @@ log = logging.getLogger(__name__)
 # Distance terms (clusters x features) kept as generated JVM code. Beyond it one generated method
 # would grow past what the JVM compiles, and Arrow batches with a matrix product are faster.
 UNROLLED_TERMS = 128
-# Size to which centroids, shipped inside each task, may grow.
+# Size to which the centroids of all sets, shipped together inside each task, may grow.
 CENTROID_BYTES = 64 << 20
-RESTART_ROWS = 20_000
-PARALLEL_FITS = 8
-START_TOL = 1e-4
 
 Points = Sequence[Sequence[float]]
 
@@ -161,6 +155,11 @@ def centroid_sums(df: DataFrame, features: Sequence[str], starts: Sequence[Point
     require_columns(df, features)
     for points in starts:
         _check_points(points, width)
+    if sum(map(len, starts)) * width * 8 > CENTROID_BYTES:
+        # Fewer sets at a time; each of them passed the check on its own.
+        half = len(starts) // 2
+        later = centroid_sums(df, features, starts[half:]).withColumn("start", (F.col("start") + half).cast("int"))
+        return centroid_sums(df, features, starts[:half]).unionByName(later)
     if len(starts) == 1 and len(starts[0]) * width <= UNROLLED_TERMS:
         return _unrolled_sums(df, features, starts[0])
     sets = [np.asarray(points, dtype="float64") for points in starts]
@@ -253,29 +252,55 @@ def lloyd(
     return Clustering(tuple(features), tuple(map(tuple, state.points.tolist())), state.cost, state.steps)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for an iterative job on a scan of few partitions; leave larger scans alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def spread(cached: DataFrame) -> DataFrame:
+    """Use all cores for an iterative job on a small table; leave larger ones alone.
 
-
-def _mllib_fits(
-    sample: DataFrame, features: Sequence[str], k: int, seed: int, n_init: int, max_iter: int, tol: float
-) -> list[Points]:
-    """Centroids of ``n_init`` MLlib fits with parallel k-means++ seeding, submitted side by side."""
-    vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(sample)
-    vectors = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
-
-    def fit(restart: int) -> Points:
-        estimator = KMeans(k=k, maxIter=max_iter, tol=tol, seed=seed + restart, initMode="k-means||")
-        return [c.tolist() for c in estimator.fit(vectors).clusterCenters()]
-
-    try:
-        vectors.count()
-        with ThreadPool(min(n_init, PARALLEL_FITS)) as pool:
-            return pool.map(inheritable_thread_target(sample.sparkSession)(fit), range(n_init))
-    finally:
-        vectors.unpersist()
+    ``cached`` must be persisted and computed, so that asking for its partitions runs nothing.
+    """
+    cores = cached.sparkSession.sparkContext.defaultParallelism
+    if cached.rdd.getNumPartitions() >= cores:
+        return cached
+    dealt = cached.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+    dealt.count()
+    cached.unpersist()
+    return dealt
+
+
+def seed_centroids(df: DataFrame, features: Sequence[str], keys: Sequence[str], k: int, seed: int, n_init: int) -> list[Points]:
+    """``n_init`` seedings of up to ``k`` rows each, drawn from the whole table.
+
+    The first row of a restart is the one with the smallest digest of key, seed and restart. Each further one
+    has the smallest ``-ln(u) / d``: ``u`` comes from the digest of key, seed, restart and step and ``d`` is the squared
+    distance to the nearest row chosen so far. The smallest of such numbers belongs to a row with probability
+    in proportion to its ``d``, so this is the weighted draw of k-means++, without a random generator: it depends on
+    the rows alone, not on their partitions. Every step is one combined aggregate for all restarts.
+    """
+    values = [as_double(f) for f in features]
+    row = [v.alias(f"x{i}") for i, v in enumerate(values)]
+    name = F.concat_ws("|", *(F.col(key).cast("string") for key in keys))
+    starts: list[list[list[float]]] = [[] for _ in range(n_init)]
+    growing = range(n_init)
+    for step in range(k):
+        draws = []
+        for i in growing:
+            digest = digest_word(F.md5(F.concat_ws("|", name, F.lit(f"{seed}|{i}|{step}"))))
+            score = digest.cast("double")
+            if step:
+                points = starts[i]
+                if step * len(features) * len(growing) > UNROLLED_TERMS:
+                    near = _nearest_udf(points, True)(F.struct(*row))["distance"]
+                else:
+                    near = reduce(F.least, (squared_distance(values, p) for p in points)) if step > 1 else squared_distance(values, points[0])
+                u = (digest.cast("double") + F.lit(0.5)) / F.lit(2.0 ** (4 * HEX_WORD))
+                score = F.when(near > 0, -F.ln(u) / near)
+            draws.append(F.min(F.when(score.isNotNull(), F.struct(score.alias("score"), *row))).alias(f"r{i}"))
+        found = df.agg(*draws).head()
+        growing = [i for i in growing if found[f"r{i}"] is not None]
+        for i in growing:
+            starts[i].append(list(found[f"r{i}"])[1:])
+        if not growing:
+            break
+    return starts
 
 
 def fit_kmeans(
@@ -287,29 +312,23 @@ def fit_kmeans(
     n_init: int = 10,
     tol: float = 1e-4,
     keys: Sequence[str] | None = None,
-    restarts: str = "sample",
-    restart_rows: int = RESTART_ROWS,
 ) -> Clustering:
     """K-means on the whole table with ``n_init`` seedings, keeping the lowest inertia.
 
-    Seeds come from a bounded sample chosen by the hash of ``keys``, which identify rows, or by
-    chance when no key is given. ``restarts="full"`` iterates all seedings over the whole table, one pass per
-    iteration for all of them together. ``restarts="sample"`` fits each on the sample, scores each
-    result on the whole table in one pass for all, and continues the best one there until it
-    settles; a table of at most ``restart_rows`` rows is its own sample. ``tol`` is relative to the
-    mean variance of the features. Fewer than ``k`` centroids come back when the rows have fewer
-    distinct values.
+    Seeds come from the whole table by the hash of ``keys``, which identify rows; without keys a row is
+    identified by its features. All restarts iterate over the whole table, one pass for all of them, and one that
+    has settled takes no further part. The method is the same at every size and on every partitioning.
+    ``tol`` is relative to the mean variance of the features. Fewer than ``k`` centroids come back when the rows
+    have fewer distinct values.
     """
-    if restarts not in ("sample", "full"):
-        raise ValueError("restarts must be 'sample' or 'full'")
     if k < 1 or n_init < 1:
         raise ValueError("k and n_init must be at least 1")
     require_columns(df, [*features, *(keys or ())])
     extra = [c for c in keys or () if c not in features]
-    table = df.select(*extra, *(as_double(f).alias(f) for f in features))
     mine = not (df.storageLevel.useMemory or df.storageLevel.useDisk)  # else the caller keeps it cached
+    table = df.select(*extra, *(as_double(f).alias(f) for f in features))
     if mine:
-        table = spread(table).persist(StorageLevel.MEMORY_AND_DISK)
+        table = table.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         moments = column_moments(table, features).collect()
         rows = moments[0]["n_rows"]
@@ -318,20 +337,13 @@ def fit_kmeans(
             raise ValueError(f"Missing values per column: {holes}")
         if rows < k:
             raise ValueError(f"{rows} rows cannot form {k} clusters")
-        variance = float(np.mean([r["std"] ** 2 for r in moments]))
-        limit = tol * variance
-        if rows <= restart_rows:
-            sample = table
-        elif keys:
-            sample = bounded_sample(table, keys, restart_rows, seed)
-        else:  # equal rows would share one hash, so take rows by chance
-            sample = table.sample(restart_rows / rows, seed=seed).repartition(PARALLEL_FITS)
-        steps = max_iter if restarts == "sample" else 0
-        near_enough = math.sqrt(max(tol, START_TOL) * variance)  # the chosen start goes on to `tol` below
-        starts = _mllib_fits(sample.select(*features), features, k, seed, n_init, steps, near_enough)
-        if restarts == "sample" and n_init > 1:
-            scored = _run(table, features, starts, 0, limit)
-            starts = [min(scored, key=lambda s: s.cost).points.tolist()]
+        endless = [r["feature"] for r in moments if not math.isfinite(r["std"])]
+        if endless:
+            raise ValueError(f"Columns without finite mean and deviation: {endless}")
+        if mine:
+            table = spread(table)
+        limit = tol * float(np.mean([r["std"] ** 2 for r in moments]))
+        starts = seed_centroids(table, features, keys or features, k, seed, n_init)
         best = min(_run(table, features, starts, max_iter, limit), key=lambda s: s.cost)
     finally:
         if mine:

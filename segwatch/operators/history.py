@@ -57,8 +57,10 @@ def next_versions(models: DataFrame, versions: DataFrame) -> DataFrame:
 
 def latest_versions(versions: DataFrame) -> DataFrame:
     """``model, version, run_id`` of the numerically highest version of each model."""
-    last = F.max_by(F.struct("version", "run_id"), _number()).alias("last")
-    return versions.groupBy("model").agg(last).select("model", "last.version", "last.run_id")
+    # The winner is kept as a number, which a hash aggregate holds in place; its text is joined back.
+    last = versions.groupBy("model").agg(F.max(_number()).alias("__last"))
+    found = versions.withColumn("__last", _number()).join(last, ["model", "__last"])
+    return found.select("model", "version", "run_id")
 
 
 def alias_rows(versions: DataFrame, alias: str, seq: Column) -> DataFrame:
@@ -68,7 +70,8 @@ def alias_rows(versions: DataFrame, alias: str, seq: Column) -> DataFrame:
 
 def current_aliases(events: DataFrame) -> DataFrame:
     """Where each alias of each model points after its last move."""
-    return events.groupBy("model", "alias").agg(F.max_by("version", "seq").alias("version"))
+    last = events.groupBy("model", "alias").agg(F.max("seq").alias("seq"))
+    return events.join(last, ["model", "alias", "seq"]).select("model", "alias", "version")
 
 
 def resolve_aliases(events: DataFrame, versions: DataFrame) -> DataFrame:

@@ -72,8 +72,15 @@ class RunLog:
         self._last_seq = max(self._last_seq + 1, time.time_ns())
         return self._last_seq
 
-    def start_run(self) -> str:
-        return uuid.uuid4().hex
+    def start_run(self, kind: str = "") -> str:
+        """A new run id; ``kind`` says what the run does and is kept among its parameters."""
+        run_id = uuid.uuid4().hex
+        if kind:
+            self.log_params(run_id, {"kind": kind})
+        return run_id
+
+    def kind(self, run_id: str) -> str | None:
+        return self.params(run_id).get("kind")
 
     def log_params(self, run_id: str, params: Mapping[str, object]) -> None:
         self._append_local("params", [(run_id, key, str(value)) for key, value in params.items()])

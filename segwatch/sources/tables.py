@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from urllib.parse import unquote, urlparse
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from segwatch.functions.storage import same_place
+
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "text", "avro")
+CSV_FILE_ROWS = 1_000_000
+NULL_MARK = "\\N"
+# Both ways: quotes doubled, spaces kept, NULL apart from the empty text.
+DIALECT = {
+    "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    "nullValue": NULL_MARK, "emptyValue": "",
+}
+
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Scan a table that carries its own schema (parquet; delta or others where installed)."""
@@ -15,41 +26,72 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
-    """Scan CSV with a header row. Without a schema Spark reads the files once more to infer it."""
-    reader = spark.read.option("header", True).option("enforceSchema", False)
+    """Scan CSV with a header row. Without a schema Spark reads the files once more to infer it.
+
+    Quotes are doubled inside quotes, line breaks inside quotes and outer spaces belong to the value, and
+    an unquoted ``NULL_MARK`` is NULL while nothing between quotes is the empty text. Line breaks inside
+    values make a file unsplittable, so ``write_csv`` writes files of a bounded number of rows.
+    """
+    reader = spark.read.options(header=True, enforceSchema=False, multiLine=True, **DIALECT)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.schema(schema).csv(path)
 
 
-def _plain(path: str) -> str:
-    parts = urlparse(path)
-    return unquote(parts.netloc + parts.path).rstrip("/")
-
-
-def _refuse_overlap(path: str, df: DataFrame, sources: Sequence[str] | None) -> None:
-    if sources is None:
-        sources = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
-    target = _plain(path)
-    for source in map(_plain, sources):
+def _refuse_overlap(path: str, sources: Sequence[str]) -> None:
+    target = same_place(path)
+    for source in map(same_place, sources):
         if source == target or source.startswith(target + "/") or target.startswith(source + "/"):
             raise ValueError(f"Refusing to overwrite {path}: it overlaps the input {source}")
 
 
-def write_table(
-    df: DataFrame, path: str, fmt: str = "parquet", sources: Sequence[str] | None = None
-) -> None:
-    """Replace the table at ``path``.
+def _replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Write a new folder beside ``path`` and put it in the place of the old one when it is complete.
 
-    Overwriting a plain file table that the same plan reads would delete the input before it is
-    read, so that is refused. ``sources`` are the input paths; by default the folders of the files
-    that Spark names for ``df``.
+    A job that fails leaves the old table as it was. If the exchange itself is interrupted, the old table is
+    the sibling folder that ends in ``.old`` and the new one that in ``.new``.
     """
-    _refuse_overlap(path, df, sources)
-    df.write.format(fmt).mode("overwrite").save(path)
-
-
-def write_csv(df: DataFrame, path: str, sources: Sequence[str] | None = None) -> None:
-    """Replace the CSV table at ``path``: a header row in each file, no index column."""
-    _refuse_overlap(path, df, sources)
-    df.write.option("header", True).mode("overwrite").csv(path)
+    home = spark._jvm.org.apache.hadoop.fs.Path
+    target = home(path.rstrip("/"))
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(target):
+        for entry in files.listStatus(target):
+            name = entry.getPath().getName()
+            if entry.isDirectory() and "=" not in name and not name.startswith(("_", ".")):
+                raise ValueError(f"Refusing to overwrite {path}: it is no table but holds the folder {name}")
+    above = target.getParent()
+    if above is not None and files.exists(above) and any(
+        entry.isFile() and entry.getPath().getName().startswith("part-") for entry in files.listStatus(above)
+    ):
+        raise ValueError(f"Refusing to write {path}: the folder above it is itself a table")
+    mark = uuid.uuid4().hex
+    fresh, old = f"{path.rstrip('/')}-{mark}.new", f"{path.rstrip('/')}-{mark}.old"
+    try:
+        write(fresh)
+    except BaseException:
+        files.delete(home(fresh), True)
+        raise
+    if files.exists(target) and not files.rename(target, home(old)):
+        raise OSError(f"cannot move {path} aside; the new table is {fresh}")
+    if not files.rename(home(fresh), target):
+        raise OSError(f"cannot move {fresh} to {path}; the old table is {old}")
+    files.delete(home(old), True)
+
+
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", sources: Sequence[str] = ()) -> None:
+    """Replace the table at ``path``; the old one stays until the new one is complete.
+
+    ``sources`` are input paths that the target must not overlap. Formats with their own transactions overwrite in place.
+    """
+    _refuse_overlap(path, sources)
+    if fmt in FILE_FORMATS:
+        _replace(df.sparkSession, path, lambda to: df.write.format(fmt).save(to))
+    else:
+        df.write.format(fmt).mode("overwrite").save(path)
+
+
+def write_csv(df: DataFrame, path: str, sources: Sequence[str] = ()) -> None:
+    """Replace the CSV table at ``path``: a header row in each file, no index column, files of bounded size."""
+    _refuse_overlap(path, sources)
+    options = {"header": True, "maxRecordsPerFile": CSV_FILE_ROWS, **DIALECT, "emptyValue": '""'}
+    _replace(df.sparkSession, path, lambda to: df.write.options(**options).csv(to))

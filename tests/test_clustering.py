@@ -1,3 +1,6 @@
+import hashlib
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -127,13 +130,57 @@ def test_lloyd_never_raises_the_inertia_and_stops_when_settled(spark):
     assert again.iterations == 0 and again.inertia == pytest.approx(settled.inertia)
 
 
-@pytest.mark.parametrize("restarts, rows", [("sample", 20_000), ("sample", 300), ("full", 300)])
-def test_fit_finds_separated_blobs(spark, restarts, rows):
+def plain_seeds(x, names, k, seed, restart):
+    """The weighted draw row by row: smallest digest first, then smallest -ln(u) / d."""
+    word = lambda name, step: int(hashlib.md5(f"{name}|{seed}|{restart}|{step}".encode()).hexdigest()[:15], 16)
+    chosen = [min(range(len(x)), key=lambda i: word(names[i], 0))]
+    for step in range(1, k):
+        d = ((x[:, None, :] - x[chosen][None]) ** 2).sum(axis=2).min(axis=1)
+        draw = lambda i: -math.log((word(names[i], step) + 0.5) / 2.0**60) / d[i]
+        chosen.append(min((i for i in range(len(x)) if d[i] > 0), key=draw))
+    return x[chosen]
+
+
+def test_seeds_are_the_weighted_draw_on_any_partitioning(spark):
+    x = np.random.default_rng(6).standard_normal((120, 2))
+    for parts in (1, 4, 8):
+        df = spark.createDataFrame([(i, *map(float, row)) for i, row in enumerate(x)], "id int, f0 double, f1 double").repartition(parts)
+        for limit in (1, 10_000):
+            clustering.UNROLLED_TERMS, kept = limit, clustering.UNROLLED_TERMS
+            try:
+                starts = clustering.seed_centroids(df, ["f0", "f1"], ["id"], 5, 7, 3)
+            finally:
+                clustering.UNROLLED_TERMS = kept
+            for r, points in enumerate(starts):
+                assert np.allclose(points, plain_seeds(x, range(len(x)), 5, 7, r))
+
+
+def test_one_model_on_any_partitioning(spark):
+    x = np.random.default_rng(7).standard_normal((400, 3))
+    rows = [(i, *map(float, row)) for i, row in enumerate(x)]
+    df = spark.createDataFrame(rows, "id int, f0 double, f1 double, f2 double")
+    names = ["f0", "f1", "f2"]
+    models = [fit_kmeans(df.repartition(p), names, k=5, n_init=4, keys=["id"]) for p in (1, 4, 8)]
+    for model in models:
+        assert np.allclose(model.centroids, models[0].centroids, atol=1e-9) and model.iterations == models[0].iterations
+    plain = []
+    for r in range(4):
+        points = plain_seeds(x, range(len(x)), 5, 42, r)
+        for _ in range(300):
+            moved = numpy_lloyd(x, points, 1)
+            shift = ((moved - points) ** 2).sum()
+            points = moved
+            if shift <= 1e-4 * x.var(axis=0).mean():
+                break
+        plain.append((numpy_nearest(x, points)[1].sum(), points))
+    cost, points = min(plain, key=lambda p: p[0])
+    assert models[0].inertia == pytest.approx(cost) and np.allclose(models[0].centroids, points)
+
+
+def test_fit_finds_separated_blobs(spark):
     blobs = generate_blobs(spark, 1200)
     names = [f"feature_{i}" for i in range(1, 5)]
-    model = sorted_centroids(
-        fit_kmeans(blobs, names, 4, n_init=4, keys=["id"], restarts=restarts, restart_rows=rows, tol=0.0)
-    )
+    model = sorted_centroids(fit_kmeans(blobs, names, 4, n_init=4, keys=["id"], tol=0.0))
     means = blobs.groupBy("true_label").agg(*(F.avg(n) for n in names)).collect()
     expected = np.array(sorted(tuple(r)[1:] for r in means))
     assert np.abs(np.array(model.centroids) - expected).max() < 0.2
@@ -143,11 +190,20 @@ def test_fit_finds_separated_blobs(spark, restarts, rows):
     assert np.allclose(numpy_lloyd(values, model.centroids, 1), model.centroids)
 
 
+def test_many_centroids_travel_in_several_passes(spark, monkeypatch):
+    x = np.random.default_rng(8).standard_normal((60, 2))
+    df, names = frame(spark, x)
+    starts = [x[i:i + 3].tolist() for i in range(5)]
+    whole = {(r["start"], r["cluster"]): r["n"] for r in centroid_sums(df, names, starts).collect()}
+    monkeypatch.setattr(clustering, "CENTROID_BYTES", 2 * 3 * 2 * 8)
+    assert {(r["start"], r["cluster"]): r["n"] for r in centroid_sums(df, names, starts).collect()} == whole
+
+
 def test_fit_without_a_key_on_mostly_equal_rows(spark):
     df = spark.range(0, 1200, 1, 4).select(
         F.when(F.col("id") < 800, F.lit(0.0)).otherwise(100.0 + (F.col("id") % 2) * 50).alias("f0")
     )
-    model = sorted_centroids(fit_kmeans(df, ["f0"], k=3, n_init=3, restart_rows=300))
+    model = sorted_centroids(fit_kmeans(df, ["f0"], k=3, n_init=3))
     assert model.centroids == ((0.0,), (100.0,), (150.0,)) and model.inertia == 0.0
 
 
@@ -157,8 +213,8 @@ def test_fit_checks_its_input(spark):
         fit_kmeans(df, ["f0"], k=1)
     with pytest.raises(ValueError, match="cannot form"):
         fit_kmeans(spark.createDataFrame([(1.0,)], "f0 double"), ["f0"], k=2)
-    with pytest.raises(ValueError):
-        fit_kmeans(spark.createDataFrame([(1.0,)], "f0 double"), ["f0"], k=1, restarts="none")
+    with pytest.raises(ValueError, match="f0"):
+        fit_kmeans(spark.createDataFrame([(1.0,), (float("inf"),)], "f0 double"), ["f0"], k=1)
 
 
 def test_fit_on_fewer_distinct_rows_than_clusters(spark):

@@ -1,4 +1,5 @@
 import logging
+import pathlib
 
 import numpy as np
 import pandas as pd
@@ -8,6 +9,7 @@ from reference_math import ks as numpy_ks
 from reference_math import silhouette as numpy_silhouette
 
 from segwatch import FEATURE_COLS, RunLog, Settings, evaluate, monitor, run_monitoring, run_scoring, score, train
+from segwatch.functions import storage
 from segwatch.operators.summary import value_counts
 from segwatch.plans.jobs import label_with
 from segwatch.sources.blobs import generate_blobs
@@ -37,7 +39,7 @@ def normal(spark, n, seed):
 
 def test_train_returns_the_recorded_run(spark, runs):
     run_id = train(normal(spark, 200, 1), ["id"], runs, Settings(n_clusters=3, n_init=2))
-    assert runs.params(run_id) == {"n_clusters": "3", "random_state": "42", "max_iter": "300", "n_init": "2"}
+    assert runs.params(run_id) == {"kind": "training", "n_clusters": "3", "random_state": "42", "max_iter": "300", "n_init": "2"}
     assert set(runs.metrics(run_id)) == {"inertia", "silhouette_score", "davies_bouldin_score"}
     assert runs.resolve("segments", "candidate") == ("1", run_id)
     assert len(runs.load_clustering(run_id).centroids) == 3
@@ -85,7 +87,7 @@ def test_weak_candidate_is_not_promoted(spark, runs, caplog):
         metrics = evaluate(df, ["id"], runs, SETTINGS)
     assert {"silhouette_score", "davies_bouldin_score"} <= set(metrics)
     assert 0 < metrics["silhouette_score"] < 0.35
-    assert "not promoted" in caplog.text
+    assert "stays candidate" in caplog.text
     with pytest.raises(LookupError):
         runs.resolve("segments", "champion")
     at_threshold = Settings(n_init=2, silhouette_threshold=metrics["silhouette_score"])
@@ -107,14 +109,14 @@ def test_stored_scaler_differs_from_a_refit_on_other_data(spark, runs, blobs):
 
 def test_missing_columns_and_values(spark, runs, blobs):
     df = read_table(spark, blobs)
-    with pytest.raises(ValueError, match="Missing expected columns"):
+    with pytest.raises(ValueError, match="are needed"):
         train(df.drop("feature_2"), ["id"], runs, SETTINGS)
     holed = df.withColumn("feature_1", F.when(F.col("id") > 3, F.col("feature_1")))
     with pytest.raises(ValueError, match="'feature_1': 4"):
         train(holed, ["id"], runs, SETTINGS)
     train(df, ["id"], runs, SETTINGS)
     evaluate(df, ["id"], runs, SETTINGS)
-    with pytest.raises(ValueError, match="Missing expected columns"):
+    with pytest.raises(ValueError, match="are needed"):
         score(df.drop("feature_2"), runs, SETTINGS)
     assert score(holed, runs, SETTINGS, missing="null").where("cluster is null").count() == 4
     with pytest.raises(Exception, match="missing features"):
@@ -163,6 +165,9 @@ def test_monitoring_two_tables(spark, runs, blobs, tmp_path):
 def test_sinks_round_trip_and_refuse_their_input(spark, blobs, tmp_path):
     df = read_table(spark, blobs)
     for target in (blobs, f"file:{blobs}/", f"{blobs}/sub", str(tmp_path)):
+        with pytest.raises(ValueError, match="Refusing"):
+            write_table(df, target, sources=[blobs])
+    for target in (f"{blobs}/sub", str(tmp_path)):
         with pytest.raises(ValueError, match="Refusing"):
             write_table(df, target)
     assert df.count() == 600
@@ -175,3 +180,59 @@ def test_sinks_round_trip_and_refuse_their_input(spark, blobs, tmp_path):
     assert read_csv(spark, target, df.schema).count() == 5
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         read_table(spark, str(tmp_path / "absent")).count()
+
+
+def test_a_failing_overwrite_keeps_the_old_table(spark, blobs, tmp_path):
+    target = str(tmp_path / "out")
+    write_table(spark.range(7), target)
+    bad = spark.range(100).selectExpr("if(id = 99, raise_error('stop'), id) AS id")
+    with pytest.raises(Exception, match="stop"):
+        write_table(bad, target)
+    assert read_table(spark, target).count() == 7
+    assert {p.name for p in tmp_path.iterdir()} == {"out", "blobs"}
+    write_table(read_table(spark, target).where("id < 3"), target)  # its own input, complete before the exchange
+    assert read_table(spark, target).count() == 3
+
+
+def test_failing_scoring_keeps_the_old_predictions(spark, runs, blobs, tmp_path):
+    df = read_table(spark, blobs)
+    train(df, ["id"], runs, SETTINGS)
+    evaluate(df, ["id"], runs, SETTINGS)
+    target = str(tmp_path / "predictions")
+    run_scoring(blobs, target, runs, SETTINGS)
+    holes = str(tmp_path / "holes")
+    write_table(df.withColumn("feature_2", F.when(F.col("id") != 17, F.col("feature_2"))), holes)
+    with pytest.raises(Exception, match="missing features"):
+        run_scoring(holes, target, runs, SETTINGS)
+    assert read_table(spark, target).where("cluster IS NOT NULL").count() == 600
+
+
+def test_csv_keeps_every_kind_of_text(spark, tmp_path):
+    texts = ["two\nlines", 'say "hi", ok', "", None, " pad ", '"', '""', ",", "\\", "\\\"", "a\tb", "NULL", "é🎉", '\n', "'", "#x"]
+    df = spark.createDataFrame([(i, t, i / 2) for i, t in enumerate(texts)], "id int, text string, value double")
+    target = str(tmp_path / "texts")
+    write_csv(df, target)
+    assert {r["id"]: r["text"] for r in read_csv(spark, target, df.schema).collect()} == dict(enumerate(texts))
+    plain = tmp_path / "plain.csv"
+    plain.write_text('id,text\n1,"say ""hi"", ok"\n2,"two\nlines"\n3, pad \n')
+    assert [r["text"] for r in read_csv(spark, str(plain), "id int, text string").orderBy("id").collect()] == ['say "hi", ok', "two\nlines", " pad "]
+
+
+def test_runs_know_their_kind(spark, runs, blobs):
+    df = read_table(spark, blobs)
+    run_id = train(df, ["id"], runs, SETTINGS)
+    assert runs.kind(run_id) == "training"
+    assert runs.kind(monitor(df, df, runs, SETTINGS).run_id) == "monitoring"
+
+
+def test_value_counts_leave_out_every_missing_value(spark):
+    df = spark.createDataFrame([(1.0,), (1.0,), (float("nan"),), (None,)], "x double")
+    assert [tuple(r) for r in value_counts(df, "x").collect()] == [(1.0, 2)]
+
+
+def test_released_intermediate_tables_are_gone(spark):
+    folder = pathlib.Path(storage.shared_folder(spark)) / f"segwatch-{spark.sparkContext.applicationId}"
+    kept = storage.cut(spark.range(10))
+    assert kept.count() == 10 and folder.exists()
+    storage.release(spark)
+    assert not folder.exists()

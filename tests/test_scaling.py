@@ -30,7 +30,7 @@ def test_mean_zero_and_population_deviation_one(spark):
 
 
 def test_missing_column_is_named_before_any_job(spark):
-    with pytest.raises(ValueError, match=r"Missing expected columns: \['feature_1'\]"):
+    with pytest.raises(ValueError, match=r"Columns \['feature_1'\] are needed"):
         scale_features(table(spark).drop("feature_1"), FEATURE_COLS)
     with pytest.raises(ValueError, match=r"\['a', 'b'\]"):
         require_columns(table(spark), ["a", "feature_1", "b"])
