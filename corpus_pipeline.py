@@ -27,8 +27,10 @@ def _documents(df: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Failing lines go, and documents that are junk or lose too much with them."""
-    judged = line_quality(docs.select(*COLUMNS)).where("quality.kept")
-    return _documents(judged.withColumn("text", F.col("quality.cleaned")))
+    judged = line_quality(docs.select(*COLUMNS))
+    # As a filter on ``quality`` would be moved below it, the rules would be evaluated twice.
+    kept = judged.withColumn("quality", F.explode(F.filter(F.array("quality"), lambda q: q["kept"])))
+    return _documents(kept.withColumn("text", F.col("quality.cleaned")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
