@@ -6,6 +6,7 @@ shuffle and no key that could be hot; a long text is one row of arrays and nothi
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -55,8 +56,9 @@ def words_of(text: Column) -> Column:
     return F.when(F.length(inner) > 0, F.split(inner, SPACE_RUN)).otherwise(F.array().cast("array<string>"))
 
 
-def _without(text: Column, signs: str) -> Column:
-    return F.translate(text, signs, "")
+def _count(text: Column, signs: str) -> Column:
+    """How many characters of ``text`` are among ``signs``."""
+    return F.regexp_count(text, F.lit("[" + re.sub(r"(\W)", r"\\\1", signs) + "]"))
 
 
 def _repeat_words(words: Column) -> Column:
@@ -86,12 +88,16 @@ def _repeat_words(words: Column) -> Column:
 
 def line_fails(line: Column, rules: LineRules = LineRules()) -> Column:
     """True for a line that breaks the punctuation, navigation or boilerplate rule. Blank lines pass."""
-    body = F.btrim(line, F.lit(SPACES))
-    n_words = F.size(F.split(body, SPACE_RUN))
-    signs = F.length(body) - F.length(_without(body, SEPARATORS))
-    navigation = (signs >= rules.min_separators) & (signs >= rules.separator_share * n_words)
-    punctuation = (n_words >= rules.min_words) & ~F.rlike(body, F.lit(ENDINGS))
-    return (F.length(body) > 0) & (navigation | punctuation | F.rlike(body, F.lit(BOILERPLATE)))
+
+    def judged(body: Column, n_words: Column, signs: Column) -> Column:
+        navigation = (signs >= rules.min_separators) & (signs >= rules.separator_share * n_words)
+        punctuation = (n_words >= rules.min_words) & ~F.rlike(body, F.lit(ENDINGS))
+        return (F.length(body) > 0) & (navigation | punctuation | F.rlike(body, F.lit(BOILERPLATE)))
+
+    return _let(F.btrim(line, F.lit(SPACES)), lambda body: _let(
+        F.struct(F.size(F.split(body, SPACE_RUN)).alias("words"), _count(body, SEPARATORS).alias("signs")),
+        lambda n: judged(body, n["words"], n["signs"]),
+    ))
 
 
 def line_quality(df: DataFrame, text: str = "text", rules: LineRules = LineRules()) -> DataFrame:
@@ -114,8 +120,8 @@ def line_quality(df: DataFrame, text: str = "text", rules: LineRules = LineRules
     def described(ws: Column) -> Column:
         return F.struct(
             F.size(ws).cast("bigint").alias("n_words"),
-            F.length(_without(body, SPACES)).cast("bigint").alias("word_chars"),
-            (F.length(body) - F.length(_without(body, SYMBOLS))).cast("bigint").alias("n_symbols"),
+            F.length(F.array_join(ws, "")).cast("bigint").alias("word_chars"),
+            _count(body, SYMBOLS).cast("bigint").alias("n_symbols"),
             _repeat_words(ws).alias("n_repeat_words"),
         )
 
