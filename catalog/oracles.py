@@ -245,6 +245,34 @@ def _blob_fit(steps: int = 12) -> str:
     )
 
 
+def _blobs_by_label_means() -> str:
+    """CTEs ``near`` (standardised blobs with the nearest label mean) and ``sampled``."""
+    d = DIMS[:4]
+    stats = ", ".join(f"avg({f}) AS m{i}, stddev_pop({f}) AS s{i}" for i, f in enumerate(d))
+    xs = ", ".join(f"({f} - m{i}) / s{i} AS x{i}" for i, f in enumerate(d))
+    means = ", ".join(f"avg(x{i}) AS m{i}" for i in range(4))
+    away = " + ".join(f"(z.x{i} - c.m{i}) * (z.x{i} - c.m{i})" for i in range(4))
+    return (
+        f"blob_stats AS (SELECT {stats} FROM blobs), z AS (SELECT o_orderkey, true_label, {xs} FROM blobs, blob_stats), "
+        f"label_mean AS (SELECT true_label AS own, {means} FROM z GROUP BY true_label), "
+        f"near AS (SELECT o_orderkey, x0, x1, x2, x3, c.own, {away} AS distance FROM z, label_mean c "
+        "QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY distance, c.own) = 1), "
+        "sampled AS (SELECT o_orderkey AS id, own, x0, x1, x2, x3 FROM near "
+        "ORDER BY md5(concat_ws('|', o_orderkey, '42')) LIMIT 2000)"
+    )
+
+
+def _verdict(near: str) -> str:
+    """The recorded metrics of a candidate and whether it was promoted, from ``near``, ``sil`` and ``dbi``."""
+    return (
+        "SELECT 'inertia' AS key, 1.0::DOUBLE AS value UNION ALL SELECT 'eval_inertia', 1.0 UNION ALL "
+        f"SELECT 'eval_inertia_on_data', (SELECT round(sum(distance), 3) FROM {near}) UNION ALL "
+        "SELECT 'eval_silhouette_score', (SELECT round(silhouette, 3) FROM sil) UNION ALL "
+        "SELECT 'eval_davies_bouldin_score', (SELECT round(davies_bouldin, 3) FROM dbi) UNION ALL "
+        "SELECT 'promoted', (SELECT CASE WHEN silhouette >= 0.35 THEN 1.0 ELSE 0.0 END FROM sil)"
+    )
+
+
 EVALUATED = f"{ASSIGNED}, {SAMPLED}, {_silhouette('sampled', ROW_DISTANCE)}, {LABELLED}, {_davies_bouldin('labelled', 4)}"
 EMBEDDED_WIDE = "wide AS (SELECT label AS own, " + ", ".join(f"v[{i + 1}] AS x{i}" for i in range(64)) + " FROM embedded)"
 
@@ -293,6 +321,8 @@ ORACLES: dict[str, str] = {
     "silhouette_on_embeddings": f"WITH {EMBEDDED}, sampled AS (SELECT vec_id AS id, label AS own, v FROM embedded "
     "ORDER BY md5(concat_ws('|', vec_id, '42')) LIMIT 2000), "
     f"{_silhouette('sampled', 'list_distance(a.v, b.v)')} SELECT round(silhouette, 6) AS silhouette, n, n_clusters FROM sil",
+    "silhouette_all_rows_on_embeddings": f"WITH {EMBEDDED}, whole AS (SELECT vec_id AS id, label AS own, v FROM embedded), "
+    f"{_silhouette('whole', 'list_distance(a.v, b.v)')} SELECT round(silhouette, 6) AS silhouette, n, n_clusters FROM sil",
     "davies_bouldin_on_lineitem": f"{ASSIGNED}, {LABELLED}, {_davies_bouldin('labelled', 4)} "
     "SELECT round(davies_bouldin, 6) AS davies_bouldin, n_clusters FROM dbi",
     "davies_bouldin_on_embeddings": f"WITH {EMBEDDED}, {EMBEDDED_WIDE}, {_davies_bouldin('wide', 64)} "
@@ -324,9 +354,7 @@ ORACLES: dict[str, str] = {
     "promotions": "SELECT 'model-' || o_custkey AS model, 'champion' AS alias, CAST(o_orderkey AS VARCHAR) AS version, "
     "o_orderkey AS seq FROM orders WHERE o_orderpriority <> '1-URGENT' AND o_totalprice / 1000000.0 >= 0.35",
     "batch_scoring": f"{ASSIGNED} SELECT {KEY_LIST}, {FEATURE_LIST}, cluster FROM near0",
-    "evaluation": f"{EVALUATED} SELECT 'inertia' AS key, 1.0::DOUBLE AS value UNION ALL SELECT 'eval_inertia', 1.0 UNION ALL "
-    "SELECT 'eval_inertia_on_data', (SELECT round(sum(distance), 3) FROM near0) UNION ALL "
-    "SELECT 'eval_silhouette_score', (SELECT round(silhouette, 3) FROM sil) UNION ALL "
-    "SELECT 'eval_davies_bouldin_score', (SELECT round(davies_bouldin, 3) FROM dbi) UNION ALL "
-    "SELECT 'promoted', (SELECT CASE WHEN silhouette >= 0.35 THEN 1.0 ELSE 0.0 END FROM sil)",
+    "evaluation": f"{EVALUATED} {_verdict('near0')}",
+    "evaluation_of_blobs": f"WITH {_blobs()}, {_blobs_by_label_means()}, {_silhouette('sampled', ROW_DISTANCE)}, "
+    f"{_davies_bouldin('near', 4)} {_verdict('near')}",
 }

@@ -246,6 +246,11 @@ def silhouette_on_embeddings(spark, sf_dir):
     return _rounded(silhouette(_embeddings(spark, sf_dir), DIMS, "label", ["vec_id"]), ["silhouette"])
 
 
+def silhouette_all_rows_on_embeddings(spark, sf_dir):
+    rows = _embeddings(spark, sf_dir)
+    return _rounded(silhouette(rows, DIMS, "label", ["vec_id"], sample_size=None), ["silhouette"])
+
+
 def davies_bouldin_on_lineitem(spark, sf_dir):
     return _rounded(davies_bouldin(_labelled(spark, sf_dir), FEATURES, "cluster"), ["davies_bouldin"])
 
@@ -412,15 +417,35 @@ def batch_scoring(spark, sf_dir):
     return written.select(*KEYS, *FEATURES, "cluster")
 
 
-def evaluation(spark, sf_dir):
+def _verdict(runs: RunLog) -> DataFrame:
     """Metrics recorded for the candidate, and whether it became champion."""
-    runs = _registered(spark, sf_dir, CANDIDATE)
-    evaluate(_lineitem(spark, sf_dir), KEYS, runs, SETTINGS)
     recorded = history.latest_metrics(runs.table("metrics")).select("key", F.round("value", 3).alias("value"))
     promoted = runs.table("aliases").agg(F.count_if(F.col("alias") == CHAMPION).cast("double").alias("value"))
     return recorded.unionAll(promoted.select(F.lit("promoted").alias("key"), "value"))
 
 
+def evaluation(spark, sf_dir):
+    runs = _registered(spark, sf_dir, CANDIDATE)
+    evaluate(_lineitem(spark, sf_dir), KEYS, runs, SETTINGS)
+    return _verdict(runs)
+
+
+def evaluation_of_blobs(spark, sf_dir):
+    """The label means of well separated blobs pass the gate."""
+    blobs = blobs_for_keys(_table(spark, sf_dir, "orders"), "o_orderkey")
+    scaled, scaler = scale_features(blobs, BLOB_FEATURES)
+    means = scaled.groupBy("true_label").agg(*(F.avg(f).alias(f) for f in BLOB_FEATURES)).orderBy("true_label")
+    centroids = tuple(tuple(r[f] for f in BLOB_FEATURES) for r in means.collect())
+    runs, settings = RunLog(spark, fresh_path(spark, "runs")), Settings()
+    run_id = runs.start_run()
+    runs.log_metrics(run_id, {"inertia": 1.0})
+    runs.store_scaler(run_id, scaler)
+    version = runs.register(settings.model_name, run_id, Clustering(BLOB_FEATURES, centroids, 1.0, 0))
+    runs.set_alias(settings.model_name, CANDIDATE, version)
+    evaluate(blobs, ["o_orderkey"], runs, settings)
+    return _verdict(runs)
+
+
 def training(spark, sf_dir):
     """Train, evaluate and promote on blobs; the recorded metrics of the run."""
     runs = RunLog(spark, fresh_path(spark, "runs"))
@@ -438,9 +463,10 @@ QUERIES: dict[str, Query] = {
         split_halves_by_key, split_halves_by_date, drop_missing_per_feature, first_rows, row_sample, row_counts,
         row_counts_if, moments, standardised_rows, stored_scalers, apply_stored_scaler, clusters_by_frequency,
         nearest_centroid, lloyd_steps, training_labels, kmeans_on_blobs, kmeans_on_lineitem, inertia_on_lineitem,
-        silhouette_on_lineitem, silhouette_on_embeddings, davies_bouldin_on_lineitem, davies_bouldin_on_embeddings,
+        silhouette_on_lineitem, silhouette_on_embeddings, silhouette_all_rows_on_embeddings,
+        davies_bouldin_on_lineitem, davies_bouldin_on_embeddings,
         ks_on_lineitem, ks_on_events, drift_of_lineitem, drifted_by_price, monitoring_metrics, monitoring, run_params,
         run_metrics, latest_metrics, prefixed_metrics, next_versions, latest_versions, candidate_aliases,
-        current_aliases, resolved_aliases, promotions, batch_scoring, evaluation, training,
+        current_aliases, resolved_aliases, promotions, batch_scoring, evaluation, evaluation_of_blobs, training,
     )
 }

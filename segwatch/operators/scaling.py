@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -15,10 +14,8 @@ from segwatch.functions.storage import local_table
 
 SCALER_SCHEMA = "feature string, position int, mean double, std double, scale double"
 
-# Rows counted for the rounding error of a mean in `_scale`. Partial means are merged pairwise
-# across partitions, so the error stops growing with the table; without this limit a trillion rows
-# would make every column whose spread is below 0.02 % of its mean look constant.
-ROUNDING_ROWS = 1 << 20
+# Spread relative to the mean below which a column is rounding noise, whatever the number of rows.
+CONSTANT_SPREAD = 1e-12
 
 
 @dataclass(frozen=True)
@@ -85,14 +82,11 @@ def column_moments(df: DataFrame, features: Sequence[str], by: Sequence[str] = (
 def with_scale(moments: DataFrame) -> DataFrame:
     """Add the divisor: the standard deviation, or 1 where the column is constant.
 
-    Constant means a variance no larger than the rounding error of summing ``n`` values of that
-    size, the rule public standard scalers use.
+    Constant means a deviation of at most ``CONSTANT_SPREAD`` times the mean. Public standard scalers use
+    the rounding error of summing the rows, which grows with their number and agrees at about 4 500 rows.
     """
-    n = F.least(F.col("n"), F.lit(ROUNDING_ROWS)).cast("double")
-    eps = F.lit(sys.float_info.epsilon)
-    variance = F.col("std") * F.col("std")
-    rounding = n * eps * variance + F.pow(n * F.col("mean") * eps, F.lit(2.0))
-    return moments.withColumn("scale", F.when(variance <= rounding, F.lit(1.0)).otherwise(F.col("std")))
+    constant = F.col("std") <= CONSTANT_SPREAD * F.abs("mean")
+    return moments.withColumn("scale", F.when(constant, F.lit(1.0)).otherwise(F.col("std")))
 
 
 def fit_scaler(df: DataFrame, features: Sequence[str], allow_missing: bool = True) -> Scaler:

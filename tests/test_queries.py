@@ -47,3 +47,8 @@ def test_training_metrics(spark, sf_dir):
     values = {r["key"]: r["value"] for r in QUERIES["training"](spark, sf_dir).collect()}
     assert values["silhouette_score"] > 0.35
     assert values["eval_inertia"] == values["inertia"] == pytest.approx(values["eval_inertia_on_data"])
+
+
+def test_separated_blobs_pass_the_gate(spark, sf_dir):
+    values = {r["key"]: r["value"] for r in QUERIES["evaluation_of_blobs"](spark, sf_dir).collect()}
+    assert values["promoted"] == 1.0 and values["eval_silhouette_score"] > 0.35

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 
 from segwatch import FEATURE_COLS
 from segwatch.functions.columns import require_columns
-from segwatch.operators.scaling import Scaler, apply_scaler, column_moments, fit_scaler, scale_features
+from segwatch.operators.scaling import Scaler, apply_scaler, column_moments, fit_scaler, scale_features, with_scale
 
 
 def table(spark, n=100, seed=0):
@@ -92,3 +92,12 @@ def test_scaled_output_is_standard(spark, values):
     assert abs(out.mean()) < 1e-6
     if scaler.scales[0] == scaler.stds[0]:
         assert out.std() == pytest.approx(1.0, abs=1e-6)
+
+
+def test_constant_columns_follow_one_rule_at_every_number_of_rows(spark):
+    def moments(n, std):
+        return spark.createDataFrame([("a", n, 1e6, std)], "feature string, n bigint, mean double, std double")
+
+    for n in (2, 10**4, 10**12):
+        assert with_scale(moments(n, 1e-7)).head()["scale"] == 1.0
+        assert with_scale(moments(n, 1e-3)).head()["scale"] == 1e-3
