@@ -15,7 +15,9 @@ from segwatch.functions.storage import cut, local_table
 
 MIN_BUCKETS = 256
 BUCKETS_PER_ROOT = 1
-MAX_BUCKET_ROWS = 1 << 18  # features x buckets: what is broadcast, about 16 MB
+MAX_BUCKET_ROWS = 1 << 18  # features x buckets of the first round: what is broadcast, about 16 MB
+PIECES = 64  # parts of an open bucket in each further round
+SORTED_ROWS = 1 << 16  # an open bucket with more rows is parted again
 SAMPLES_PER_BUCKET = 32  # rows looked at to place the bounds; they affect balance, never the result
 
 
@@ -73,59 +75,103 @@ def _bucketed(df: DataFrame, features: Sequence[str], side: str, bounds: list[li
     return bucketizer.transform(wide).select("is_reference", F.inline(rows)).where(~F.isnan("value"))
 
 
+def _as_it_is(df: DataFrame) -> DataFrame:
+    return df
+
+
+def _parted(rows: DataFrame, open_buckets: DataFrame) -> DataFrame:
+    """The rows of the open buckets, dealt anew by quantiles of their bucket, with the old bucket as ``parent``.
+
+    A quantile's own value is a bucket by itself, so a frequent value never keeps others from being parted.
+    """
+    shares = [i / PIECES for i in range(1, PIECES)]
+    marks = cut(
+        rows.join(open_buckets.select("f", "bucket"), ["f", "bucket"], "left_semi")
+        .groupBy("f", "bucket").agg(F.percentile_approx("value", shares, 4 * PIECES).alias("marks")),
+        "marks",
+    )
+    below = F.size(F.filter("marks", lambda m: m < F.col("value")))
+    upto = F.size(F.filter("marks", lambda m: m <= F.col("value")))
+    return rows.join(marks, ["f", "bucket"]).select(
+        "is_reference", "f", F.col("bucket").alias("parent"),
+        (F.col("bucket").cast("bigint") * (2 * PIECES) + below + upto).alias("bucket"), "value",
+    )
+
+
 def ks_by_side(df: DataFrame, features: Sequence[str], side: str) -> DataFrame:
     """``feature, ks_stat, n_ref, n_curr`` between the rows where ``side`` is true and the others.
 
-    The exact largest gap between the two empirical distribution functions, in two stages:
+    The exact largest gap between the two empirical distribution functions, in stages:
 
     1. Count both sides per bucket of values. The combined counts are features x buckets rows, and
        give the gap at every bucket edge and an upper limit of it inside every bucket.
     2. Only buckets of several values whose limit exceeds the largest gap already found can hold a
-       larger one. Their rows are counted per distinct value (combined on the map side, so a value
+       larger one. While one of them has more than ``SORTED_ROWS`` rows, these open buckets are parted and
+       counted again, and the gaps at the new edges rule out more of them.
+    3. The rows of the last open buckets are counted per distinct value (combined on the map side, so a value
        of any frequency travels as one row per task) and summed up in order within the bucket.
 
     Missing values are dropped per feature. Raises ``ValueError`` when a side has none left.
     """
     require_columns(df, [*features, side])
     features = list(features)
-    long = _bucketed(df, features, side, _bounds(df, features))
+    rows = _bucketed(df, features, side, _bounds(df, features))
     counted = [
         F.count_if(F.col("is_reference")).alias("n_ref"),
         F.count_if(~F.col("is_reference")).alias("n_curr"),
     ]
+    one_value = (F.min("value") == F.max("value")).alias("one_value")
 
     def gap(ref: str, curr: str) -> Column:
         return F.abs(F.try_divide(F.col(ref), F.col("all_ref")) - F.try_divide(F.col(curr), F.col("all_curr")))
 
+    def with_gaps(counts: DataFrame, *within: str) -> DataFrame:
+        """Add to counts with ``base_ref`` and ``base_curr`` rows before them what lies before and up to each bucket."""
+        up_to_here = Window.partitionBy("f", *within).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+        return (
+            counts.withColumns({s: F.col(f"base_{s[5:]}") + F.sum(f"n_{s[5:]}").over(up_to_here) for s in ("upto_ref", "upto_curr")})
+            .withColumns({"from_ref": F.col("upto_ref") - F.col("n_ref"), "from_curr": F.col("upto_curr") - F.col("n_curr")})
+            .withColumn("at_edge", gap("upto_ref", "upto_curr"))
+            # Inside a bucket the gap is widest if one side's values all come first.
+            .withColumn("inside", F.greatest(gap("upto_ref", "from_curr"), gap("from_ref", "upto_curr")))
+        )
+
     feature = Window.partitionBy("f")
-    up_to_here = feature.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    one_value = (F.min("value") == F.max("value")).alias("one_value")
-    edges = cut(
-        long.groupBy("f", "bucket").agg(*counted, one_value)
-        .withColumns({
-            "all_ref": F.sum("n_ref").over(feature), "all_curr": F.sum("n_curr").over(feature),
-            "upto_ref": F.sum("n_ref").over(up_to_here), "upto_curr": F.sum("n_curr").over(up_to_here),
-        })
-        .withColumns({"from_ref": F.col("upto_ref") - F.col("n_ref"), "from_curr": F.col("upto_curr") - F.col("n_curr")})
-        .withColumn("at_edge", F.max(gap("upto_ref", "upto_curr")).over(feature))
-        # Inside a bucket the gap is widest if one side's values all come first.
-        .withColumn("inside", F.greatest(gap("upto_ref", "from_curr"), gap("from_ref", "upto_curr")))
-    )
-    known = edges.groupBy("f").agg(F.first("all_ref"), F.first("all_curr"), F.first("at_edge")).collect()
+    first = rows.groupBy("f", "bucket").agg(*counted, one_value).withColumns({
+        "all_ref": F.sum("n_ref").over(feature), "all_curr": F.sum("n_curr").over(feature),
+        "base_ref": F.lit(0), "base_curr": F.lit(0),
+    })
+    edges = cut(with_gaps(first), "edges")
+    known = edges.groupBy("f").agg(F.first("all_ref"), F.first("all_curr"), F.max("at_edge")).collect()
     found = {r[0]: tuple(r)[1:] for r in known}
     for i, name in enumerate(features):
         sizes = found.get(i, (0, 0))[:2]
         if 0 in sizes:
             raise ValueError(f"Feature {name} has no values on one side: {sizes[0]} and {sizes[1]} rows")
-    names = F.broadcast(local_table(
-        df.sparkSession, [(i, name, *found[i]) for i, name in enumerate(features)],
-        "f int, feature string, all_ref bigint, all_curr bigint, at_edge double",
-    ))
-    still_open = ~F.col("one_value") & (F.col("inside") > F.col("at_edge"))
-    open_buckets = F.broadcast(edges.where(still_open).select("f", "bucket", "from_ref", "from_curr"))
+    small = F.broadcast  # the first round's buckets have a fixed limit; Spark measures those of later rounds
+    while True:
+        names = F.broadcast(local_table(
+            df.sparkSession, [(i, name, *found[i]) for i, name in enumerate(features)],
+            "f int, feature string, all_ref bigint, all_curr bigint, largest double",
+        ))
+        still_open = ~F.col("one_value") & (F.col("inside") > F.col("largest"))
+        open_buckets = small(edges.join(names.select("f", "largest"), "f").where(still_open).select(
+            "f", "bucket", "from_ref", "from_curr", (F.col("n_ref") + F.col("n_curr")).alias("n_rows")
+        ))
+        if (open_buckets.agg(F.max("n_rows")).head()[0] or 0) <= SORTED_ROWS:
+            break
+        rows = _parted(rows, open_buckets)
+        parents = open_buckets.select(
+            "f", F.col("bucket").alias("parent"), F.col("from_ref").alias("base_ref"), F.col("from_curr").alias("base_curr")
+        )
+        parts = rows.groupBy("f", "parent", "bucket").agg(*counted, one_value).join(parents, ["f", "parent"])
+        edges = cut(with_gaps(parts.join(names.select("f", "all_ref", "all_curr"), "f"), "parent"), "edges")
+        for i, at_edge in edges.groupBy("f").agg(F.max("at_edge")).collect():
+            found[i] = (*found[i][:2], max(found[i][2], at_edge))
+        small = _as_it_is
 
     distinct = (
-        long.join(open_buckets.select("f", "bucket"), ["f", "bucket"], "left_semi")
+        rows.join(open_buckets.select("f", "bucket"), ["f", "bucket"], "left_semi")
         .groupBy("f", "bucket", "value").agg(*counted)
     )
     ordered = Window.partitionBy("f", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
@@ -139,7 +185,7 @@ def ks_by_side(df: DataFrame, features: Sequence[str], side: str) -> DataFrame:
         .groupBy("f").agg(F.max(gap("here_ref", "here_curr")).alias("inner"))
     )
     return names.join(inner, "f", "left").select(
-        "feature", F.greatest("at_edge", "inner").alias("ks_stat"),
+        "feature", F.greatest("largest", "inner").alias("ks_stat"),
         F.col("all_ref").alias("n_ref"), F.col("all_curr").alias("n_curr"),
     )
 

@@ -31,8 +31,10 @@ def statistic(spark, a, b):
     return ks_statistic(column(spark, a), column(spark, b), ["v"]).head()
 
 
-@pytest.mark.parametrize("buckets", [256, 4])
-def test_statistic_equals_numpy_with_ties_and_hot_values(spark, monkeypatch, buckets):
+@pytest.mark.parametrize(("buckets", "pieces", "sorted_rows"), [(256, 64, 1 << 16), (4, 64, 1 << 16), (2, 3, 5)])
+def test_statistic_equals_numpy_with_ties_and_hot_values(spark, monkeypatch, buckets, pieces, sorted_rows):
+    monkeypatch.setattr(drift, "PIECES", pieces)
+    monkeypatch.setattr(drift, "SORTED_ROWS", sorted_rows)
     monkeypatch.setattr(drift, "MIN_BUCKETS", buckets)
     monkeypatch.setattr(drift, "BUCKETS_PER_ROOT", 0)
     rng = np.random.default_rng(0)
