@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from segwatch.functions.storage import cut
 
 DELIMITER_BYTES = 1
-PARTITIONS = 256
+LEAST_PARTS = 256
+ROWS_PER_PART = 1 << 20
 
 
 def byte_shards(
-    df: DataFrame, key: str = "doc_id", text: str = "text", shards: int = 16, partitions: int = PARTITIONS
+    df: DataFrame, key: str = "doc_id", text: str = "text", shards: int = 16,
+    partitions: int | None = None, rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
     """``key, size, text_crc32, shard, slot``: every row placed in one of ``shards`` shards.
 
@@ -22,14 +24,14 @@ def byte_shards(
     ``slot`` numbers the rows of a shard from 0.
 
     Only key, size and checksum are shuffled. They are dealt by ranges of the key into
-    ``partitions`` parts; the parts' totals (one row each) give every part its offset, and running
-    sums inside the parts do the rest, so no sum runs over the table in one task. Equal keys are
+    ``partitions`` parts, by default of about ``rows_per_part`` rows and 256 at least; the parts' totals (one row each)
+    give every part its offset, and running sums inside the parts do the rest, so no sum runs over the table in one task. Equal keys are
     told apart by checksum, size and position in the input, so a key with most of the rows is dealt over many
     parts. NULL texts have size 1, NULL keys come first, repeated rows take neighbouring slots, an
     empty table gives an empty result, and other columns are not read.
     """
-    if shards < 1 or partitions < 1:
-        raise ValueError("shards and partitions must be at least 1")
+    if min(shards, 1 if partitions is None else partitions, rows_per_part) < 1:
+        raise ValueError("shards, partitions and rows_per_part must be at least 1")
     body = F.coalesce(F.col(text), F.lit(""))
     order = ["key", "text_crc32", "size", "place"]
     rows = df.select(
@@ -39,10 +41,12 @@ def byte_shards(
         F.monotonically_increasing_id().alias("place"),
     )
     # Written once: positions and part numbers must not change when a part is computed again.
-    rows = cut(rows, "shard-sizes").repartitionByRange(partitions, *order)
-    parts = cut(rows.withColumn("part", F.spark_partition_id()), "shard-parts")
+    rows = cut(rows, "shard-sizes")
+    if partitions is None:  # the count comes from the files' footers
+        partitions = max(LEAST_PARTS, -(-rows.count() // rows_per_part))
+    parts = cut(rows.repartitionByRange(partitions, *order).withColumn("part", F.spark_partition_id()), "shard-parts")
     totals = parts.groupBy("part").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
-    # One row for each part, whose number is a parameter: a proven bound for the window and the broadcast.
+    # One row of 40 bytes for each part, a millionth of the rows: 10^12 rows give 40 MB to the window and the broadcast.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     all_parts = Window.partitionBy()
     offsets = totals.select(

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from conftest_llm import EDGES
+from segwatch.llm import sharding
 from segwatch.llm.sharding import byte_shards
 
 
@@ -45,6 +46,12 @@ def test_one_key_for_most_rows(spark):
     check(byte_shards(df, partitions=8).collect(), [(r["doc_id"], r["text"]) for r in df.collect()], 16)
 
 
+def test_parts_grow_with_the_rows(documents, monkeypatch):
+    df, source = documents
+    monkeypatch.setattr(sharding, "LEAST_PARTS", 1)
+    check(byte_shards(df, rows_per_part=7).collect(), source, 16)
+
+
 def test_empty_and_wrong(edges):
     assert byte_shards(edges.limit(0)).collect() == []
     with pytest.raises(ValueError):
