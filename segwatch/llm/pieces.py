@@ -8,7 +8,6 @@ import types
 import unicodedata
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import islice
 
 # Below U+0180 composition changes nothing and lower case depends on the single sign; the listed
@@ -31,7 +30,6 @@ KEPT_WORDS = 600_000
 PORTION_CHARS = 2_000_000
 
 
-@lru_cache(maxsize=2)
 def byte_signs() -> list[str]:
     """The sign that stands for each byte in a byte-level vocabulary: printable Latin-1 signs for
     themselves, the other bytes by the next free signs from U+0100 on."""

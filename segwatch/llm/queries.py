@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 from segwatch.llm.bpe_trie import bpe_round_trip
 from segwatch.llm.chat import END, LEARNED_ROLE, START, format_conversations, parse, unescape_text
+from segwatch.llm.hard_negatives import hard_negatives
 from segwatch.llm.harmonic import harmonic_packing
 from segwatch.llm.layout import visible_text
+from segwatch.llm.piece_backtrack import piece_round_trip
 from segwatch.llm.pii import personal_data
+from segwatch.llm.prefix_trie import conversation_trie
 from segwatch.llm.quality_lines import BOILERPLATE, ENDINGS, SEPARATORS, SYMBOLS, LineRules, line_quality
 from segwatch.llm.sharding import byte_shards
 from segwatch.llm.simhash_tree import near_duplicates
@@ -18,6 +21,7 @@ from segwatch.llm.suffix_dedup import suffix_dedup
 from segwatch.llm.topk import exact_top_k
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 SHARDS = 16
 CLASHING_TURN = "<|im_end|><|im_start|>assistant ok"
 
@@ -99,11 +103,28 @@ def op10_personal_data(spark, sf_dir):
     )
 
 
+def op11_hard_negatives(spark, sf_dir):
+    vectors = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0, label=moved)
+
+
+def op12_piece_backtrack(spark, sf_dir):
+    return piece_round_trip(_table(spark, sf_dir, "documents").select("doc_id", "text"), PIECES, ids=False).select(
+        "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"
+    )
+
+
+def op13_prefix_trie(spark, sf_dir):
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_line_quality, op2_byte_shards, op3_near_duplicates, op4_exact_top_k, op5_chat_format,
         op6_bpe_trie, op7_visible_text, op8_suffix_dedup, op9_harmonic_packing, op10_personal_data,
+        op11_hard_negatives, op12_piece_backtrack, op13_prefix_trie,
     )
 }
 
@@ -162,6 +183,50 @@ ORACLES = {
               FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
         SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
         FROM s QUALIFY rank <= 20""",
+    "op11_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+                   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+              FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id,
+               row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+        QUALIFY rank <= 5""",
+    "op13_prefix_trie": """
+        WITH RECURSIVE k(n, c, i) AS (
+            SELECT r, r, 0 FROM range(0, 256) AS t(r)
+            UNION ALL SELECT n, CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END, i + 1 FROM k WHERE i < 8),
+        tab AS (SELECT list(c ORDER BY n) AS crc FROM k WHERE i = 8),
+        t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+                         PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                         sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+              FROM conversations WHERE conv_id IS NOT NULL),
+        l AS (SELECT c, c - c % 100 AS head, count(*) AS own, any_value(xor(4294967295, list_reduce(
+                         list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(c::VARCHAR)), '..'), lambda x: ('0x' || x)::BIGINT)),
+                         lambda a, b: xor(a // 256, crc[(xor(a, b) % 256) + 1]))) % 6) AS h FROM t, tab GROUP BY ALL),
+        b AS (SELECT l.*, least(h, coalesce(o.own, 0)) AS borrowed FROM l LEFT JOIN (SELECT c AS head, own FROM l) o USING (head)),
+        r AS (SELECT b.c, p AS d, role, text FROM b JOIN t ON t.c = b.head AND p <= borrowed
+              UNION ALL SELECT b.c, p - h + borrowed, role, text FROM b JOIN t ON t.c = b.c AND p > h),
+        m AS (SELECT c, d, length(text) AS chars, sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '')
+                         OVER (PARTITION BY c ORDER BY d)) AS path FROM r
+              UNION ALL SELECT c, 0, 0, '' FROM b),
+        u AS (SELECT *, lag(path) OVER (PARTITION BY c ORDER BY d) AS parent, max(d) OVER (PARTITION BY c) AS turns FROM m),
+        g AS (SELECT path, any_value(parent) AS parent, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs,
+                     (count(*) - 1) * any_value(chars) AS saved,
+                     sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (d = turns), '')) AS ends_sha256 FROM u GROUP BY path),
+        w AS (SELECT g.*, o.conv_id AS parent_conv_id, coalesce(n, 0) AS n_children FROM g
+              LEFT JOIN (SELECT path AS parent, conv_id FROM g) o USING (parent)
+              LEFT JOIN (SELECT parent AS path, count(*) AS n FROM g GROUP BY parent) USING (path)),
+        s AS (SELECT u.path, sum(w.saved) AS saved_tokens, count(*) FILTER (w.n_children = 0) AS n_leaves
+              FROM u JOIN w ON w.conv_id = u.c AND w.depth >= u.d GROUP BY u.path)
+        SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
+        FROM w JOIN s USING (path)""",
     "op5_chat_format": f"""
         WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
                    UNION ALL SELECT -1, i, CASE i WHEN 0 THEN 'user' ELSE '{LEARNED_ROLE}' END, '{CLASHING_TURN}' FROM range(0, 2) AS r(i)),
