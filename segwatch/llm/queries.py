@@ -17,7 +17,7 @@ from segwatch.llm.prefix_trie import conversation_trie
 from segwatch.llm.quality_lines import BOILERPLATE, ENDINGS, SEPARATORS, SYMBOLS, LineRules, line_quality
 from segwatch.llm.sharding import byte_shards
 from segwatch.llm.simhash_tree import near_duplicates
-from segwatch.llm.suffix_dedup import suffix_dedup
+from segwatch.llm.suffix_dedup import PASSAGE_WORDS, Strings, suffix_dedup
 from segwatch.llm.topk import exact_top_k
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -89,8 +89,11 @@ def op7_visible_text(spark, sf_dir):
 
 
 def op8_suffix_dedup(spark, sf_dir):
-    done = suffix_dedup(_table(spark, sf_dir, "documents"))
-    return done.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+    done = suffix_dedup(_table(spark, sf_dir, "documents"), counted=[Strings(PASSAGE_WORDS, words=True)])
+    return done.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256",
+        F.col("covered")[1].alias("n_passage_words"),
+    )
 
 
 def op9_harmonic_packing(spark, sf_dir):

@@ -1,17 +1,18 @@
-"""Removing byte strings of a given length that occur elsewhere, by sorting hashed suffixes.
+"""Removing strings of a given length that occur elsewhere, by sorting hashed suffixes.
 
-Only suffixes that can matter are sorted. Every string of ``length`` bytes contains an anchor: the block of half
-its length whose hash is the smallest there. Equal strings have equal anchors at equal places, so a string whose
-anchor's hash occurs once in the table has no equal. Around each shared anchor lies its context, the bytes
+The symbols of a string are bytes or whole words. Only suffixes that can matter are sorted. Every string of ``length``
+symbols contains an anchor: the block of half its length whose hash is the smallest there. Equal strings have equal anchors at equal places, so a string whose
+anchor's hash occurs once in the table has no equal. Around each shared anchor lies its context, the symbols
 that any string with this anchor can cover. Contexts that are equal as a whole are covered as a whole.
 Different contexts of one anchor are sorted by their suffixes: a mergesort whose comparisons find the common
-extension by binary search on polynomial prefix hashes, checked against the bytes afterwards.
+extension by binary search on polynomial prefix hashes, checked against the symbols themselves afterwards.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +23,12 @@ from pyspark.sql import functions as F
 from segwatch.functions.storage import cut
 
 LENGTH = 400
+PASSAGE_WORDS = 51
 SEGMENT_BYTES = 1 << 20  # long texts are hashed in overlapping segments of this size
 SORTED_CONTEXTS = 4_096  # contexts of one anchor that one task sorts; beyond it their strings are counted in the whole table
 SHARD_CONTEXTS = 2_048
-STRIDE = 25  # suffixes sorted first; those between follow where the common extensions leave them open
+PLACES = 16  # a string's length over this is the stride of the suffixes sorted first; others follow where those leave them open
+WORD_PERIOD = 4_096  # longer words repeat the multipliers of their signs
 
 _MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
@@ -41,8 +44,15 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+class Strings(NamedTuple):
+    """What is looked for: strings of ``length`` bytes, or of ``length`` words whatever the blanks between them."""
+
+    length: int = LENGTH
+    words: bool = False
+
+
 class Hasher:
-    """Polynomial prefix hashes modulo 2**64 with random byte values, and hashes of blocks from them."""
+    """Polynomial prefix hashes modulo 2**64 of bytes or of words' hashes, and hashes of blocks from them."""
 
     def __init__(self, n: int):
         self.values = _byte_values()
@@ -51,17 +61,34 @@ class Hasher:
 
     def prefixes(self, data: np.ndarray) -> np.ndarray:
         out = np.zeros(len(data) + 1, dtype="uint64")
-        np.cumsum(self.values[data] * self.powers[: len(data)], out=out[1:])
+        weights = self.values[data] if data.dtype == "uint8" else data
+        np.cumsum(weights * self.powers[: len(data)], out=out[1:])
         return out
 
     def blocks(self, data: np.ndarray, size: int) -> np.ndarray:
         """A well mixed hash of each block of ``size`` bytes, by start."""
         prefixes = self.prefixes(data)
-        mixed = (prefixes[size:] - prefixes[:-size]) * self.inverses[: len(data) - size + 1]
-        mixed ^= mixed >> np.uint64(29)
-        mixed *= np.uint64(0xBF58476D1CE4E5B9)
-        mixed ^= mixed >> np.uint64(32)
-        return mixed
+        return _mixed((prefixes[size:] - prefixes[:-size]) * self.inverses[: len(data) - size + 1])
+
+    def words(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts, ends and hashes of the words of ``data``: what lies between blanks."""
+        blank = np.ones(len(data) + 2, dtype=bool)
+        np.logical_or(data == 32, (data - 9).astype("uint8") < 5, out=blank[1:-1])
+        starts, ends = np.flatnonzero(blank[:-1] & ~blank[1:]), np.flatnonzero(~blank[:-1] & blank[1:])
+        if not len(starts):
+            return starts, ends, np.empty(0, dtype="uint64")
+        sizes = ends - starts
+        inside = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        signs = self.values[data[~blank[1:-1]]] * self.powers[: WORD_PERIOD][inside % WORD_PERIOD]
+        sums = np.add.reduceat(signs, np.cumsum(sizes) - sizes)
+        return starts, ends, _mixed(sums + sizes.astype("uint64"))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(29))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(32)
+    return x
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -76,7 +103,7 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, hasher: Hasher, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of the anchors: the blocks of smallest hash in some string of ``length`` bytes.
+    """Starts and hashes of the anchors: the blocks of smallest hash in some string of ``length`` symbols.
 
     The choice depends on the string alone; of equal smallest hashes the last counts.
     """
@@ -102,25 +129,32 @@ def anchors(data: np.ndarray, hasher: Hasher, length: int) -> tuple[np.ndarray,
     return where, np.concatenate(hashes)[first]
 
 
-def _anchor_rows(length: int):
-    block = length // 2
-
+def _anchor_rows(wanted: Sequence[Strings]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher(SEGMENT_BYTES + length)
+        hasher = Hasher(SEGMENT_BYTES + max(w.length for w in wanted))
         for batch in batches:
             texts = batch.column(2)
             rows: list[tuple[np.ndarray, ...]] = []
             contexts: list[bytes] = []
             for n, text in enumerate(texts):
                 raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-                if len(raw) < length:
-                    continue
-                where, found = anchors(np.frombuffer(raw, dtype="uint8"), hasher, length)
-                left = np.minimum(where, length - block)
-                right = np.minimum(len(raw) - where, length)
-                for a, l, r in zip(where.tolist(), left.tolist(), right.tolist()):  # noqa: E741
-                    contexts.append(hashlib.blake2b(raw[a - l:a + r], digest_size=8, salt=l.to_bytes(8, "little")).digest())
-                rows.append((np.full(len(where), n), where, found.view("int64"), left, right))
+                data = np.frombuffer(raw, dtype="uint8")
+                for kind, (length, words) in enumerate(wanted):
+                    block = length // 2
+                    symbols = hasher.words(data)[2] if words else data
+                    if len(symbols) < length:
+                        continue
+                    whole = symbols.tobytes() if words else raw
+                    size = symbols.itemsize
+                    where, found = anchors(symbols, hasher, length)
+                    left = np.minimum(where, length - block)
+                    right = np.minimum(len(symbols) - where, length)
+                    # Strings of different kinds never share an anchor, and words count whatever lies between them.
+                    salt = [bytes([kind]) + i.to_bytes(7, "little") for i in range(length - block + 1)]
+                    for a, l, r in zip(where.tolist(), left.tolist(), right.tolist()):  # noqa: E741
+                        contexts.append(hashlib.blake2b(whole[(a - l) * size:(a + r) * size], digest_size=16, salt=salt[l]).digest())
+                    rows.append((np.full(len(where), n), np.full(len(where), kind, dtype="int8"),
+                                 where, (found + np.uint64(kind)).view("int64"), left, right))
                 if len(contexts) > 1 << 17:
                     yield _anchor_batch(batch, rows, contexts)
                     rows, contexts = [], []
@@ -131,32 +165,47 @@ def _anchor_rows(length: int):
 
 
 def _anchor_batch(batch: pa.RecordBatch, rows: list[tuple[np.ndarray, ...]], contexts: list[bytes]) -> pa.RecordBatch:
-    n, where, found, left, right = (np.concatenate(c) for c in zip(*rows))
-    context = np.frombuffer(b"".join(contexts), dtype="int64")
+    n, kind, where, found, left, right = (np.concatenate(c) for c in zip(*rows))
+    digests = pa.Array.from_buffers(pa.binary(16), len(contexts), [None, pa.py_buffer(b"".join(contexts))]).cast(pa.binary())
     return pa.RecordBatch.from_arrays(
-        [batch.column(0).take(pa.array(n)), batch.column(1).take(pa.array(n)), pa.array(found), pa.array(context),
+        [batch.column(0).take(pa.array(n)), batch.column(1).take(pa.array(n)), pa.array(kind), pa.array(found), digests,
          pa.array(where), pa.array(left.astype("int16")), pa.array(right.astype("int16"))],
-        names=["doc", "mark", "hash", "context", "at", "left", "right"],
+        names=["doc", "mark", "kind", "hash", "context", "at", "left", "right"],
     )
 
 
+def _word_symbols(contexts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of contexts as numbers from 1, equal for equal words only; words in each context; a value for each number."""
+    known: dict[bytes, int] = {}
+    parts = [c.split(b" ") for c in contexts]
+    flat = np.array([known.setdefault(w, len(known) + 1) for words in parts for w in words], dtype="int32")
+    values = _mixed(np.arange(len(known) + 1, dtype="uint64") * np.uint64(_MULTIPLIER))
+    return flat, np.array([len(words) for words in parts], dtype="int64"), values
+
+
 class SuffixShard:
-    """Contexts of several anchors, framed so that the anchors stand at one place, with prefix hashes."""
+    """Contexts of several anchors, framed so that the anchors stand at one place, with prefix hashes.
+
+    The words of a context stand with one blank between them.
+    """
 
-    def __init__(self, contexts: list[bytes], left: np.ndarray, groups: np.ndarray, length: int, salt: int = 0):
+    def __init__(self, contexts: list[bytes], left: np.ndarray, groups: np.ndarray, length: int, salt: int = 0, words: bool = False):
         m, frame = len(contexts), 2 * length - length // 2
         self.length, self.groups, self.shift = length, groups, length - length // 2
-        self.bytes = np.zeros((m, frame), dtype="uint8")
         self.first = self.shift - left.astype("int64")
-        sizes = np.array([len(c) for c in contexts])
+        if words:
+            flat, sizes, values = _word_symbols(contexts)
+        else:
+            flat, sizes = np.frombuffer(b"".join(contexts), dtype="uint8"), np.array([len(c) for c in contexts])
+            values = _byte_values()
+        self.bytes = np.zeros((m, frame), dtype=flat.dtype)
         self.last = self.first + sizes
-        flat = np.frombuffer(b"".join(contexts), dtype="uint8")
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         row = np.repeat(np.arange(m), sizes)
         self.bytes[row, np.arange(len(flat)) - starts[row] + self.first[row]] = flat
         powers = _powers(_MULTIPLIER + 2 * salt, frame)
         self.hashes = np.zeros((m, frame + 1), dtype="uint64")
-        np.cumsum(_byte_values()[self.bytes] * powers, axis=1, out=self.hashes[:, 1:])
+        np.cumsum(values[self.bytes] * powers, axis=1, out=self.hashes[:, 1:])
 
     def extension(self, a: np.ndarray, b: np.ndarray, p: np.ndarray) -> np.ndarray:
         """Bytes that contexts ``a`` and ``b`` have in common from place ``p``, by binary search on the hashes."""
@@ -223,7 +272,7 @@ class SuffixShard:
         return context, place, common
 
     def _verify(self, context: np.ndarray, place: np.ndarray, common: np.ndarray, later: np.ndarray) -> None:
-        """Every neighbour's common extension is that of the bytes themselves, and the order that of the bytes."""
+        """Every neighbour's common extension is that of the symbols themselves, and the order that of the symbols."""
         for at in range(0, len(later), 8192):
             some = later[at:at + 8192]
             a, b, p, n = context[some - 1], context[some], place[some], common[some]
@@ -234,10 +283,13 @@ class SuffixShard:
             if (first != n).any() or not self.less(a, b, p).all():
                 raise HashCollision
 
-    def repeated(self) -> tuple[np.ndarray, np.ndarray]:
-        """``context, place`` of every string of the wanted length that also starts in another context of its group."""
+    def repeated(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``context, place`` of every string of the wanted length that also starts in another context of its group.
+
+        Only contexts in ``wanted`` (a mask) are asked about; the others are what they are compared with.
+        """
         length, m = self.length, len(self.first)
-        grid = np.unique(np.append(np.arange(0, self.shift, STRIDE), self.shift))
+        grid = np.unique(np.append(np.arange(0, self.shift, max(1, length // PLACES)), self.shift))
         context, column = np.nonzero(grid[None, :] >= self.first[:, None])
         extension = np.full((m, len(grid)), -1, dtype="int64")
         extension[context, column] = self._neighbours(context, grid[column])
@@ -249,12 +301,28 @@ class SuffixShard:
         valid = (t >= self.first[:, None]) & (t <= self.last[:, None] - length)
         sure = valid & (extension[:, before] >= length + t - grid[before])
         possible = valid & (extension[:, after] >= length - (grid[after] - t)) & (grid[after] != t)
-        # Sorted again are all possible strings of a group at the places where one of them is open.
+        # Sorted again are all possible strings of a group at the places where one of them is open. What lies between
+        # two sure strings of a context changes nothing, as all of them cover its anchor.
+        left_of, right_of = sure.argmax(axis=1)[:, None], sure.shape[1] - 1 - sure[:, ::-1].argmax(axis=1)[:, None]
+        open_ones = possible & ~sure & wanted[:, None] & ~(sure.any(axis=1)[:, None] & (t > left_of) & (t < right_of))
         part = self.groups[:, None] * len(t) + t
-        context, place = np.nonzero(possible & np.isin(part, np.unique(part[possible & ~sure])))
+        context, place = np.nonzero(possible & np.isin(part, np.unique(part[open_ones])))
         good = self._neighbours(context, place) >= length
         sure[context[good], place[good]] = True
-        return np.nonzero(sure)
+        return np.nonzero(sure & wanted[:, None])
+
+    def repeated_earlier(self) -> tuple[np.ndarray, np.ndarray]:
+        """``context, place`` of every string of the wanted length that also starts in an earlier context of its group."""
+        t = np.arange(self.shift + 1)
+        context, place = np.nonzero((t >= self.first[:, None]) & (t <= self.last[:, None] - self.length))
+        if not len(context):
+            return context, place
+        context, place, common = self.sort(context, place)
+        part = self.groups[context] * self.bytes.shape[1] + place
+        new = np.concatenate([[True], (part[1:] != part[:-1]) | (common[1:] < self.length)])
+        first = np.minimum.reduceat(context, np.flatnonzero(new))[np.cumsum(new) - 1]
+        later = context > first
+        return context[later], place[later]
 
     def _neighbours(self, context: np.ndarray, place: np.ndarray) -> np.ndarray:
         """The longest common extension of each suffix with any other at its place in its group."""
@@ -271,17 +339,22 @@ class HashCollision(Exception):
     pass
 
 
-def covered_ranges(contexts: list[bytes], left: np.ndarray, groups: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each context, the bytes covered by repeated strings, counted from the anchor; (0, 0) for none.
+def covered_ranges(
+    contexts: list[bytes], left: np.ndarray, groups: np.ndarray, length: int, words: bool = False, keep_first: bool = False,
+    wanted: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
+    """For each context, the symbols covered by repeated strings, counted from the anchor; (0, 0) for none.
 
-    All strings contain the anchor, so what they cover is one range. A hash collision is found by the check of
-    the sorted order and answered by sorting again under another multiplier.
+    All strings contain the anchor, so what they cover is one range. With ``keep_first`` strings count that an earlier
+    context has, else those that any other has. A hash collision is found by the check of the sorted order
+    and answered by sorting again under another multiplier.
     """
     salt = 0
+    asked = np.ones(len(contexts), dtype=bool) if wanted is None else wanted
     while True:
-        shard = SuffixShard(contexts, left, groups, length, salt)
+        shard = SuffixShard(contexts, left, groups, length, salt, words)
         try:
-            context, place = shard.repeated()
+            context, place = shard.repeated_earlier() if keep_first else shard.repeated(asked)
             break
         except HashCollision:
             salt += 1
@@ -292,22 +365,27 @@ def covered_ranges(contexts: list[bytes], left: np.ndarray, groups: np.ndarray,
     return np.where(high > 0, low - shard.shift, 0), np.where(high > 0, high - shard.shift, 0)
 
 
-def _sorted_rows(length: int):
-    """Contexts arrive sorted by anchor; whole anchors are gathered to shards and each shard is sorted."""
-
-    def finish(held: list[pa.Table]) -> pa.RecordBatch:
-        table = pa.concat_tables(held)
-        # Repeated rows of the input bring a context twice; it is one place of the text.
-        pairs = np.stack([table.column("hash").to_numpy(), table.column("context").to_numpy()])
-        table = table.take(pa.array(np.flatnonzero(np.append(True, (pairs[:, 1:] != pairs[:, :-1]).any(axis=0)))))
-        found = table.column("hash").to_numpy()
-        groups = np.cumsum(np.concatenate([[0], found[1:] != found[:-1]]))
-        low, high = covered_ranges(table.column("bytes").to_pylist(), table.column("left").to_numpy(), groups, length)
-        good = np.flatnonzero(high > low)
-        return pa.RecordBatch.from_arrays(
-            [table.column(c).combine_chunks().take(pa.array(good)) for c in ("hash", "context")]
-            + [pa.array(low[good]), pa.array(high[good])], names=["hash", "context", "low", "high"],
-        )
+def _sorted_rows(wanted: Sequence[Strings], keep_first: bool):
+    """Contexts arrive sorted by kind and anchor; whole anchors are gathered to shards and each shard is sorted."""
+
+    def finish(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        # Repeated rows of the input bring a context twice in a row; it is one place of the text.
+        pairs = list(zip(table.column("hash").to_pylist(), table.column("context").to_pylist()))
+        table = table.take(pa.array([i for i, p in enumerate(pairs) if not i or p != pairs[i - 1]]))
+        kinds = table.column("kind").to_numpy()
+        for kind in np.unique(kinds):
+            some = table.take(pa.array(np.flatnonzero(kinds == kind)))
+            found = some.column("hash").to_numpy()
+            groups = np.cumsum(np.concatenate([[0], found[1:] != found[:-1]]))
+            length, words = wanted[kind]
+            low, high = covered_ranges(
+                some.column("bytes").to_pylist(), some.column("left").to_numpy(), groups, length, words, keep_first, some.column("n").to_numpy() == 1
+            )
+            good = np.flatnonzero(high > low)
+            yield pa.RecordBatch.from_arrays(
+                [some.column(c).combine_chunks().take(pa.array(good)) for c in ("hash", "context")]
+                + [pa.array(low[good]), pa.array(high[good])], names=["hash", "context", "low", "high"],
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -320,33 +398,33 @@ def _sorted_rows(length: int):
                 ends = ends[ends >= SHARD_CONTEXTS]
                 if not len(ends):
                     break
-                yield finish([rest.slice(0, int(ends[0]))])
+                yield from finish(rest.slice(0, int(ends[0])))
                 rest = rest.slice(int(ends[0]))
         if rest is not None and rest.num_rows:
-            yield finish([rest])
+            yield from finish(rest)
 
     return run
 
 
-def _string_rows(length: int):
-    """Every string of each context as a row of two hashes, for anchors with too many contexts for one task."""
+def _string_rows(wanted: Sequence[Strings]):
+    """Every string of each context with its digest, for anchors with too many contexts for one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            for at in range(0, table.num_rows, 512):
-                some = table.slice(at, 512)
-                contexts, left = some.column("bytes").to_pylist(), some.column("left").to_numpy()
-                shards = [SuffixShard(contexts, left, np.zeros(len(contexts), dtype="int64"), length, salt) for salt in (0, 1)]
-                strings = shards[0].last - shards[0].first - length + 1
-                context = np.repeat(np.arange(len(contexts)), strings)
-                place = np.arange(len(context)) - np.repeat(np.cumsum(strings) - strings, strings) + shards[0].first[context]
-                one, two = (s.hashes[context, place + length] - s.hashes[context, place] for s in shards)
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(c).combine_chunks().take(pa.array(context)) for c in ("hash", "context")]
-                    + [pa.array(place - shards[0].shift), pa.array(one.view("int64")), pa.array(two.view("int64"))],
-                    names=["hash", "context", "low", "one", "two"],
-                )
+            kept, low, digests = [], [], []
+            columns = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("kind", "left", "bytes"))
+            for n, (kind, left, raw) in enumerate(zip(*columns)):
+                length, words = wanted[kind]
+                symbols = raw.split(b" ") if words else raw
+                for i in range(len(symbols) - length + 1):
+                    string = symbols[i:i + length]
+                    kept.append(n)
+                    low.append(i - left)
+                    digests.append(hashlib.blake2b(b" ".join(string) if words else string, digest_size=16).digest())
+                if len(kept) > 1 << 16 or n == batch.num_rows - 1:
+                    part = batch.drop_columns(["bytes", "left"]).take(pa.array(kept, pa.int64()))
+                    yield part.append_column("low", pa.array(low, pa.int64())).append_column("string", pa.array(digests, pa.binary()))
+                    kept, low, digests = [], [], []
 
     return run
 
@@ -374,19 +452,31 @@ def _named(df: DataFrame, doc: str, text: str, *more: Column) -> DataFrame:
     return df.select(F.col(doc).alias("doc"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"), *more)
 
 
-def _apply(kept_bytes: bool):
+def _merged(ranges: list[dict]) -> list[list[int]]:
+    out: list[list[int]] = []
+    for low, high in sorted((r["low"], r["high"]) for r in ranges):
+        if out and low <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], high)
+        else:
+            out.append([low, high])
+    return out
+
+
+def _apply(wanted: Sequence[Strings], kept_bytes: bool):
+    """The strings of the first kind are taken out; of the others the symbols covered are counted."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
+        hasher = Hasher(WORD_PERIOD)
         for batch in batches:
-            sizes, removed, spans, digests, texts = [], [], [], [], []
+            sizes, removed, spans, digests, counts, texts = [], [], [], [], [], []
             for packed, ranges in zip(batch.column(1), batch.column(2).to_pylist()):
                 raw = unpack(packed.as_py()) if packed.is_valid else b""
-                merged: list[list[int]] = []
-                for low, high in sorted((r["low"], r["high"]) for r in ranges or ()):
-                    if merged and low <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], high)
-                    else:
-                        merged.append([low, high])
+                by_kind = [_merged([r for r in ranges or () if r["kind"] == kind]) for kind in range(len(wanted))]
+                merged = by_kind[0]
+                if wanted[0].words and merged:
+                    starts, ends, _ = hasher.words(np.frombuffer(raw, dtype="uint8"))
+                    merged = [[int(starts[low]), int(ends[high - 1])] for low, high in merged]
                 at, kept = 0, []
                 for low, high in merged:
                     kept.append(raw[at:low])
@@ -397,100 +487,131 @@ def _apply(kept_bytes: bool):
                 removed.append(len(raw) - len(left))
                 spans.append(merged)
                 digests.append(hashlib.sha256(left).hexdigest())
+                counts.append([sum(high - low for low, high in found) for found in by_kind])
                 texts.append(left.decode("utf-8", "ignore") if packed.is_valid and kept_bytes else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *batch.columns[3:], pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(digests, pa.string()), pa.array(texts, pa.string())],
-                names=["doc", *batch.schema.names[3:], "n_bytes", "n_removed", "spans", "kept_sha256", "kept"],
+                 pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(digests, pa.string()),
+                 pa.array(counts, pa.list_(pa.int64())), pa.array(texts, pa.string())],
+                names=["doc", *batch.schema.names[3:], "n_bytes", "n_removed", "spans", "kept_sha256", "covered", "kept"],
             )
 
     return run
 
 
 def suffix_dedup(
-    df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, kept: bool = False, carry: Sequence[str] = ()
+    df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, kept: bool = False, carry: Sequence[str] = (),
+    words: bool = False, keep_first: bool = False, counted: Sequence[Strings] = (),
 ) -> DataFrame:
-    """``key, n_bytes, n_removed, spans, kept_sha256``: a row for each row of ``df``.
+    """``key, n_bytes, n_removed, spans, kept_sha256, covered``: a row for each row of ``df``.
 
     With ``kept`` the text that is left is added (a character that lost some of its bytes is lost), and
     the columns named in ``carry`` come along as the struct ``carried``.
 
     A byte goes if some string of ``length`` bytes that covers it also starts anywhere else, in another row or in
-    the same one; overlapping strings count, and all is judged on the input. ``spans`` are the removed runs
-    ``[start, end)``. NULL and empty texts have no bytes; texts shorter than ``length`` lose none; repeated rows
-    are copies of each other and lose all that is long enough. NULL and repeated keys are fine, an
-    empty table gives an empty result, and other columns are not read.
-
-    Shuffled are: anchors (about one in 100 bytes, 33 bytes each) by hash, the contexts of anchors with several, and
+    the same one; overlapping strings count, and all is judged on the input. With ``words`` the strings are of
+    ``length`` words (what stands between blanks, whatever these are), and what goes are the bytes from the first
+    covered word to the last. With ``keep_first`` a string's first place stays, in the document with the smallest
+    key and there the smallest offset: only strings that also start earlier count. Strings named in ``counted`` are
+    looked for in the same pass and not taken out; ``covered`` has the number of symbols covered for ``length`` and each of them.
+
+    ``spans`` are the removed runs ``[start, end)`` in bytes. NULL and empty texts have no bytes; texts shorter than
+    ``length`` lose none; very long texts are hashed in overlapping segments. Repeated rows are copies of each other and
+    lose all that is long enough, but with ``keep_first`` rows with the same key and text are one document. NULL and
+    repeated keys are fine, an empty table gives an empty result, and other columns are not read.
+
+    Shuffled are: anchors (about one in 100 bytes or 14 words, 42 bytes each) by hash, the contexts of anchors with several, and
     the compressed texts, twice. Counts combine before the shuffle, joins are splittable, and an anchor with
-    more than ``SORTED_CONTEXTS`` contexts is not sorted in one task: its strings are counted by two hashes in the whole table.
+    more than ``SORTED_CONTEXTS`` contexts is not sorted in one task: the digests of its strings (128 bits) are counted in the
+    whole table. Contexts that are equal as a whole are told by such a digest, too.
     """
+    wanted = (Strings(length, words), *counted)
     kind = df.schema[key].dataType.simpleString()
-    placed = "doc {}, mark bigint, hash bigint, context bigint, at bigint, left smallint, right smallint".format(kind)
-    found = cut(_named(df, key, text).mapInArrow(_anchor_rows(length), placed), "anchors")
+    placed = f"doc {kind}, mark bigint, kind tinyint, hash bigint, context binary, at bigint, left smallint, right smallint"
+    found = cut(_named(df, key, text).mapInArrow(_anchor_rows(wanted), placed), "anchors")
     # Both sides of the joins are read from files, so that Spark can split an anchor with many rows.
     shared = cut(found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "shared-hashes")
     found = cut(found.join(shared, "hash"), "shared-anchors")
 
     contexts = found.groupBy("hash", "context").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "mark", "at", "left", "right")).alias("one")
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "mark", "at", "left", "right", "kind")).alias("one")
     )
     contexts = cut(contexts, "contexts")
-    several = cut(contexts.groupBy("hash").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1"), "several")
+    # An anchor is searched if some context of it is there once; the others are covered as a whole.
+    alone = F.lit(keep_first) | (F.min("n") == 1)
+    several = contexts.groupBy("hash").agg(F.count(F.lit(1)).alias("contexts"), alone.alias("open")).where("contexts > 1 and open")
+    several = cut(several.drop("open"), "several")
     whole = contexts.where("n > 1").select(
-        "hash", "context", (-F.col("one.left")).cast("bigint").alias("low"), F.col("one.right").cast("bigint").alias("high")
+        "hash", "context", F.lit(None).cast("bigint").alias("low"), F.lit(None).cast("bigint").alias("high"),
+        F.struct("one.doc", "one.mark", "one.at").alias("first"),
     )
-    wanted = contexts.join(several, "hash").select("hash", "context", "contexts", "n", "one.*").groupBy("doc", "mark").agg(
-        F.collect_list(F.struct("hash", "context", "contexts", "at", "left", "right")).alias("cuts")
+    asked = contexts.join(several, "hash").select("hash", "context", "contexts", "n", "one.*").groupBy("doc", "mark").agg(
+        F.collect_list(F.struct("kind", "hash", "context", "contexts", "n", "at", "left", "right")).alias("cuts")
     )
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
+        hasher = Hasher(WORD_PERIOD)
         for batch in batches:
+            at: list[int] = []
             out: list[tuple] = []
-            for packed, cuts in zip(batch.column(0), batch.column(1)):
-                raw = unpack(packed.as_py())
+            for n, (packed, cuts) in enumerate(zip(batch.column(2), batch.column(3))):
+                raw, bounds = unpack(packed.as_py()), None
                 for c in cuts.as_py():
-                    out.append((c["hash"], c["context"], c["contexts"], c["left"], raw[c["at"] - c["left"]:c["at"] + c["right"]]))
-                if len(out) > 1 << 15:
-                    yield _context_batch(out)
-                    out = []
-            if out:
-                yield _context_batch(out)
+                    low, high = c["at"] - c["left"], c["at"] + c["right"]
+                    if wanted[c["kind"]].words:
+                        bounds = bounds or [b.tolist() for b in hasher.words(np.frombuffer(raw, dtype="uint8"))[:2]]
+                        body = b" ".join([raw[i:j] for i, j in zip(bounds[0][low:high], bounds[1][low:high])])
+                    else:
+                        body = raw[low:high]
+                    at.append(n)
+                    out.append((c["kind"], c["hash"], c["context"], c["contexts"], c["n"], c["at"], c["left"], body))
+                if len(out) > 1 << 15 or n == batch.num_rows - 1:
+                    keys = batch.select([0, 1]).take(pa.array(at, pa.int64()))
+                    yield pa.RecordBatch.from_arrays([*keys.columns, *_context_columns(out)], names=["doc", "mark", *_CONTEXT])
+                    at, out = [], []
 
     packed = _compressed(df, key, text, carry)
     same = lambda left, right: left["doc"].eqNullSafe(right["doc"]) & (left["mark"] == right["mark"])
-    bodies = packed.join(wanted, same(packed, wanted)).select("packed", "cuts").mapInArrow(
-        take, "hash bigint, context bigint, contexts bigint, left smallint, bytes binary"
-    )
-    bodies = cut(bodies, "context-bytes")
-    few = bodies.where(F.col("contexts") <= SORTED_CONTEXTS).select("hash", "context", "left", "bytes")
-    ranged = few.repartition("hash").sortWithinPartitions("hash", "context").mapInArrow(
-        _sorted_rows(length), "hash bigint, context bigint, low bigint, high bigint"
+    texts = packed.join(asked, same(packed, asked)).select(packed["doc"], packed["mark"], "packed", "cuts")
+    fields = ", ".join(f"{c} {t}" for c, (t, _) in _CONTEXT.items())
+    bodies = cut(texts.mapInArrow(take, f"doc {kind}, mark bigint, {fields}"), "context-bytes")
+    few = bodies.where(F.col("contexts") <= SORTED_CONTEXTS).select("kind", "hash", "context", "n", "left", "bytes", "doc", "mark", "at")
+    ranged = few.repartition("hash").sortWithinPartitions("hash", "doc", "mark", "at", "context").mapInArrow(
+        _sorted_rows(wanted, keep_first), "hash bigint, context binary, low bigint, high bigint"
     )
-    many = bodies.where(F.col("contexts") > SORTED_CONTEXTS).select("hash", "context", "left", "bytes").dropDuplicates(["hash", "context"])
-    strings = many.mapInArrow(_string_rows(length), "hash bigint, context bigint, low bigint, one bigint, two bigint")
-    twice = cut(strings.groupBy("hash", "low", "one", "two").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "twice")
-    counted = strings.join(twice, ["hash", "low", "one", "two"]).groupBy("hash", "context").agg(
-        F.min("low").alias("low"), (F.max("low") + length).alias("high")
+    many = bodies.where(F.col("contexts") > SORTED_CONTEXTS).dropDuplicates(["hash", "context"])
+    strings = many.select("doc", "mark", "at", "hash", "context", "kind", "left", "bytes").mapInArrow(
+        _string_rows(wanted), f"doc {kind}, mark bigint, at bigint, hash bigint, context binary, kind tinyint, low bigint, string binary"
     )
-    ranges = whole.unionByName(ranged).unionByName(counted).groupBy("hash", "context").agg(
-        F.min("low").alias("low"), F.max("high").alias("high")
+    place = F.struct("doc", "mark", "at")
+    twice = strings.groupBy("hash", "low", "string").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1")
+    counts = strings.join(cut(twice, "twice"), ["hash", "low", "string"]).where(~(F.lit(keep_first) & place.eqNullSafe(F.col("first"))))
+    sizes = F.create_map(*(F.lit(x) for i, w in enumerate(wanted) for x in (i, w.length)))
+    counts = counts.select("hash", "context", "low", (F.col("low") + sizes[F.col("kind").cast("int")]).alias("high"))
+    ranges = whole.unionByName(ranged.unionByName(counts), allowMissingColumns=True).groupBy("hash", "context").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.max("first").alias("first")
     )
-    spans = found.join(cut(ranges, "ranges"), ["hash", "context"]).select(
-        "doc", "mark", F.struct((F.col("at") + F.col("low")).alias("low"), (F.col("at") + F.col("high")).alias("high")).alias("span")
+    ranges = cut(ranges, "ranges")
+    copy = F.col("first").isNotNull() & ~(F.lit(keep_first) & place.eqNullSafe(F.col("first")))
+    low, high = F.when(copy, -F.col("left")).otherwise(F.col("low")), F.when(copy, F.col("right")).otherwise(F.col("high"))
+    spans = found.join(ranges, ["hash", "context"]).withColumns({"from": F.col("at") + low, "upto": F.col("at") + high}).where("from is not null").select(
+        "doc", "mark", F.struct("kind", F.col("from").alias("low"), F.col("upto").alias("high")).alias("span")
     ).groupBy("doc", "mark").agg(F.collect_set("span").alias("ranges"))
     rows = packed.join(spans, same(packed, spans), "left").select(
         packed["doc"], "packed", "ranges", *(["carried"] if carry else [])
     )
     carried = f"carried {packed.schema['carried'].dataType.simpleString()}, " if carry else ""
-    schema = f"doc {kind}, {carried}n_bytes bigint, n_removed bigint, spans array<array<bigint>>, kept_sha256 string, kept string"
-    done = rows.mapInArrow(_apply(kept), schema).withColumnRenamed("doc", key)
+    schema = f"doc {kind}, {carried}n_bytes bigint, n_removed bigint, spans array<array<bigint>>, kept_sha256 string, covered array<bigint>, kept string"
+    done = rows.mapInArrow(_apply(wanted, kept), schema).withColumnRenamed("doc", key)
     return done if kept else done.drop("kept")
 
 
-def _context_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int16(), pa.binary())
-    return pa.RecordBatch.from_arrays(
-        [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["hash", "context", "contexts", "left", "bytes"]
-    )
+_CONTEXT = {
+    "kind": ("tinyint", pa.int8()), "hash": ("bigint", pa.int64()), "context": ("binary", pa.binary()), "contexts": ("bigint", pa.int64()),
+    "n": ("bigint", pa.int64()), "at": ("bigint", pa.int64()), "left": ("smallint", pa.int16()), "bytes": ("binary", pa.binary()),
+}
+
+
+def _context_columns(rows: list[tuple]) -> list[pa.Array]:
+    return [pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(_CONTEXT.values())]

@@ -1,9 +1,11 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from conftest_llm import EDGES
 from segwatch.llm import suffix_dedup as suffix
@@ -24,6 +26,75 @@ def plain(rows, length):
     return out
 
 
+def plain_words(rows, length, keep_first):
+    """Key, covered words and the text that is left, by every string of words; rows with key and text alike are one."""
+    word = re.compile("[^\\x20\\x09-\\x0d]+")
+    docs = [(i, t, list(word.finditer(t or ""))) for i, t in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, mark(r[1])))]
+    places = {}
+    for k, (_, _, ws) in enumerate(docs):
+        for n in range(len(ws) - length + 1):
+            places.setdefault(tuple(w.group() for w in ws[n:n + length]), []).append((k, n))
+    often = Counter((i, t) for i, t in rows)
+    done = {}
+    for k, (i, t, ws) in enumerate(docs):
+        gone = [False] * len(ws)
+        for n in range(len(ws) - length + 1):
+            where = places[tuple(w.group() for w in ws[n:n + length])]
+            if where[0] != (k, n) if keep_first else len(where) > 1 or often[i, t] > 1:
+                gone[n:n + length] = [True] * length
+        runs = re.finditer("x+", "".join("x" if g else "." for g in gone))
+        left, at = "", 0
+        for m in runs:
+            left += (t or "")[at:ws[m.start()].start()]
+            at = ws[m.end() - 1].end()
+        done[i, t] = (i, sum(gone), None if t is None else left + t[at:])
+    return Counter(done[r] for r in rows)
+
+
+def mark(text):
+    """The order of documents that have no key or the same: by the hash of their text."""
+    seen = xxhash.xxh64(text.encode(), seed=42).intdigest() if text is not None else 42
+    return seen - 2**64 if seen >= 2**63 else seen
+
+
+def words_of(df, **more):
+    rows = suffix.suffix_dedup(df, words=True, kept=True, **more).collect()
+    return Counter((r["doc_id"], r["covered"][0], r["kept"]) for r in rows)
+
+
+def test_words_of_documents(documents):
+    df, rows = documents
+    assert words_of(df, length=51, keep_first=True) == plain_words(rows, 51, True)
+
+
+@pytest.mark.parametrize("keep_first", [True, False])
+@pytest.mark.parametrize("sorted_contexts", [4096, 2])
+def test_short_strings_of_words(spark, monkeypatch, keep_first, sorted_contexts):
+    monkeypatch.setattr(suffix, "SORTED_CONTEXTS", sorted_contexts)
+    rows = [(i // 2, t.replace("c", " ").replace("f", "\n ")) for i, t in _texts(random.Random(11), 80)]
+    rows += rows[:9] + [(200, "word " * 60), (None, "word " * 60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert words_of(df, length=7, keep_first=keep_first) == plain_words(rows, 7, keep_first)
+
+
+def test_two_kinds_in_one_pass(spark):
+    """Strings of words are counted beside strings of bytes, and nothing of them is taken out."""
+    shared = " ".join(f"w{i}" for i in range(51))
+    rows = [(1, "one " + shared + " end"), (2, "two\n" + shared.replace(" ", "\n")), (3, " ".join(shared.split()[:50]) + " short"), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    done = suffix.suffix_dedup(df, counted=[suffix.Strings(51, words=True)])
+    assert Counter((r["doc_id"], r["n_removed"], tuple(r["covered"])) for r in done.collect()) == Counter(
+        {(1, 0, (0, 51)): 1, (2, 0, (0, 51)): 1, (3, 0, (0, 0)): 1, (4, 0, (0, 0)): 1})
+
+
+def test_words_are_told_by_their_bytes():
+    hasher = suffix.Hasher(suffix.WORD_PERIOD)
+    raw = b"  one two\tone\r\n" + b"x" * 10_000 + b" " + b"x" * 10_001 + b" \xc2\xa0 one"
+    starts, ends, hashes = hasher.words(np.frombuffer(raw, dtype="uint8"))
+    found = [raw[i:j] for i, j in zip(starts, ends)]
+    assert found == raw.split() and len(set(hashes.tolist())) == len(set(found))
+
+
 def result(df, **more):
     rows = suffix.suffix_dedup(df, **more).collect()
     return Counter((r["doc_id"], r["n_bytes"], r["n_removed"], len(r["spans"]), r["kept_sha256"]) for r in rows)
