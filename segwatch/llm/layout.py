@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S
-)
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=[ \t\n\r\f]*+(?:"[^"]*"|'[^']*')?+)*+)>""", re.S
+)  # quotes count right after an equals sign only
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 SPACE = re.compile(r"[ \t\n\r\f]+")
 UNSEEN_STYLE = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*(hidden|collapse)")
@@ -33,12 +33,15 @@ CLOSES_P = BLOCKS - frozenset("html body caption tr option optgroup select texta
 # A start tag ends open elements of the first set, looking no further up than the second.
 IMPLIED_END = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
-    "tr": ({"tr", "td", "th", "caption"}, {"table"}), "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"}),
-    "thead": ({"tr", "td", "th", "caption", "thead", "tbody", "tfoot"}, {"table"}),
-    "tbody": ({"tr", "td", "th", "caption", "thead", "tbody", "tfoot"}, {"table"}),
-    "tfoot": ({"tr", "td", "th", "caption", "thead", "tbody", "tfoot"}, {"table"}),
+    "tr": ({"tr", "td", "th", "caption", "colgroup"}, {"table"}),
+    "td": ({"td", "th", "caption", "colgroup"}, {"table", "tr"}), "th": ({"td", "th", "caption", "colgroup"}, {"table", "tr"}),
+    "thead": ({"tr", "td", "th", "caption", "colgroup", "thead", "tbody", "tfoot"}, {"table"}),
+    "tbody": ({"tr", "td", "th", "caption", "colgroup", "thead", "tbody", "tfoot"}, {"table"}),
+    "tfoot": ({"tr", "td", "th", "caption", "colgroup", "thead", "tbody", "tfoot"}, {"table"}),
     "option": ({"option"}, {"select"}), "optgroup": ({"option", "optgroup"}, {"select"}),
 }
+TABLE_PARTS = frozenset("caption col colgroup thead tbody tfoot tr td th".split())
+MOST_SPANNED = 100  # columns a cell is padded over at the most
 SCOPES = frozenset("table td th caption button html body".split())
 
 
@@ -93,11 +96,13 @@ class Page:
         top = self.open[-1]
         if not top.seen or not raw:
             return
-        if top.tag in ("table", "tr", "thead", "tbody", "tfoot", "ul", "ol", "select") and not raw.strip():
+        if top.tag in ("table", "colgroup", "tr", "thead", "tbody", "tfoot", "ul", "ol", "select") and not raw.strip():
             return
         top.run.append(html.unescape(raw) if "&" in raw else raw)
 
     def start(self, tag: str, raw: str) -> None:
+        if tag in TABLE_PARTS and not self.counts["table"]:
+            return  # parts of a table mean nothing outside of one
         if any(e.tag == "head" for e in self.open[-2:]) and tag not in IN_HEAD and tag != "head":
             self.end("head")
         if tag in CLOSES_P and self.counts["p"]:
@@ -119,7 +124,7 @@ class Page:
         element = Element(tag, top.seen and tag not in UNSEEN and not hidden, top.pre or tag in ("pre", "textarea"))
         if tag in ("td", "th"):
             given = attributes.get("colspan", "1")
-            element.span = min(int(given), 100) if given.isdecimal() and len(given) < 5 else 1
+            element.span = max(1, min(int(given[:9]), MOST_SPANNED)) if given.isdecimal() else 1
         if tag == "ol":
             given = attributes.get("start", "1")
             element.count = int(given) - 1 if given.isdecimal() and len(given) < 10 else 0
@@ -162,6 +167,8 @@ class Page:
             return
         tag = done.tag
         if tag not in BLOCKS and tag not in ("td", "th", "thead", "tbody", "tfoot"):
+            parent.rows.extend(done.rows)  # cells and rows wrapped in it are its parent's
+            done.rows = []
             if not done.lines:  # an inline element is part of its parent's line
                 parent.run.extend(done.run)
                 return
@@ -242,7 +249,8 @@ def visible_text(df: DataFrame, source: str = "html", output: str = "text") -> D
     lists and tables have an empty line around them, list items are marked and indented, table
     cells stand in columns, and preformatted text keeps its spaces.
 
-    NULL pages stay NULL, empty ones become the empty text, repeated rows are treated alike, and other
+    Cells are padded over at most ``MOST_SPANNED`` columns, whatever their colspan says; text is never cut.
+    NULL pages stay NULL, empty ones become the empty text, an empty table stays empty, repeated rows are treated alike, and other
     columns pass through. Each page is a row of its own, of any length and depth of nesting; nothing is shuffled.
     """
 

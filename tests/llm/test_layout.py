@@ -1,3 +1,5 @@
+import random
+import re
 from html.parser import HTMLParser
 
 import pytest
@@ -54,6 +56,13 @@ CASES = {
     "</p>x</div></table>y": "xy",
     "<h1>T</h1>text<div>d</div>": "T\n\ntext\nd",
     "<b>one</b> <i>two</i>three": "one twothree",
+    "<a title=it's>zed</a> and don't stop <b>x</b>": "zed and don't stop x",
+    "<p class=\"a\"\">first": "first", "<p a = 'x>y' b>q": "q", "<p a=>q": "q",
+    "<table><colgroup><col><col><tr><td>a<td>b</table>": "a | b",
+    "<table><tr><span><td>a<td>b</span></table>": "a | b", "<table><a><tr><td>a<td>b</a></table>": "a | b",
+    "<table><tr><a href=x><td>a</td><td>b</td></a></table>": "a | b",
+    "<td>loose</td> text": "loose text", "<tr><td>x</tr>y": "xy", "<table><caption>c<tr><td>a</table>": "c\na",
+    "<table><tr><td colspan=0>a<td colspan=99999>b<td>c</table>": "a | b | " + " | " * 99 + "c",
     "": "", "   ": "", "<": "<", "<p": "<p",
 }
 
@@ -63,6 +72,42 @@ def test_layout(source):
     assert render(source) == CASES[source]
 
 
+def _tree(draw, depth, words):
+    """A random piece of HTML, and its words in ``words`` in the order of the tree."""
+    def word():
+        words.append(f"w{len(words)}w")
+        return words[-1]
+
+    def attributes():
+        return draw.choice(["", "", " class=a", ' title="x > y"', " title='<b>'", " title=it's", ' class="a"" id=\'b\'', " a = 'q' hide"])
+
+    def inner(d):
+        return "".join(_tree(draw, d, words) for _ in range(draw.randint(1, 3)))
+
+    kind = draw.choice(["text", "inline", "block", "list", "table"]) if depth else "text"
+    if kind == "text":
+        return f" {word()} "
+    if kind in ("inline", "block"):
+        tag = draw.choice(["a", "b", "span", "em"] if kind == "inline" else ["div", "section", "p", "h2", "blockquote"])
+        body = " ".join(word() for _ in range(2)) if tag in ("p", "h2") else inner(depth - 1)
+        return f"<{tag}{attributes()}>{body}" + ("" if tag == "p" and draw.random() < 0.5 and kind == "block" else f"</{tag}>")
+    if kind == "list":
+        end = draw.choice(["", "</li>"])
+        return f"<{(t := draw.choice(['ul', 'ol']))}{attributes()}>" + "".join(f"<li{attributes()}>{inner(depth - 1)}{end}" for _ in range(2)) + f"</{t}>"
+    cell, row = draw.choice(["", "</td>"]), draw.choice(["", "</tr>"])
+    head = draw.choice(["", "<colgroup><col><col>", "<colgroup><col></colgroup>", "<tbody>", "<thead></thead>"])
+    rows = "".join(f"<tr{attributes()}>" + "".join(f"<td{attributes()}> {inner(depth - 1)}{cell}" for _ in range(2)) + row for _ in range(2))
+    return f"<table{attributes()}>{head}{rows}</table>"
+
+
+def test_no_word_of_random_trees_is_lost():
+    draw = random.Random(9)
+    for _ in range(1000):
+        words = []
+        page = "".join(_tree(draw, draw.randint(0, 4), words) for _ in range(draw.randint(1, 3)))
+        assert re.findall(r"w[0-9]+w", render(page)) == words, page
+
+
 def test_deep_and_long_pages():
     assert render("<div>" * 20_000 + "x" + "</div>" * 20_000) == "x"
     assert render("<b>" * 20_000 + "x") == "x"

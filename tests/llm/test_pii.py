@@ -60,6 +60,9 @@ def test_disguises_map_back_to_the_source():
         "jоhn@exаmple.com": [("email", "jоhn@exаmple.com")],
         "jo​hn@exam​ple.com": [("email", "jo​hn@exam​ple.com")],
         "１９２.168.1.1": [("ip", "１９２.168.1.1")],
+        "mail john@example[.]com": [("email", "john@example[.]com")], "host 10.0.0[.]1 is": [("ip", "10.0.0[.]1")],
+        "to john at example (.) com": [("email", "john at example (.) com")], "to john ( @ ) example.com": [("email", "john ( @ ) example.com")],
+        "to john <@> example.com": [("email", "john <@> example.com")], "to john < at > example.com": [("email", "john < at > example.com")],
         "🎉 é a dot b, look at example.com": [],
         "we met at noon and one two of them": [],
     }
@@ -83,5 +86,13 @@ def test_edges(edges):
 
 
 def test_long_texts_take_linear_time():
-    for text in ("1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "@a" * 100_000, "+1" * 100_000, "one " * 50_000, "<" * 100_000):
+    for text in ("1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "@a" * 100_000, "+1" * 100_000, "one " * 50_000, "<" * 100_000,
+                 " " * 100_000, "a " * 50_000 + " " * 100_000 + "(", "( " * 100_000):
         find(text)
+
+
+def test_many_disguised_addresses_take_linear_time():
+    text = "ann (at) example (dot) org and b@c.de, " * 20_000
+    plain_spans, added = find(text)
+    assert len(plain_spans) == len(added) == 20_000
+    assert {text[s:e] for _, s, e in added} == {"ann (at) example (dot) org"}
