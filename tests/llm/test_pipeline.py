@@ -5,7 +5,7 @@ from segwatch.llm import simhash_tree
 from test_pii import plain as plain_pii
 from test_quality_lines import plain as plain_quality
 from test_simhash_tree import plain_components, plain_print
-from test_suffix_dedup import plain as plain_suffix
+from test_suffix_dedup import plain_words
 
 
 def test_stages_one_by_one(spark, data, tmp_path):
@@ -30,10 +30,8 @@ def test_stages_one_by_one(spark, data, tmp_path):
     groups = plain_components([(i, plain_print(t)) for i, t in before])
     assert Counter(after) == Counter((i, t) for i, t in dict(before).items() if i in {c for _, _, c in groups})
     before, after = kept["passage_dedup"]
-    wanted = {(r[0], r[2]) for r in plain_suffix(rows(before), 400)}
-    assert {i for i, _ in wanted} == {i for i, _ in rows(after)}
-    lengths = {i: len(t.encode()) for i, t in rows(before)}
-    assert all(lengths[i] - removed - 6 * len(t) <= len(t.encode()) <= lengths[i] - removed for i, t in rows(after) for j, removed in wanted if i == j)
+    wanted = plain_words(rows(before), 51, True)
+    assert Counter(rows(after)) == Counter({(i, t): n for (i, _, t), n in wanted.items()})
     _, after = kept["personal"]
     assert not any(plain_pii(t) for _, t in rows(after))
     before, after = kept["packing"]
@@ -52,3 +50,13 @@ def test_awkward_rows_pass_through_every_stage(spark, tmp_path):
     one = corpus_pipeline.near_dedup(spark, docs, "").collect()
     groups = {r["root"] for r in simhash_tree.near_duplicates(docs).collect()}
     assert len(one) == len(groups)
+
+
+def test_a_short_passage_of_51_words_stays_once(spark):
+    passage = " ".join(f"word{i % 9}" for i in range(40)) + " and " + " ".join(f"b{i}" for i in range(10))
+    assert len(passage.split()) == 51 and len(passage) < 300
+    rows = [(i, f"Document begins{i} {passage} ends{i} here.", "en", "s", 0) for i in (7, 3, 9)] + [(4, passage[:-3] + "end", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.passage_dedup(spark, docs, "").collect()}
+    assert passage in left[3] and left[4] == rows[3][1]
+    assert left[7] == "Document begins7  ends7 here." and left[9] == "Document begins9  ends9 here."
