@@ -2,6 +2,10 @@
 
 Each stage takes the documents its predecessor kept and returns documents, the last one packed pieces. The files
 between the stages lie in the session's shared folder, so a lost executor costs a stage its tasks and no more.
+
+In every stage a NULL key is a key like any other, columns beyond those of ``documents`` are not read, an empty table
+gives an empty one, and texts are taken whole, however long. What NULL and empty texts, ties and repeated rows become is
+said at each stage.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ from segwatch.llm.pii import personal_data
 from segwatch.llm.quality_lines import line_quality
 from segwatch.llm.queries import VOCABULARY
 from segwatch.llm.simhash_tree import near_duplicates
-from segwatch.llm.suffix_dedup import suffix_dedup
+from segwatch.llm.suffix_dedup import PASSAGE_WORDS, suffix_dedup
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -26,7 +30,10 @@ def _documents(df: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Failing lines go, and documents that are junk or lose too much with them."""
+    """Failing lines go, and documents that are junk or lose too much with them.
+
+    NULL and empty texts have no words and go. Repeated rows are judged alike.
+    """
     judged = line_quality(docs.select(*COLUMNS))
     # As a filter on ``quality`` would be moved below it, the rules would be evaluated twice.
     kept = judged.withColumn("quality", F.explode(F.filter(F.array("quality"), lambda q: q["kept"])))
@@ -34,7 +41,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the document with the smallest id stays, repeated rows once."""
+    """Of each component of near duplicates the document with the smallest id stays, repeated rows once.
+
+    A NULL key comes after all others; of documents with one key the smallest hash of the text decides. NULL and
+    empty texts have the fingerprint zero, so one of them stays.
+    """
     marked = docs.select(*COLUMNS).withColumn("mark", F.xxhash64("text"))
     groups = near_duplicates(marked, carry=("mark",))
     first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "carried.mark")).alias("one"))
@@ -44,19 +55,25 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Long passages that occur elsewhere go from every document that has them."""
+    """Passages of over 50 words that also stand elsewhere go, but for their first place.
+
+    That is in the document with the smallest key (NULL first, then by the hash of the text), and there the
+    smallest offset. Words are what stands between blanks, so a passage may be broken into lines differently. NULL texts stay
+    NULL, shorter texts as they are, and rows that are equal in key and text count as one document.
+    """
     others = [c for c in COLUMNS if c not in ("doc_id", "text")]
-    done = suffix_dedup(docs, kept=True, carry=others)
+    done = suffix_dedup(docs, length=PASSAGE_WORDS, words=True, keep_first=True, kept=True, carry=others)
     return _documents(done.select("doc_id", F.col("kept").alias("text"), "carried.*"))
 
 
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is masked in the text."""
+    """Personal data is masked in the text. NULL texts stay NULL, empty ones empty, repeated rows are masked alike."""
     return _documents(personal_data(docs.select(*COLUMNS), redacted=True))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as token pieces placed in sequences."""
+    """The documents as token pieces placed in sequences. NULL and empty texts are their end mark alone, and
+    repeated rows are packed each for itself."""
     return harmonic_packing(docs, VOCABULARY)
 
 
