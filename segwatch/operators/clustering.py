@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from segwatch.functions.columns import HEX_WORD, any_missing, as_double, digest_word, is_missing, require_columns
 from segwatch.functions.distance import nearest, squared_distance
-from segwatch.functions.storage import local_table
+from segwatch.functions.storage import cut, local_table
+from segwatch.operators.blocks import BoundedLloyd, draw_seeds, pack_rows
 from segwatch.operators.scaling import Scaler, column_moments
 
 log = logging.getLogger(__name__)
@@ -267,40 +268,8 @@ def spread(cached: DataFrame) -> DataFrame:
 
 
 def seed_centroids(df: DataFrame, features: Sequence[str], keys: Sequence[str], k: int, seed: int, n_init: int) -> list[Points]:
-    """``n_init`` seedings of up to ``k`` rows each, drawn from the whole table.
-
-    The first row of a restart is the one with the smallest digest of key, seed and restart. Each further one
-    has the smallest ``-ln(u) / d``: ``u`` comes from the digest of key, seed, restart and step and ``d`` is the squared
-    distance to the nearest row chosen so far. The smallest of such numbers belongs to a row with probability
-    in proportion to its ``d``, so this is the weighted draw of k-means++, without a random generator: it depends on
-    the rows alone, not on their partitions. Every step is one combined aggregate for all restarts.
-    """
-    values = [as_double(f) for f in features]
-    row = [v.alias(f"x{i}") for i, v in enumerate(values)]
-    name = F.concat_ws("|", *(F.col(key).cast("string") for key in keys))
-    starts: list[list[list[float]]] = [[] for _ in range(n_init)]
-    growing = range(n_init)
-    for step in range(k):
-        draws = []
-        for i in growing:
-            digest = digest_word(F.md5(F.concat_ws("|", name, F.lit(f"{seed}|{i}|{step}"))))
-            score = digest.cast("double")
-            if step:
-                points = starts[i]
-                if step * len(features) * len(growing) > UNROLLED_TERMS:
-                    near = _nearest_udf(points, True)(F.struct(*row))["distance"]
-                else:
-                    near = reduce(F.least, (squared_distance(values, p) for p in points)) if step > 1 else squared_distance(values, points[0])
-                u = (digest.cast("double") + F.lit(0.5)) / F.lit(2.0 ** (4 * HEX_WORD))
-                score = F.when(near > 0, -F.ln(u) / near)
-            draws.append(F.min(F.when(score.isNotNull(), F.struct(score.alias("score"), *row))).alias(f"r{i}"))
-        found = df.agg(*draws).head()
-        growing = [i for i in growing if found[f"r{i}"] is not None]
-        for i in growing:
-            starts[i].append(list(found[f"r{i}"])[1:])
-        if not growing:
-            break
-    return starts
+    """``n_init`` seedings of up to ``k`` rows each, drawn from the whole table; see ``blocks.draw_seeds``."""
+    return draw_seeds(cut(pack_rows(df, features, keys), "blocks"), len(features), k, seed, n_init)
 
 
 def fit_kmeans(
@@ -316,8 +285,9 @@ def fit_kmeans(
     """K-means on the whole table with ``n_init`` seedings, keeping the lowest inertia.
 
     Seeds come from the whole table by the hash of ``keys``, which identify rows; without keys a row is
-    identified by its features. All restarts iterate over the whole table, one pass for all of them, and one that
-    has settled takes no further part. The method is the same at every size and on every partitioning.
+    identified by its features. All restarts iterate over the whole table, one pass for all of them; one that
+    has settled takes no further part, and rows that cannot change their cluster are not visited (see
+    ``operators.blocks``). The method is the same at every size and on every partitioning.
     ``tol`` is relative to the mean variance of the features. Fewer than ``k`` centroids come back when the rows
     have fewer distinct values.
     """
@@ -343,8 +313,13 @@ def fit_kmeans(
         if mine:
             table = spread(table)
         limit = tol * float(np.mean([r["std"] ** 2 for r in moments]))
-        starts = seed_centroids(table, features, keys or features, k, seed, n_init)
-        best = min(_run(table, features, starts, max_iter, limit), key=lambda s: s.cost)
+        blocks = cut(pack_rows(table, features, keys or features), "blocks")
+        starts = draw_seeds(blocks, len(features), k, seed, n_init)
+        blocks = blocks.select("n", "body").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            best = min(BoundedLloyd(blocks, rows, max_iter, limit).run(starts), key=lambda s: s.cost)
+        finally:
+            blocks.unpersist()
     finally:
         if mine:
             table.unpersist()
