@@ -245,6 +245,81 @@ def _blob_fit(steps: int = 12) -> str:
     )
 
 
+def _fit(rows: str, n_init: int = 10, max_iter: int = 300, tol: float = 1e-4, seed: int = 42) -> str:
+    """CTEs down to ``best`` (one row p{cluster}_{feature}, cost) from ``rows`` with ``name`` and x0..x3: the whole fit.
+
+    Seeds are the weighted draws from the digests of name, seed, restart and step; then all restarts move until they settle.
+    """
+    def away(j: int, p: str) -> str:
+        return "(" + _sums(f"(x{{i}} - {p}{j}_{{i}}) * (x{{i}} - {p}{j}_{{i}})") + ")"
+
+    def cells(form: str) -> str:
+        return ", ".join(form.format(j=j, i=i) for j in range(K) for i in range(4))
+
+    def points(n: int) -> str:
+        return ", ".join(f"p{j}_{i}" for j in range(n) for i in range(4))
+
+    out = []
+    for step in range(K):
+        word = f"CAST(CAST('0x' || substr(md5(concat_ws('|', name, '{seed}', i, '{step}')), 1, 15) AS BIGINT) AS DOUBLE)"
+        if step:
+            near = "least(" + ", ".join(away(j, "p") for j in range(step)) + ")"
+            drawn = f"SELECT *, {near} AS d, {word} AS w FROM seed{step - 1}, {rows}"
+            score, source = "-ln((w + 0.5) / 1152921504606846976) / d", f"({drawn}) WHERE d > 0"
+        else:
+            score, source = "w", f"(SELECT *, {word} AS w FROM range(0, {n_init}) AS r(i), {rows})"
+        picked = ", ".join(f"arg_min(x{f}, {score}) AS p{step}_{f}" for f in range(4))
+        group = "i" + (", " + points(step) if step else "")
+        out.append(f"seed{step} AS (SELECT {group}, {picked} FROM {source} GROUP BY {group})")
+    ds = ", ".join(f"{away(j, 'p')} AS d{j}" for j in range(K))
+    least = "least(" + ", ".join(f"d{j}" for j in range(K)) + ")"
+    cases = " ".join(f"WHEN d{j} = {least} THEN {j}" for j in range(K))
+    means = cells("coalesce(avg(x{i}) FILTER (c = {j}), p{j}_{i}) AS n{j}_{i}")
+    shift = " + ".join(f"(n{j}_{i} - p{j}_{i}) * (n{j}_{i} - p{j}_{i})" for j in range(K) for i in range(4))
+    out.append(f"bar AS (SELECT {tol}::DOUBLE * ({_sums('var_pop(x{i})')}) / 4 AS tol FROM {rows})")
+    out.append(
+        f"moves AS (SELECT i, 0 AS t, false AS done, {points(K)} FROM seed{K - 1} UNION ALL "
+        f"SELECT i, t + 1, ({shift}) <= tol, {cells('n{j}_{i}')} FROM ("
+        f"SELECT i, t, {points(K)}, tol, {means} FROM (SELECT *, CASE {cases} END AS c FROM "
+        f"(SELECT *, {ds} FROM moves, {rows}, bar WHERE NOT done AND t < {max_iter})) GROUP BY i, t, {points(K)}, tol))"
+    )
+    out.append("ended AS (SELECT * FROM moves QUALIFY t = max(t) OVER (PARTITION BY i))")
+    out.append(f"costs AS (SELECT i, {points(K)}, sum({least}) AS cost FROM (SELECT *, {ds} FROM ended, {rows}) GROUP BY i, {points(K)})")
+    out.append("best AS (SELECT * FROM costs ORDER BY cost LIMIT 1)")
+    return ", ".join(out)
+
+
+def _fit_rows(names) -> str:
+    """The fitted centroids of ``best`` numbered by their coordinates."""
+    listed = ", ".join(names)
+    each = " UNION ALL ".join("SELECT " + ", ".join(f"p{j}_{i} AS {n}" for i, n in enumerate(names)) + ", cost FROM best" for j in range(K))
+    rounded = ", ".join(f"round({n}, 6) + 0.0 AS {n}" for n in names)
+    return f"SELECT CAST(row_number() OVER (ORDER BY {listed}) - 1 AS INTEGER) AS cluster, {rounded}, round(cost, 3) AS inertia FROM ({each})"
+
+
+def _trained() -> str:
+    """The metrics of a training run on the standardised blobs and of its evaluation on the same table."""
+    d = DIMS[:4]
+    stats = ", ".join(f"avg({f}) AS m{i}, stddev_pop({f}) AS s{i}" for i, f in enumerate(d))
+    xs = ", ".join(f"({f} - m{i}) / s{i} AS x{i}" for i, f in enumerate(d))
+    ds = ", ".join("(" + _sums(f"(x{{i}} - p{j}_{{i}}) * (x{{i}} - p{j}_{{i}})") + f") AS d{j}" for j in range(K))
+    least = "least(" + ", ".join(f"d{j}" for j in range(K)) + ")"
+    cases = " ".join(f"WHEN d{j} = {least} THEN {j}" for j in range(K))
+    metrics = {
+        "inertia": "SELECT cost FROM best", "silhouette_score": "SELECT silhouette FROM sil",
+        "davies_bouldin_score": "SELECT davies_bouldin FROM dbi", "inertia_on_data": f"SELECT sum({least}) FROM near",
+    }
+    rows = [f"SELECT '{p}{key}' AS key, round(({sql}), 6) AS value" for p in ("", "eval_") for key, sql in metrics.items() if p or key != "inertia_on_data"]
+    return (
+        f"WITH RECURSIVE {_blobs()}, blob_stats AS (SELECT {stats} FROM blobs), "
+        f"z AS (SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS name, {xs} FROM blobs, blob_stats), {_fit('z')}, "
+        f"near AS (SELECT *, CASE {cases} END AS own FROM (SELECT *, {ds} FROM z, best)), "
+        "sampled AS (SELECT o_orderkey AS id, own, x0, x1, x2, x3 FROM near "
+        "ORDER BY md5(concat_ws('|', o_orderkey, '42')) LIMIT 2000), "
+        f"{_silhouette('sampled', ROW_DISTANCE)}, {_davies_bouldin('near', 4)} " + " UNION ALL ".join(rows)
+    )
+
+
 def _blobs_by_label_means() -> str:
     """CTEs ``near`` (standardised blobs with the nearest label mean) and ``sampled``."""
     d = DIMS[:4]
@@ -315,6 +390,9 @@ ORACLES: dict[str, str] = {
     ),
     "training_labels": f"{MOVED} SELECT {KEY_LIST}, cluster FROM near3",
     "kmeans_on_blobs": f"WITH {_blobs()}, {_blob_fit()}",
+    "kmeans_on_lineitem": f"WITH RECURSIVE {_scaled()}, named AS (SELECT concat_ws('|', {KEY_LIST}) AS name, x0, x1, x2, x3 FROM scaled), "
+    f"{_fit('named')} {_fit_rows(FEATURES)}",
+    "training": _trained(),
     "inertia_on_lineitem": f"{ASSIGNED} SELECT count(*) AS n, round(sum(distance), 3) AS inertia FROM near0",
     "silhouette_on_lineitem": f"{ASSIGNED}, {SAMPLED}, {_silhouette('sampled', ROW_DISTANCE)} "
     "SELECT round(silhouette, 6) AS silhouette, n, n_clusters FROM sil",
