@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from segwatch.functions.columns import HEX_WORD, any_missing, as_double, digest_word, is_missing, require_columns
+from segwatch.functions.columns import any_missing, as_double, is_missing, reject_missing, require_columns
 from segwatch.functions.distance import nearest, squared_distance
 from segwatch.functions.storage import cut, local_table
 from segwatch.operators.blocks import BoundedLloyd, draw_seeds, pack_rows
+from segwatch.operators.centroid_index import CentroidIndex, assign_by_index, build_index
 from segwatch.operators.scaling import Scaler, column_moments
 
 log = logging.getLogger(__name__)
@@ -47,9 +48,13 @@ class Clustering:
         return local_table(spark, rows, f"cluster int, {names}")
 
 
-def _check_points(points: Points, width: int) -> None:
+def _check_shape(points: Points, width: int) -> None:
     if not points or any(len(p) != width for p in points):
         raise ValueError(f"centroids must be a non-empty list of points with {width} coordinates")
+
+
+def _check_points(points: Points, width: int) -> None:
+    _check_shape(points, width)
     if len(points) * width * 8 > CENTROID_BYTES:
         raise ValueError(f"{len(points)} centroids of {width} features exceed {CENTROID_BYTES} bytes")
 
@@ -79,11 +84,12 @@ def _nearest_udf(points: Points, missing_fails: bool):
 def assign(
     df: DataFrame,
     features: Sequence[str],
-    centroids: Points,
+    centroids: Points | DataFrame,
     scaler: Scaler | None = None,
     output: str = "cluster",
     distance: str | None = None,
     missing: str = "raise",
+    limit: int = CENTROID_BYTES,
 ) -> DataFrame:
     """Add the index of the nearest centroid; the lowest index wins a tie.
 
@@ -91,13 +97,21 @@ def assign(
     distance is taken on the standardised values while the table keeps the original ones.
     ``distance`` names a column for the squared distance. Rows with a missing feature fail the job
     (``missing="raise"``) or get NULL (``missing="null"``).
+
+    Centroids of more than ``limit`` bytes, or given as a table of ``cluster`` and the features, do not travel with the
+    tasks: they are indexed as a table (see ``centroid_index``), which shuffles rows and numbers, with the same result.
     """
     require_columns(df, features)
-    _check_points(centroids, len(features))
+    table = isinstance(centroids, DataFrame)
+    if not table:
+        _check_shape(centroids, len(features))
     if missing not in ("raise", "null"):
         raise ValueError("missing must be 'raise' or 'null'")
     values = [scaler.column(f) if scaler else as_double(f) for f in features]
     keep = [c for c in df.columns if c not in (output, distance)]
+    if table or len(centroids) * len(features) * 8 > limit:
+        index = index_centroids(centroids if table else _centroid_table(df.sparkSession, centroids, features), features, limit)
+        return assign_by_index(df, values, index, any_missing(features), missing == "raise", keep, output, distance)
     if len(centroids) * len(features) > UNROLLED_TERMS:
         packed = F.struct(*(v.alias(f) for v, f in zip(values, features)))
         scored = df.withColumn("__nearest", _nearest_udf(centroids, missing == "raise")(packed))
@@ -126,6 +140,19 @@ def assign(
     return scored.select(*keep, *added)
 
 
+def _centroid_table(spark: SparkSession, points: Points, features: Sequence[str]) -> DataFrame:
+    rows = [(i, *map(float, p)) for i, p in enumerate(points)]
+    return local_table(spark, rows, "cluster int, " + ", ".join(f"`{f}` double" for f in features))
+
+
+def index_centroids(centroids: DataFrame, features: Sequence[str], limit: int = CENTROID_BYTES) -> CentroidIndex:
+    """An index of a table of ``cluster`` and the features; its balls are held to ``limit`` bytes."""
+    require_columns(centroids, ["cluster", *features])
+    names = [f"x{i}" for i in range(len(features))]
+    plain = reject_missing(centroids, features, "centroids").select("cluster", *(F.col(f).alias(n) for f, n in zip(features, names)))
+    return build_index(plain, names, limit, lambda df, pivots: assign(df, names, pivots, output="pivot", limit=limit))
+
+
 def _unrolled_sums(df: DataFrame, features: Sequence[str], points: Points) -> DataFrame:
     """The sums for one centroid set as generated code: distances first, then the choice among them."""
     inputs = df.select(*(as_double(f).alias(f"__x{i}") for i, f in enumerate(features)))
