@@ -384,6 +384,15 @@ ORACLES: dict[str, str] = {
     f"SELECT {KEY_LIST}, {SCALED_OUT} FROM scaled",
     "clusters_by_frequency": f"{ASSIGNED} SELECT cluster, count(*) AS n FROM near0 GROUP BY cluster ORDER BY n DESC, cluster",
     "nearest_centroid": f"{ASSIGNED} SELECT {KEY_LIST}, cluster, round(distance, 6) AS distance FROM near0",
+    "nearest_of_many": f"WITH {_scaled()}, many AS (SELECT *, row_number() OVER (ORDER BY digest) - 1 AS j FROM scaled ORDER BY digest LIMIT 64), "
+    f"rows_of AS (SELECT *, row_number() OVER () AS r FROM scaled), away AS (SELECT r, {', '.join(f'a.{k}' for k in KEYS)}, b.j, "
+    f"{_sums('(a.x{i} - b.x{i}) * (a.x{i} - b.x{i})')} AS distance FROM rows_of a, many b), "
+    f"one AS (SELECT r, {KEY_LIST}, min((distance, j)) AS best FROM away GROUP BY r, {KEY_LIST}) "
+    f"SELECT {KEY_LIST}, CAST(best[2] AS INTEGER) AS cluster, round(best[1], 6) AS distance FROM one",
+    "nearest_labelled_vector": f"WITH {EMBEDDED}, away AS (SELECT a.vec_id, b.vec_id AS j, "
+    "list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS distance FROM embedded a, embedded b WHERE b.vec_id % 5 = 0), "
+    "one AS (SELECT vec_id, min((distance, j)) AS best FROM away GROUP BY vec_id) "
+    "SELECT vec_id, CAST(best[2] AS INTEGER) AS cluster, round(best[1], 6) AS distance FROM one",
     "lloyd_steps": MOVED + " " + " UNION ALL ".join(
         f"SELECT CAST({j} AS INTEGER) AS cluster, " + ", ".join(f"round(c{j}_{i}, 6) AS {f}" for i, f in enumerate(FEATURES))
         + ", (SELECT round(sum(distance), 3) FROM near3) AS inertia FROM c3" for j in range(K)
@@ -401,6 +410,9 @@ ORACLES: dict[str, str] = {
     f"{_silhouette('sampled', 'list_distance(a.v, b.v)')} SELECT round(silhouette, 6) AS silhouette, n, n_clusters FROM sil",
     "silhouette_all_rows_on_embeddings": f"WITH {EMBEDDED}, whole AS (SELECT vec_id AS id, label AS own, v FROM embedded), "
     f"{_silhouette('whole', 'list_distance(a.v, b.v)')} SELECT round(silhouette, 6) AS silhouette, n, n_clusters FROM sil",
+    "silhouette_all_rows_on_blobs": f"WITH {_blobs()}, whole AS (SELECT o_orderkey AS id, true_label AS own, "
+    + ", ".join(f"{d} AS x{i}" for i, d in enumerate(DIMS[:4])) + " FROM blobs), "
+    f"{_silhouette('whole', ROW_DISTANCE)} SELECT round(silhouette, 6) AS silhouette, n, n_clusters FROM sil",
     "davies_bouldin_on_lineitem": f"{ASSIGNED}, {LABELLED}, {_davies_bouldin('labelled', 4)} "
     "SELECT round(davies_bouldin, 6) AS davies_bouldin, n_clusters FROM dbi",
     "davies_bouldin_on_embeddings": f"WITH {EMBEDDED}, {EMBEDDED_WIDE}, {_davies_bouldin('wide', 64)} "

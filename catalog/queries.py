@@ -202,6 +202,20 @@ def nearest_centroid(spark, sf_dir):
     return _rounded(_labelled(spark, sf_dir, "distance").select(*KEYS, "cluster", "distance"), ["distance"])
 
 
+def nearest_of_many(spark, sf_dir):
+    """64 centroids under a limit that they exceed, so that the index finds the nearest."""
+    scaled, _ = scale_features(_lineitem(spark, sf_dir), FEATURES)
+    found = assign(scaled, FEATURES, _start(scaled, 64), distance="distance", limit=1024)
+    return _rounded(found.select(*KEYS, "cluster", "distance"), ["distance"])
+
+
+def nearest_labelled_vector(spark, sf_dir):
+    """Centroids from a table: of all vectors the nearest one whose number is divisible by five."""
+    rows = _embeddings(spark, sf_dir)
+    centroids = rows.where("vec_id % 5 = 0").select(F.col("vec_id").alias("cluster"), *DIMS)
+    return _rounded(assign(rows, DIMS, centroids, distance="distance").select("vec_id", "cluster", "distance"), ["distance"])
+
+
 def _as_rows(spark: SparkSession, model: Clustering) -> DataFrame:
     rows = model.to_table(spark).withColumn("inertia", F.lit(model.inertia))
     return _rounded(_rounded(rows, model.features), ["inertia"], 3)
@@ -251,6 +265,12 @@ def silhouette_all_rows_on_embeddings(spark, sf_dir):
     return _rounded(silhouette(rows, DIMS, "label", ["vec_id"], sample_size=None), ["silhouette"])
 
 
+def silhouette_all_rows_on_blobs(spark, sf_dir):
+    """Every row of separated clusters: most pairs of blocks never meet."""
+    blobs = blobs_for_keys(_table(spark, sf_dir, "orders"), "o_orderkey")
+    return _rounded(silhouette(blobs, BLOB_FEATURES, "true_label", ["o_orderkey"], sample_size=None), ["silhouette"])
+
+
 def davies_bouldin_on_lineitem(spark, sf_dir):
     return _rounded(davies_bouldin(_labelled(spark, sf_dir), FEATURES, "cluster"), ["davies_bouldin"])
 
@@ -462,8 +482,8 @@ QUERIES: dict[str, Query] = {
         cluster_distribution, gaussian_blobs, table_sink, csv_sink_and_scan, csv_of_documents, table_scan, project_features,
         split_halves_by_key, split_halves_by_date, drop_missing_per_feature, first_rows, row_sample, row_counts,
         row_counts_if, moments, standardised_rows, stored_scalers, apply_stored_scaler, clusters_by_frequency,
-        nearest_centroid, lloyd_steps, training_labels, kmeans_on_blobs, kmeans_on_lineitem, inertia_on_lineitem,
-        silhouette_on_lineitem, silhouette_on_embeddings, silhouette_all_rows_on_embeddings,
+        nearest_centroid, nearest_of_many, nearest_labelled_vector, lloyd_steps, training_labels, kmeans_on_blobs, kmeans_on_lineitem, inertia_on_lineitem,
+        silhouette_on_lineitem, silhouette_on_embeddings, silhouette_all_rows_on_embeddings, silhouette_all_rows_on_blobs,
         davies_bouldin_on_lineitem, davies_bouldin_on_embeddings,
         ks_on_lineitem, ks_on_events, drift_of_lineitem, drifted_by_price, monitoring_metrics, monitoring, run_params,
         run_metrics, latest_metrics, prefixed_metrics, next_versions, latest_versions, candidate_aliases,
