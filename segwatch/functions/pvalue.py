@@ -1,8 +1,8 @@
 """P-values of the two-sided two-sample Kolmogorov-Smirnov statistic.
 
-Both samples up to ``EXACT_ROWS``: the exact distribution. Otherwise the one-sample distribution of
-the statistic at the effective size round(n m / (n + m)), from published expansions for large
-effective sizes and from the exact matrix form for small ones.
+Both samples up to ``EXACT_ROWS``: the exact distribution, for equal sizes its closed form in the JVM. Otherwise the
+one-sample distribution of the statistic at the effective size round(n m / (n + m)): exact up to
+``EXACT_SIZE``, and from published expansions beyond, where these are within 2e-9 of it.
 """
 
 from __future__ import annotations
@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EXACT_ROWS = 10_000
-MATRIX_ROWS = 140  # effective sizes up to here use the matrix form
+EXACT_SIZE = 32_768  # effective sizes up to here walk the process between its bounds; the expansions' error falls as 1 / size^2
+ONE_SIDED_FROM = 4.0  # size * statistic^2 above which crossing both bounds has a probability below 1e-13
+NEGLIGIBLE = 1e-22  # Poisson probabilities left out
 TAIL_FROM = 2.0  # scaled statistic above which only the one-sided tail counts
 SERIES_TERMS = 8
 
@@ -58,31 +60,87 @@ def exact_two_sample(n: int, m: int, statistic: float) -> float:
     return float(min(outside, 1.0))
 
 
+def _poisson(mean: float) -> np.ndarray:
+    """Probabilities of 0, 1, ... events, down to where nothing is left."""
+    out = [math.exp(-mean)]
+    while len(out) <= mean or out[-1] > NEGLIGIBLE:
+        out.append(out[-1] * mean / len(out))
+    return np.array(out)
+
+
+def _log_poisson(k: np.ndarray, mean: float) -> np.ndarray:
+    return k * math.log(mean) - mean - np.array([math.lgamma(x + 1.0) for x in k]) if mean > 0 else np.where(k == 0, 0.0, -np.inf)
+
+
+def one_sided(n: int, statistic: float) -> float:
+    """P(sup(F_n - F) >= statistic), a sum of positive terms."""
+    j = np.arange(int(n * (1.0 - statistic)) + 1)
+    logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, n + 1)))])
+    up, left = statistic + j / n, 1.0 - statistic - j / n
+    with np.errstate(divide="ignore"):
+        rest = np.where(j == n, 0.0, (n - j) * np.log(np.maximum(left, 0.0)))
+    terms = logs[n] - logs[j] - logs[n - j] + (j - 1) * np.log(up) + rest
+    return float(min(1.0, statistic * np.exp(terms).sum()))
+
+
 def exact_one_sample(n: int, statistic: float) -> float:
-    """P(D_n >= statistic) for one sample of size n, by the power of a banded matrix."""
+    """P(D_n >= statistic) for one sample of size n.
+
+    Given their number, the points of a Poisson process are such a sample. Counted up to time t (of n), they have to stay
+    above t - n d and below t + n d; it is enough to look when a count becomes too small or is no longer too
+    large. From one such time to the next the counts' probabilities are convolved with a short Poisson
+    distribution, and what is out of bounds is dropped. Far out both sides are one-sided sums.
+    """
     if statistic >= 1.0:
         return 0.0
-    if n * statistic <= 0.5:
+    reach = n * statistic
+    if reach <= 0.5:
         return 1.0
-    k = math.ceil(n * statistic)
-    gap = k - n * statistic
-    size = 2 * k - 1
-    step = np.tril(np.ones((size, size)), 1)
-    edge = gap ** np.arange(1, size + 1)
-    step[:, 0] -= edge
-    step[-1, :] -= edge[::-1]
-    step[-1, 0] += max(2.0 * gap - 1.0, 0.0) ** size
-    row, column = np.indices((size, size))
-    factor = np.array([math.lgamma(j + 1) for j in range(size + 1)])
-    step *= np.exp(-factor[np.clip(row - column + 1, 0, size)])
-    log_scale, power = math.lgamma(n + 1) - n * math.log(n), np.eye(size)
-    for _ in range(n):
-        power = power @ step
-        top = power.max()
-        power /= top
-        log_scale += math.log(top)
-    inside = power[k - 1, k - 1] * math.exp(log_scale)
-    return float(min(max(1.0 - inside, 0.0), 1.0))
+    if reach * statistic >= ONE_SIDED_FROM:
+        return min(1.0, 2.0 * one_sided(n, statistic))
+    large = [(j - reach, True, j) for j in range(1, n + 1) if 0.0 < j - reach < n]  # up to then there are fewer than j
+    small = [(j + reach, False, j) for j in range(n) if j + reach < n]  # from then on there are more than j
+    counts, low, now, log_scale = np.ones(1), 0, 0.0, 0.0
+    kernels: dict[float, np.ndarray] = {}
+    for time, upper, j in sorted(large + small):
+        gap = time - now
+        key = round(gap, 9)  # nearly all gaps are one of two
+        if key not in kernels:
+            kernels[key] = _poisson(gap)
+        counts, now = np.convolve(counts, kernels[key]), time
+        if upper:
+            counts = counts[:j - low]
+        elif j >= low:
+            counts, low = counts[j + 1 - low:], j + 1
+        top = counts.max(initial=0.0)
+        if top == 0.0:
+            return 1.0
+        if top < 1e-100:
+            counts = counts / top
+            log_scale += math.log(top)
+    at = np.arange(low, low + len(counts))
+    fits = at <= n
+    last = np.exp(_log_poisson((n - at[fits]).astype(float), n - now))
+    whole = _log_poisson(np.array([float(n)]), float(n))[0]
+    inside = float((counts[fits] * last).sum())
+    return float(min(max(1.0 - math.exp(math.log(inside) + log_scale - whole), 0.0), 1.0)) if inside > 0 else 1.0
+
+
+def equal_size_p(n: Column, reach: Column) -> Column:
+    """P(D >= reach / n) for two samples of size ``n`` (bigint), a closed alternating sum, as one loop in the JVM.
+
+    The k-th term, C(2n, n - k reach) / C(2n, n), is the product of the first k reach factors (n - i + 1) / (n + i).
+    """
+    state = F.struct(F.lit(1.0).alias("product"), F.lit(0.0).alias("total"))
+
+    def step(s: Column, i: Column) -> Column:
+        product = s["product"] * (n - i + 1) / (n + i)
+        k = i / reach
+        sign = F.when(F.pmod(F.floor(k), F.lit(2)) == 1, F.lit(1.0)).otherwise(F.lit(-1.0))
+        return F.struct(product.alias("product"), (s["total"] + F.when(i % reach == 0, sign * product).otherwise(F.lit(0.0))).alias("total"))
+
+    total = F.aggregate(F.sequence(F.lit(1).cast("bigint"), n), state, step, lambda s: 2.0 * s["total"])
+    return F.when(reach <= 0, F.lit(1.0)).otherwise(F.least(F.greatest(total, F.lit(0.0)), F.lit(1.0)))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -91,9 +149,9 @@ def small_size_p(n: pd.Series, m: pd.Series, statistic: pd.Series) -> pd.Series:
 
     def one(n: int, m: int, d: float) -> float | None:
         if max(n, m) <= EXACT_ROWS:
-            return exact_two_sample(n, m, d)
+            return None if n == m else exact_two_sample(n, m, d)
         effective = round(n * m / (n + m))
-        return exact_one_sample(effective, d) if effective <= MATRIX_ROWS else None
+        return exact_one_sample(effective, d) if effective <= EXACT_SIZE else None
 
     return pd.Series([one(int(a), int(b), float(d)) for a, b, d in zip(n, m, statistic)], dtype="float64")
 
@@ -154,4 +212,6 @@ def with_ks_p_value(df: DataFrame, n: str, m: str, statistic: str, output: str =
         .withColumn("__z", F.col(statistic) * F.col("__root"))
     )
     p = asymptotic_p(F.col(statistic), F.col("__size"), F.col("__root"), F.col("__z"))
-    return scaled.withColumn(output, F.coalesce(small_size_p(n, m, statistic), p)).drop("__size", "__root", "__z")
+    whole = F.col(n).cast("bigint")
+    closed = F.when((a == b) & (a <= EXACT_ROWS) & (a > 0), equal_size_p(whole, F.rint(F.col(statistic) * a).cast("bigint")))
+    return scaled.withColumn(output, F.coalesce(closed, small_size_p(n, m, statistic), p)).drop("__size", "__root", "__z")

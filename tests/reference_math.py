@@ -77,3 +77,28 @@ def lloyd(x, centroids, steps):
         labels, _ = nearest(x, c)
         c = np.array([x[labels == j].mean(axis=0) if (labels == j).any() else c[j] for j in range(len(c))])
     return c
+
+
+def matrix_p(n, d):
+    """P(D_n >= d) of one sample by the power of a banded matrix."""
+    k = math.ceil(n * d)
+    gap, size = k - n * d, 2 * k - 1
+    step = np.tril(np.ones((size, size)), 1)
+    edge = gap ** np.arange(1, size + 1)
+    step[:, 0] -= edge
+    step[-1, :] -= edge[::-1]
+    step[-1, 0] += max(2 * gap - 1, 0) ** size
+    row, column = np.indices((size, size))
+    step *= np.exp(-np.array([math.lgamma(j + 1) for j in range(size + 1)])[np.clip(row - column + 1, 0, size)])
+    out, scale, base, base_scale = np.eye(size), 0.0, step, 0.0
+    left = n
+    while left:
+        if left & 1:
+            out = out @ base
+            scale += base_scale + math.log(out.max())
+            out /= out.max()
+        base = base @ base
+        base_scale = 2 * base_scale + math.log(base.max())
+        base /= base.max()
+        left >>= 1
+    return 1 - out[k - 1, k - 1] * math.exp(scale + math.lgamma(n + 1) - n * math.log(n))

@@ -6,9 +6,11 @@ from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from reference_math import exact_p, exact_p_equal
+from reference_math import matrix_p
 from reference_math import ks as numpy_ks
 
 from segwatch.functions.storage import local_table
+from segwatch.functions import pvalue
 from segwatch.functions.pvalue import exact_one_sample, exact_two_sample
 from segwatch.operators import drift
 from segwatch.operators.drift import (
@@ -129,6 +131,21 @@ def test_exact_one_sample_published_value():
     assert exact_one_sample(20, 0.01) == 1.0 and exact_one_sample(20, 1.0) == 0.0
 
 
+@pytest.mark.parametrize("n", [7, 141, 1000, 4999])
+def test_exact_one_sample_equals_the_matrix_form(n):
+    for z in (0.4, 0.7, 1.1, 1.6, 1.99, 2.01):
+        if z < math.sqrt(n) and z * math.sqrt(n) > 0.5:
+            assert exact_one_sample(n, z / math.sqrt(n)) == pytest.approx(matrix_p(n, z / math.sqrt(n)), abs=1e-9)
+
+
+def test_equal_sizes_have_a_closed_form_in_the_plan(spark):
+    cases = [(n, h) for n in (1, 2, 9, 60, 700) for h in sorted({0, 1, 2, n // 9, n // 3, n}) if h <= n] + [(10_000, 150), (10_000, 10_000)]
+    df = spark.createDataFrame([(str(i), n, n, h / n) for i, (n, h) in enumerate(cases)], "feature string, n_ref bigint, n_curr bigint, ks_stat double")
+    found = {r["feature"]: r["p_value"] for r in with_p_value(df).collect()}
+    for i, (n, h) in enumerate(cases):
+        assert found[str(i)] == pytest.approx(exact_p_equal(n, h) if h else 1.0, abs=1e-11, rel=1e-9), (n, h)
+
+
 def test_p_values_of_large_and_lopsided_samples(spark):
     rows = [
         ("series", 20_002, 20_002, 0.013), ("small", 20_000, 20_000, 0.0005), ("tail", 50_000, 50_000, 0.02),
@@ -151,12 +168,12 @@ def test_p_values_of_large_and_lopsided_samples(spark):
     assert found["tail"] == pytest.approx(limit(0.02 * math.sqrt(25_000)), rel=0.05)
 
 
-def test_series_agrees_with_the_exact_matrix_form(spark):
-    sizes = [(2 * n, 2 * n, z / math.sqrt(n)) for n in (5_100,) for z in (0.4, 0.7, 1.0, 1.4, 1.9)]
+def test_series_agrees_with_the_exact_walk(spark):
+    sizes = [(2 * n, 2 * n, z / math.sqrt(n)) for n in (pvalue.EXACT_SIZE + 1,) for z in (0.5, 1.2, 1.9)]
     df = spark.createDataFrame([(str(i), *s) for i, s in enumerate(sizes)], "feature string, n_ref bigint, n_curr bigint, ks_stat double")
     for row in with_p_value(df).collect():
         n = row["n_ref"] // 2
-        assert row["p_value"] == pytest.approx(exact_one_sample(n, row["ks_stat"]), abs=1e-7)
+        assert row["p_value"] == pytest.approx(exact_one_sample(n, row["ks_stat"]), abs=2e-9)
 
 
 @settings(max_examples=4, deadline=None, phases=[Phase.generate], suppress_health_check=[HealthCheck.function_scoped_fixture])
