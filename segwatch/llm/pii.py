@@ -58,6 +58,8 @@ AT_DOT = re.compile(
     rf"(?i)(?P<at>{_OPEN}(?:at|@|arobase|arroba){_CLOSE}|&#64;|&commat;|(?<=[\w%+-])\s+at\s+(?=[\w-]+(?:{_HIDDEN_DOT}[\w-]+)+))"
     rf"|(?P<dot>(?<=[\w-]){_HIDDEN_DOT}(?=[\w-])|&#46;|&period;)"
 )
+# Every match of the pattern above holds one of these or, after a plain "at", is followed by one: without any, there is none.
+AT_DOT_CORE = re.compile(rf"[\[({{<]\s*+(?:at|@|arobase|arroba|{_DOT}|\.)\s*+[\])}}>]|&#64;|&commat;|&#46;|&period;|\s{_DOT}\s")
 # Two digit words, or one and a digit, in a row: what every spelled number has after its first word.
 SPELLED_HINT = re.compile(rf"[\s,.-]{_WORD}[\s,.-]{{1,3}}(?:{_WORD}|[0-9])")
 _OTHER_DIGITS = "".join(c for c in map(chr, range(0x80, 0x11000)) if unicodedata.decimal(c, None) is not None)
@@ -190,7 +192,8 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
     lower = shown.text.lower()
     if SPELLED_HINT.search(lower):
         shown = shown.rewrite(_spelled(shown.text))
-    shown = shown.rewrite((m.start(), m.end(), "@" if m["at"] else ".") for m in AT_DOT.finditer(shown.text))
+    if AT_DOT_CORE.search(lower):
+        shown = shown.rewrite((m.start(), m.end(), "@" if m["at"] else ".") for m in AT_DOT.finditer(shown.text))
     if len(shown.at) <= 1 and shown.text == text:
         return plain, []
     added: list[Span] = []

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 from conftest_llm import EDGES
+from segwatch.llm import pii
 from segwatch.llm.pii import find, find_plain, joined, personal_data, redact
 
 # The four kinds as plain patterns, matched from left to right without overlap.
@@ -71,6 +72,19 @@ def test_disguises_map_back_to_the_source():
         assert [(k, text[s:e]) for k, s, e in added] == wanted, text
 
 
+def test_the_quick_look_never_hides_a_disguise():
+    """Wherever the pattern matches, the shorter one that is looked for first does, too."""
+    draw = random.Random(12)
+    pool = ["a", "bob", "x-y", " at ", " AT ", " dot ", " Dot\n", "(", ")", "[", "]", "<", ">", "{", "@", ".", " ", "  ", "at", "dot", "punkt", "arroba", "&#64;", "&period;", "org"]
+    hits = 0
+    for _ in range(60_000):
+        text = "".join(draw.choice(pool) for _ in range(draw.randint(2, 12)))
+        if pii.AT_DOT.search(text):
+            hits += 1
+            assert pii.AT_DOT_CORE.search(text.lower()), text
+    assert hits > 5000
+
+
 def test_plain_spans_stay_beside_disguised_ones():
     text = "a@b.co and x (at) y (dot) org, 10.0.0.1"
     plain_spans, added = find(text)
