@@ -1,7 +1,7 @@
 """Removing strings of a given length that occur elsewhere, by sorting hashed suffixes.
 
 The symbols of a string are bytes or whole words. Only suffixes that can matter are sorted. Every string of ``length``
-symbols contains an anchor: the block of half its length whose hash is the smallest there. Equal strings have equal anchors at equal places, so a string whose
+symbols contains an anchor: the block of a sixth of its length whose hash is the smallest there. Equal strings have equal anchors at equal places, so a string whose
 anchor's hash occurs once in the table has no equal. Around each shared anchor lies its context, the symbols
 that any string with this anchor can cover. Contexts that are equal as a whole are covered as a whole.
 Different contexts of one anchor are sorted by their suffixes: a mergesort whose comparisons find the common
@@ -27,8 +27,8 @@ PASSAGE_WORDS = 51
 SEGMENT_BYTES = 1 << 20  # long texts are hashed in overlapping segments of this size
 SORTED_CONTEXTS = 4_096  # contexts of one anchor that one task sorts; beyond it their strings are counted in the whole table
 SHARD_CONTEXTS = 2_048
-PLACES = 16  # a string's length over this is the stride of the suffixes sorted first; others follow where those leave them open
-WORD_PERIOD = 4_096  # longer words repeat the multipliers of their signs
+BLOCKS = 6  # anchors to a string's length: short ones are fewer, but found by chance more often
+PLACES = 10  # a string's length over this is the stride of the suffixes sorted first; others follow where those leave them open
 
 _MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
@@ -71,17 +71,31 @@ class Hasher:
         return _mixed((prefixes[size:] - prefixes[:-size]) * self.inverses[: len(data) - size + 1])
 
     def words(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Starts, ends and hashes of the words of ``data``: what lies between blanks."""
-        blank = np.ones(len(data) + 2, dtype=bool)
-        np.logical_or(data == 32, (data - 9).astype("uint8") < 5, out=blank[1:-1])
-        starts, ends = np.flatnonzero(blank[:-1] & ~blank[1:]), np.flatnonzero(~blank[:-1] & blank[1:])
-        if not len(starts):
-            return starts, ends, np.empty(0, dtype="uint64")
-        sizes = ends - starts
-        inside = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        signs = self.values[data[~blank[1:-1]]] * self.powers[: WORD_PERIOD][inside % WORD_PERIOD]
-        sums = np.add.reduceat(signs, np.cumsum(sizes) - sizes)
-        return starts, ends, _mixed(sums + sizes.astype("uint64"))
+        """Starts, ends and hashes of the words of ``data``: what lies between blanks. At most ``SEGMENT_BYTES`` are hashed
+        at once, and a word longer than that by itself, in another way."""
+        inside = np.zeros(len(data) + 2, dtype="int8")
+        inside[1:-1] = IN_WORD[data]
+        change = np.diff(inside)
+        starts, ends = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+        hashes = np.empty(len(starts), dtype="uint64")
+        most = len(self.powers) - 1
+        at = 0
+        while at < len(starts):
+            upto = int(np.searchsorted(ends, starts[at] + most, side="right"))
+            if upto == at:
+                digest = hashlib.blake2b(data[starts[at]:ends[at]].tobytes(), digest_size=8).digest()
+                hashes[at] = int.from_bytes(digest, "little")
+                at += 1
+                continue
+            low, high = int(starts[at]), int(ends[upto - 1])
+            prefixes = self.prefixes(data[low:high])
+            s, e = starts[at:upto] - low, ends[at:upto] - low
+            hashes[at:upto] = _mixed((prefixes[e] - prefixes[s]) * self.inverses[s] + (e - s).astype("uint64"))
+            at = upto
+        return starts, ends, hashes
+
+
+IN_WORD = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)], dtype="int8")
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -107,7 +121,7 @@ def anchors(data: np.ndarray, hasher: Hasher, length: int) -> tuple[np.ndarray,
 
     The choice depends on the string alone; of equal smallest hashes the last counts.
     """
-    block = length // 2
+    block = max(1, length // BLOCKS)
     starts: list[np.ndarray] = []
     hashes: list[np.ndarray] = []
     for at in range(0, max(1, len(data) - length + 1), SEGMENT_BYTES):
@@ -140,7 +154,7 @@ def _anchor_rows(wanted: Sequence[Strings]):
                 raw = text.as_buffer().to_pybytes() if text.is_valid else b""
                 data = np.frombuffer(raw, dtype="uint8")
                 for kind, (length, words) in enumerate(wanted):
-                    block = length // 2
+                    block = max(1, length // BLOCKS)
                     symbols = hasher.words(data)[2] if words else data
                     if len(symbols) < length:
                         continue
@@ -174,30 +188,27 @@ def _anchor_batch(batch: pa.RecordBatch, rows: list[tuple[np.ndarray, ...]], con
     )
 
 
-def _word_symbols(contexts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The words of contexts as numbers from 1, equal for equal words only; words in each context; a value for each number."""
-    known: dict[bytes, int] = {}
-    parts = [c.split(b" ") for c in contexts]
-    flat = np.array([known.setdefault(w, len(known) + 1) for words in parts for w in words], dtype="int32")
-    values = _mixed(np.arange(len(known) + 1, dtype="uint64") * np.uint64(_MULTIPLIER))
-    return flat, np.array([len(words) for words in parts], dtype="int64"), values
-
-
 class SuffixShard:
     """Contexts of several anchors, framed so that the anchors stand at one place, with prefix hashes.
 
-    The words of a context stand with one blank between them.
+    The words of a context stand with one blank between them; they are compared by their hashes, and the strings
+    found equal by their bytes.
     """
 
-    def __init__(self, contexts: list[bytes], left: np.ndarray, groups: np.ndarray, length: int, salt: int = 0, words: bool = False):
-        m, frame = len(contexts), 2 * length - length // 2
-        self.length, self.groups, self.shift = length, groups, length - length // 2
+    def __init__(
+        self, contexts: list[bytes], left: np.ndarray, groups: np.ndarray, length: int, salt: int = 0, words: Hasher | None = None
+    ):
+        block = max(1, length // BLOCKS)
+        m, frame = len(contexts), 2 * length - block
+        self.length, self.groups, self.shift = length, groups, length - block
         self.first = self.shift - left.astype("int64")
+        self.contexts, self.cuts = contexts, None
         if words:
-            flat, sizes, values = _word_symbols(contexts)
+            sizes = np.array([c.count(b" ") + 1 for c in contexts])
+            begin, end, flat = words.words(np.frombuffer(b" ".join(contexts), dtype="uint8"))
+            flat = _mixed(flat ^ np.uint64(salt))
         else:
             flat, sizes = np.frombuffer(b"".join(contexts), dtype="uint8"), np.array([len(c) for c in contexts])
-            values = _byte_values()
         self.bytes = np.zeros((m, frame), dtype=flat.dtype)
         self.last = self.first + sizes
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -205,7 +216,12 @@ class SuffixShard:
         self.bytes[row, np.arange(len(flat)) - starts[row] + self.first[row]] = flat
         powers = _powers(_MULTIPLIER + 2 * salt, frame)
         self.hashes = np.zeros((m, frame + 1), dtype="uint64")
-        np.cumsum(values[self.bytes] * powers, axis=1, out=self.hashes[:, 1:])
+        np.cumsum((self.bytes if words else _byte_values()[self.bytes]) * powers, axis=1, out=self.hashes[:, 1:])
+        if words:  # where the words begin and end in their context, by place
+            base = np.cumsum([0] + [len(c) + 1 for c in contexts[:-1]])
+            at = np.arange(len(flat)) - starts[row] + self.first[row]
+            self.cuts = np.zeros((2, m, frame), dtype="int64")
+            self.cuts[0, row, at], self.cuts[1, row, at] = begin - base[row], end - base[row]
 
     def extension(self, a: np.ndarray, b: np.ndarray, p: np.ndarray) -> np.ndarray:
         """Bytes that contexts ``a`` and ``b`` have in common from place ``p``, by binary search on the hashes."""
@@ -282,6 +298,13 @@ class SuffixShard:
             first = np.where(differ.any(axis=1), differ.argmax(axis=1), np.minimum(self.last[a], self.last[b])) - p
             if (first != n).any() or not self.less(a, b, p).all():
                 raise HashCollision
+            if self.cuts is not None:
+                equal = n >= self.length
+                a, b, p, last = a[equal], b[equal], p[equal], p[equal] + n[equal] - 1
+                spans = zip(a.tolist(), self.cuts[0, a, p].tolist(), self.cuts[1, a, last].tolist(),
+                            b.tolist(), self.cuts[0, b, p].tolist(), self.cuts[1, b, last].tolist())
+                if any(self.contexts[i][low:high] != self.contexts[j][begin:end] for i, low, high, j, begin, end in spans):
+                    raise ArithmeticError("two different words have one 64-bit hash")
 
     def repeated(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``context, place`` of every string of the wanted length that also starts in another context of its group.
@@ -340,7 +363,7 @@ class HashCollision(Exception):
 
 
 def covered_ranges(
-    contexts: list[bytes], left: np.ndarray, groups: np.ndarray, length: int, words: bool = False, keep_first: bool = False,
+    contexts: list[bytes], left: np.ndarray, groups: np.ndarray, length: int, words: Hasher | None = None, keep_first: bool = False,
     wanted: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """For each context, the symbols covered by repeated strings, counted from the anchor; (0, 0) for none.
@@ -368,7 +391,7 @@ def covered_ranges(
 def _sorted_rows(wanted: Sequence[Strings], keep_first: bool):
     """Contexts arrive sorted by kind and anchor; whole anchors are gathered to shards and each shard is sorted."""
 
-    def finish(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    def finish(table: pa.Table, hasher: Hasher) -> Iterator[pa.RecordBatch]:
         # Repeated rows of the input bring a context twice in a row; it is one place of the text.
         pairs = list(zip(table.column("hash").to_pylist(), table.column("context").to_pylist()))
         table = table.take(pa.array([i for i, p in enumerate(pairs) if not i or p != pairs[i - 1]]))
@@ -379,7 +402,7 @@ def _sorted_rows(wanted: Sequence[Strings], keep_first: bool):
             groups = np.cumsum(np.concatenate([[0], found[1:] != found[:-1]]))
             length, words = wanted[kind]
             low, high = covered_ranges(
-                some.column("bytes").to_pylist(), some.column("left").to_numpy(), groups, length, words, keep_first, some.column("n").to_numpy() == 1
+                some.column("bytes").to_pylist(), some.column("left").to_numpy(), groups, length, hasher if words else None, keep_first, some.column("n").to_numpy() == 1
             )
             good = np.flatnonzero(high > low)
             yield pa.RecordBatch.from_arrays(
@@ -389,6 +412,7 @@ def _sorted_rows(wanted: Sequence[Strings], keep_first: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
+        hasher = Hasher(SEGMENT_BYTES)
         for batch in batches:
             table = pa.Table.from_batches([batch])
             rest = table if rest is None else pa.concat_tables([rest, table])
@@ -398,10 +422,10 @@ def _sorted_rows(wanted: Sequence[Strings], keep_first: bool):
                 ends = ends[ends >= SHARD_CONTEXTS]
                 if not len(ends):
                     break
-                yield from finish(rest.slice(0, int(ends[0])))
+                yield from finish(rest.slice(0, int(ends[0])), hasher)
                 rest = rest.slice(int(ends[0]))
         if rest is not None and rest.num_rows:
-            yield from finish(rest)
+            yield from finish(rest, hasher)
 
     return run
 
@@ -467,7 +491,7 @@ def _apply(wanted: Sequence[Strings], kept_bytes: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        hasher = Hasher(WORD_PERIOD)
+        hasher = Hasher(SEGMENT_BYTES)
         for batch in batches:
             sizes, removed, spans, digests, counts, texts = [], [], [], [], [], []
             for packed, ranges in zip(batch.column(1), batch.column(2).to_pylist()):
@@ -520,7 +544,7 @@ def suffix_dedup(
     lose all that is long enough, but with ``keep_first`` rows with the same key and text are one document. NULL and
     repeated keys are fine, an empty table gives an empty result, and other columns are not read.
 
-    Shuffled are: anchors (about one in 100 bytes or 14 words, 42 bytes each) by hash, the contexts of anchors with several, and
+    Shuffled are: anchors (about one in 170 bytes or 22 words, 42 bytes each) by hash, the contexts of anchors with several, and
     the compressed texts, twice. Counts combine before the shuffle, joins are splittable, and an anchor with
     more than ``SORTED_CONTEXTS`` contexts is not sorted in one task: the digests of its strings (128 bits) are counted in the
     whole table. Contexts that are equal as a whole are told by such a digest, too.
@@ -551,7 +575,7 @@ def suffix_dedup(
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        hasher = Hasher(WORD_PERIOD)
+        hasher = Hasher(SEGMENT_BYTES)
         for batch in batches:
             at: list[int] = []
             out: list[tuple] = []
@@ -560,8 +584,8 @@ def suffix_dedup(
                 for c in cuts.as_py():
                     low, high = c["at"] - c["left"], c["at"] + c["right"]
                     if wanted[c["kind"]].words:
-                        bounds = bounds or [b.tolist() for b in hasher.words(np.frombuffer(raw, dtype="uint8"))[:2]]
-                        body = b" ".join([raw[i:j] for i, j in zip(bounds[0][low:high], bounds[1][low:high])])
+                        bounds = bounds or hasher.words(np.frombuffer(raw, dtype="uint8"))
+                        body = b" ".join(raw[bounds[0][low]:bounds[1][high - 1]].split())
                     else:
                         body = raw[low:high]
                     at.append(n)

@@ -88,11 +88,22 @@ def test_two_kinds_in_one_pass(spark):
 
 
 def test_words_are_told_by_their_bytes():
-    hasher = suffix.Hasher(suffix.WORD_PERIOD)
+    hasher = suffix.Hasher(4096)
     raw = b"  one two\tone\r\n" + b"x" * 10_000 + b" " + b"x" * 10_001 + b" \xc2\xa0 one"
     starts, ends, hashes = hasher.words(np.frombuffer(raw, dtype="uint8"))
     found = [raw[i:j] for i, j in zip(starts, ends)]
     assert found == raw.split() and len(set(hashes.tolist())) == len(set(found))
+    assert dict(zip(found, hashes)) == dict(zip(found, suffix.Hasher(1 << 16).words(np.frombuffer(raw, dtype="uint8"))[2])) | {
+        w: h for w, h in zip(found, hashes) if len(w) > 4096}
+
+
+def test_one_hash_for_two_words_is_found(monkeypatch):
+    """With one hash for all words every string looks repeated; the bytes say that it is not."""
+    hasher = suffix.Hasher(4096)
+    monkeypatch.setattr(suffix, "_mixed", lambda x: x * np.uint64(0) + np.uint64(7))
+    contexts = [b" ".join(b"a%d" % i for i in range(20)), b" ".join(b"b%d" % i for i in range(20))]
+    with pytest.raises(ArithmeticError, match="64-bit"):
+        suffix.covered_ranges(contexts, np.array([8, 8]), np.array([0, 0]), 12, hasher)
 
 
 def result(df, **more):
@@ -161,7 +172,7 @@ def test_sort_is_a_suffix_sort():
     rng = random.Random(4)
     contexts = list({"".join(rng.choice("ab") for _ in range(60)).encode() for _ in range(200)})
     shard = suffix.SuffixShard(contexts, np.full(len(contexts), 20), np.zeros(len(contexts), dtype="int64"), 40)
-    place = np.full(len(contexts), 5)
+    place = shard.first + 5
     order, _, common = shard.sort(np.arange(len(contexts)), place)
     wanted = sorted(range(len(contexts)), key=lambda c: contexts[c][5:])
     assert [contexts[c][5:] for c in order] == [contexts[c][5:] for c in wanted]
