@@ -72,19 +72,16 @@ class BacktrackEncoder:
         return symbols
 
     def apart(self, left: str, right: str) -> bool:
-        """The merges of ``left + right`` end with these two pieces.
+        """The merges of ``left + right`` end with these two pieces; found out once and kept in ``pairs``.
 
         The merges of both are undone from the last one back. Between two undone merges the same two parts touch; if
         their union is a piece whose turn comes within that time, the merges would have crossed the boundary.
         Of merges of one rank the one further left comes first: those inside ``left`` before the one
         across, that before those inside ``right``.
         """
-        known = self.pairs.get((left, right))
-        if known is not None:
-            return known
         rank, parts = self.rank, self.parts
         a, b, before, good = left, right, len(rank) + 1, True
-        while True:
+        while a in rank and b in rank:  # a sign without piece takes part in no merge
             across = rank.get(a + b)
             if across is not None and across < before:
                 good = False
@@ -107,41 +104,40 @@ class BacktrackEncoder:
         longest: list[str | None] = list(word)
         for end, piece in self.automaton.iter(word):  # of those with one start the longer ends later
             longest[end + 1 - len(piece)] = piece
-        failed = bytearray((n >> 3) + 1)  # a bit for each position from which no way leads on
+        longest.append(None)
+        shorter, pairs = self.shorter, self.pairs
+        failed: bytearray | None = None  # a bit for each position from which no way leads on
         out: list[str] = []
-        at, piece = 0, longest[0] if n else None
+        at, piece, last = 0, longest[0], None
         while at < n:
             while piece is not None:
                 end = at + len(piece)
-                if not failed[end >> 3] >> (end & 7) & 1 and (not out or self._stay(out[-1], piece)):
-                    break
-                piece = self.shorter.get(piece)
+                if failed is None or not failed[end >> 3] >> (end & 7) & 1:
+                    if last is None:
+                        break
+                    good = pairs.get((last, piece))
+                    if good or good is None and self.apart(last, piece):
+                        break
+                piece = shorter.get(piece)
             if piece is None:
-                if not out:
+                if last is None:
                     raise ValueError(f"no sequence of pieces for a word of {n} signs")
+                failed = failed or bytearray((n >> 3) + 1)
                 failed[at >> 3] |= 1 << (at & 7)
-                last = out.pop()
                 at -= len(last)
-                piece = self.shorter.get(last)
+                piece = shorter.get(out.pop())
+                last = out[-1] if out else None
             else:
                 out.append(piece)
-                at = end
-                piece = longest[at] if at < n else None
+                at, last, piece = end, piece, longest[end]
         return out
 
-    def _stay(self, left: str, right: str) -> bool:
-        # A sign without piece takes part in no merge.
-        return left not in self.rank or right not in self.rank or self.apart(left, right)
-
     def encode(self, word: str) -> list[int]:
-        out: list[int] = []
-        for piece in self.split(word):
-            i = self.ids.get(piece)
-            if i is None:
-                out.extend(self.byte_ids[b] for b in piece.encode())
-            else:
-                out.append(i)
-        return out
+        pieces = self.split(word)
+        try:
+            return [self.ids[piece] for piece in pieces]
+        except KeyError:
+            return [i for piece in pieces for i in ([self.ids[piece]] if piece in self.ids else [self.byte_ids[b] for b in piece.encode()])]
 
 
 class Decoder:
@@ -174,7 +170,7 @@ def _load(model: str) -> dict:
         if not all(map(library.is_byte, byte_ids)):
             raise ValueError(f"{model} has no byte pieces")
         memory.update(encoder=BacktrackEncoder(pieces, byte_ids), decoder=Decoder(pieces, byte_ids),
-                      normalize=library.normalize, ids={}, texts={})
+                      normalize=library.normalize, names=list(map(str, range(len(library)))), ids={}, texts={})
     return memory
 
 
@@ -184,11 +180,12 @@ def _learn(memory: dict, words: list[list[str]]) -> list[str]:
     if len(ids) > KEPT_WORDS:  # frequent words come early
         for word in list(islice(ids, KEPT_WORDS // 2, None)):
             del ids[word], texts[word]
-    fresh = {w for found in words for w in found if w not in ids}
+    fresh = set().union(*words).difference(ids)
+    encode, decode, names = memory["encoder"].encode, memory["decoder"].word, memory["names"]
     for word in fresh:
-        found = memory["encoder"].encode(word)
-        ids[word] = ",".join(map(str, found))
-        texts[word] = memory["decoder"].word(found)
+        found = encode(word)
+        ids[word] = ",".join([names[i] for i in found])
+        texts[word] = decode(found)
     return [w for w in fresh if len(w) > KEPT_SIGNS]
 
 
@@ -224,8 +221,8 @@ def piece_round_trip(df: DataFrame, model: str, text: str = "text", ids: bool =
                 cut = [WORD.findall(memory["normalize"](t)) if t else [] for t in portion]
                 long = _learn(memory, cut)
                 for words in cut:
-                    joined = ",".join([numbers[w] for w in words])
-                    shown = Decoder.text([texts[w] for w in words])
+                    joined = ",".join(map(numbers.__getitem__, words))
+                    shown = Decoder.text(list(map(texts.__getitem__, words)))
                     rows.append((
                         joined.count(",") + 1 if joined else 0,
                         hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(shown.encode()).hexdigest(),
