@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 
 from segwatch.functions.storage import cut
 
-CANDIDATE_BLOCK = 8_192
+CANDIDATE_BLOCK = 4_096
 ANCHOR_BLOCK = 1_024
 GROUP = 8  # dimensions that share a table of 2**8 sums
+MOST_PARTS = 4_096
 SCALE = 256
 LARGEST_LONG = 2**63 - 1
 
@@ -247,6 +248,9 @@ def hard_negatives(
         left = left.withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(n_rows - 1))))
         right = given.withColumnRenamed("block", "cb").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_anchors - 1))))
         pair = ["size", "block", "cb"]
+        # Pairs are small and take long, so they are dealt by their number and not by their bytes.
+        parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(n_rows * n_anchors, MOST_PARTS))
+        left, right = left.repartition(parts, *pair), right.repartition(parts, *pair)
         return left.groupBy(*pair).cogroup(right.groupBy(*pair)).applyInArrow(run, schema)
 
     best = Window.partitionBy("place").orderBy(F.desc("score"), "vec_id")
