@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from urllib.parse import urlparse
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -59,6 +60,27 @@ def release(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create the empty file ``path``, which must not exist. False if it does: then another writer has it.
+
+    Of several writers one succeeds, where the file system creates files exclusively: local folders and HDFS do. Object stores
+    need conditional writes for it.
+    """
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place.getParent())
+    if files.getScheme() == "file":  # Hadoop's own local files are created in two steps
+        return jvm.java.io.File(place.toUri().getPath()).createNewFile()
+    try:
+        files.create(place, False).close()
+    except Py4JJavaError as refused:
+        if "AlreadyExists" not in refused.java_exception.getClass().getName():
+            raise
+        return False
+    return True
+
+
 def same_place(path: str) -> str:
     """A path without scheme and trailing slash, for comparing places."""
     parts = urlparse(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import threading
 import time
 import uuid
 from collections.abc import Mapping, Sequence
@@ -10,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segwatch.functions.storage import local_table
+from segwatch.functions.storage import claim, local_table
 from segwatch.operators.clustering import Clustering
 from segwatch.operators.history import (
     ALIASES,
@@ -23,6 +25,7 @@ from segwatch.operators.history import (
     next_versions,
 )
 from segwatch.operators.scaling import SCALER_SCHEMA, Scaler
+from segwatch.sources.tables import FILE_FORMATS
 
 SCHEMAS = {
     "params": PARAMS,
@@ -38,7 +41,8 @@ class RunLog:
     """Appends to and reads the tables ``params``, ``metrics``, ``scalers``, ``centroids``,
     ``versions`` and ``aliases`` below ``root``, a folder all executors can reach.
 
-    One writer per model is assumed: plain file tables cannot number versions atomically.
+    Several writers may register versions of one model: a number is claimed by creating a file of that name
+    below ``claims``, which only one of them can. A writer that dies between claim and record leaves a number out.
     """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
@@ -46,6 +50,7 @@ class RunLog:
         self.root = root.rstrip("/")
         self.fmt = fmt
         self._last_seq = 0
+        self._lock = threading.Lock()
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -54,21 +59,31 @@ class RunLog:
         """The whole table, lazily; empty before the first append."""
         schema = SCHEMAS[name]
         try:
-            return self.spark.read.format(self.fmt).schema(schema).load(self.path(name))
+            reader = self.spark.read.format(self.fmt).schema(schema)
+            if self.fmt in FILE_FORMATS:
+                reader = reader.option("recursiveFileLookup", True)
+            return reader.load(self.path(name))
         except AnalysisException as problem:
             if problem.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 
     def append(self, name: str, rows: DataFrame) -> None:
+        """Add rows. Each append of a file format has a folder of its own, as writers into one folder remove each
+        other's unfinished files."""
         columns = [c.split()[0] for c in SCHEMAS[name].split(", ")]
-        rows.select(*columns).write.format(self.fmt).mode("append").save(self.path(name))
+        own = f"/append-{uuid.uuid4().hex}" if self.fmt in FILE_FORMATS else ""
+        rows.select(*columns).write.format(self.fmt).mode("append").save(self.path(name) + own)
 
     def _append_local(self, name: str, rows: Sequence[tuple]) -> None:
         self.append(name, local_table(self.spark, rows, SCHEMAS[name]).coalesce(1))
 
     def next_seq(self) -> int:
         """A number larger than all this log handed out before, across processes by the clock."""
+        with self._lock:
+            return self._next()
+
+    def _next(self) -> int:
         self._last_seq = max(self._last_seq + 1, time.time_ns())
         return self._last_seq
 
@@ -115,10 +130,17 @@ class RunLog:
         self._append_local("centroids", rows)
         wanted = local_table(self.spark, [(model,)], "model string")
         known = self.table("versions").where(F.col("model") == model)
-        version = next_versions(wanted, known).head()["version"]
+        version = self._claim(model, int(next_versions(wanted, known).head()["version"]))
         self._append_local("versions", [(model, version, run_id)])
         return version
 
+    def _claim(self, model: str, number: int) -> str:
+        """The first number from ``number`` on that no other writer has."""
+        folder = f"{self.root}/claims/{hashlib.sha256(model.encode()).hexdigest()[:32]}"  # names may hold any sign
+        while not claim(self.spark, f"{folder}/{number}"):
+            number += 1
+        return str(number)
+
     def latest_version(self, model: str) -> tuple[str, str]:
         row = latest_versions(self.table("versions").where(F.col("model") == model)).head()
         if row is None:

@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +97,21 @@ def test_rows_from_wide_tables(spark):
     assert [tuple(r) for r in history.param_rows(wide, "run", ["k"]).collect()] == [("r", "k", "4")]
     metrics = history.metric_rows(wide, "run", ["score"], "seq")
     assert [tuple(r) for r in history.prefix_metrics(metrics).collect()] == [("r", "eval_score", 0.5, 1)]
+
+
+def test_several_writers_register_gapless_versions(runs):
+    """Eight threads and two logs on one folder: 40 versions, none twice, none left out."""
+    other = RunLog(runs.spark, runs.root)
+    with ThreadPoolExecutor(8) as pool:
+        versions = list(pool.map(lambda i: (runs, other)[i % 2].register("m", f"run-{i}", MODEL), range(40)))
+    assert sorted(map(int, versions)) == list(range(1, 41))
+    stored = {(r["version"], r["run_id"]) for r in runs.table("versions").collect()}
+    assert stored == {(v, f"run-{i}") for i, v in enumerate(versions)}
+    assert runs.latest_version("m")[0] == "40"
+
+
+def test_a_claimed_number_is_not_given_again(runs, tmp_path):
+    assert runs.register("odd / name", "a", MODEL) == "1"
+    folder = next((tmp_path / "runs" / "claims").iterdir())
+    (folder / "2").touch()  # a writer that died after its claim
+    assert runs.register("odd / name", "b", MODEL) == "3"
