@@ -160,7 +160,7 @@ def ks_by_side(df: DataFrame, features: Sequence[str], side: str) -> DataFrame:
         ))
         if (open_buckets.agg(F.max("n_rows")).head()[0] or 0) <= SORTED_ROWS:
             break
-        rows = _parted(rows, open_buckets)
+        rows = cut(_parted(rows, open_buckets), "open-rows")  # only these are left, and later rounds start from them
         parents = open_buckets.select(
             "f", F.col("bucket").alias("parent"), F.col("from_ref").alias("base_ref"), F.col("from_curr").alias("base_curr")
         )

@@ -163,6 +163,38 @@ class RunLog:
             raise LookupError(f"Alias '{alias}' points at the unregistered version {version} of {model}")
         return version, row["run_id"]
 
+    def load_model(self, model: str, alias: str) -> tuple[str, str, Clustering, Scaler]:
+        """``version, run_id``, centroids and scaler of the version an alias points at, by one tagged read.
+
+        The alias, the version and what its run stored are joined in one plan. Raises ``LookupError`` as ``resolve``,
+        ``load_clustering`` and ``load_scaler`` do.
+        """
+        events = self.table("aliases").where((F.col("model") == model) & (F.col("alias") == alias))
+        last = events.agg(F.max_by("version", "seq").alias("version"))  # one row
+        known = self.table("versions").where(F.col("model") == model).select("version", "run_id").distinct()
+        run = F.broadcast(last.join(known, "version"))
+        nothing = F.lit(None).cast("double")
+        stored = self.table("scalers").select(
+            "run_id", F.lit("scaler").alias("kind"), F.lit(0).alias("cluster"), "feature", "position", "mean", "std", "scale"
+        ).unionAll(self.table("centroids").select(
+            "run_id", F.lit("centroid"), "cluster", "feature", "position", "value", nothing, nothing
+        )).unionAll(latest_metrics(self.table("metrics").where(F.col("key") == "inertia")).select(
+            "run_id", F.lit("inertia"), F.lit(0), "key", F.lit(0), "value", nothing, nothing
+        ))
+        rows = stored.join(run, "run_id").collect()
+        of = {kind: sorted((r for r in rows if r["kind"] == kind), key=lambda r: (r["cluster"], r["position"])) for kind in ("scaler", "centroid", "inertia")}
+        if not of["scaler"] or not of["centroid"]:
+            version, run_id = self.resolve(model, alias)
+            return version, run_id, self.load_clustering(run_id), self.load_scaler(run_id)
+        scaler = Scaler(*(tuple(r[c] for r in of["scaler"]) for c in ("feature", "mean", "std", "scale")))
+        points: dict[int, list[float]] = {}
+        for r in of["centroid"]:
+            points.setdefault(r["cluster"], []).append(r["mean"])
+        first = of["centroid"][0]
+        features = tuple(r["feature"] for r in of["centroid"] if r["cluster"] == first["cluster"])
+        inertia = of["inertia"][0]["mean"] if of["inertia"] else float("nan")
+        return first["version"], first["run_id"], Clustering(features, tuple(map(tuple, points.values())), inertia, 0), scaler
+
     def load_clustering(self, run_id: str) -> Clustering:
         """Centroids and stored inertia of a run."""
         mine = self.table("centroids").where(F.col("run_id") == run_id)

@@ -115,3 +115,21 @@ def test_a_claimed_number_is_not_given_again(runs, tmp_path):
     folder = next((tmp_path / "runs" / "claims").iterdir())
     (folder / "2").touch()  # a writer that died after its claim
     assert runs.register("odd / name", "b", MODEL) == "3"
+
+
+def test_one_read_loads_what_an_alias_points_at(runs):
+    with pytest.raises(LookupError, match="no version with alias"):
+        runs.load_model("m", "champion")
+    for run, shift in (("first", 0.0), ("second", 5.0)):
+        runs.log_metrics(run, {"inertia": 1.0 + shift, "other": 2.0})
+        runs.log_metrics(run, {"inertia": 7.5 + shift})
+        runs.store_scaler(run, Scaler(("a", "b"), (1.0 + shift, 2.0), (0.5, 0.0), (0.5, 1.0)))
+        points = tuple((x + shift, y) for x, y in MODEL.centroids)
+        runs.set_alias("m", "champion", runs.register("m", run, Clustering(("a", "b"), points, 0.0, 3)))
+    runs.register("n", "first", MODEL)  # another model with the same numbers
+    version, run_id, fitted, scaler = runs.load_model("m", "champion")
+    assert (version, run_id) == ("2", "second") and scaler == runs.load_scaler("second") and fitted == runs.load_clustering("second")
+    assert fitted.inertia == 12.5 and fitted.centroids[1] == (7.0, 3.0)
+    runs.set_alias("m", "champion", "9")
+    with pytest.raises(LookupError, match="unregistered version 9"):
+        runs.load_model("m", "champion")
