@@ -25,6 +25,7 @@ from segwatch.functions.storage import cut
 LENGTH = 400
 PASSAGE_WORDS = 51
 SEGMENT_BYTES = 1 << 20  # long texts are hashed in overlapping segments of this size
+JOINED_BYTES = 1 << 18  # short texts are hashed together up to this size
 SORTED_CONTEXTS = 4_096  # contexts of one anchor that one task sorts; beyond it their strings are counted in the whole table
 SHARD_CONTEXTS = 2_048
 BLOCKS = 6  # anchors to a string's length: short ones are fewer, but found by chance more often
@@ -116,6 +117,13 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[: n - width + 1], ahead[width - 1:n])
 
 
+def _least_places(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Where the smallest of each ``width`` hashes in a row is; of equal ones the last."""
+    low = np.uint64((1 << 21) - 1)
+    least = _sliding_min((hashes & ~low) | (low - np.arange(len(hashes), dtype="uint64")), width)
+    return (low - (least & low)).astype("int64")
+
+
 def anchors(data: np.ndarray, hasher: Hasher, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts and hashes of the anchors: the blocks of smallest hash in some string of ``length`` symbols.
 
@@ -129,12 +137,8 @@ def anchors(data: np.ndarray, hasher: Hasher, length: int) -> tuple[np.ndarray,
         if len(part) < length:
             continue
         found = hasher.blocks(part, block)
-        place = np.arange(len(found), dtype="uint64")
-        low = np.uint64((1 << 21) - 1)
-        least = _sliding_min((found & ~low) | (low - place), length - block + 1)
-        chosen = low - (least & low)
-        chosen = chosen[np.concatenate([[True], chosen[1:] != chosen[:-1]])].astype("int64")
-        chosen = np.unique(chosen)
+        chosen = _least_places(found, length - block + 1)
+        chosen = np.unique(chosen[np.concatenate([[True], chosen[1:] != chosen[:-1]])])
         starts.append(chosen + at)
         hashes.append(found[chosen])
     if not starts:
@@ -143,32 +147,57 @@ def anchors(data: np.ndarray, hasher: Hasher, length: int) -> tuple[np.ndarray,
     return where, np.concatenate(hashes)[first]
 
 
+def _joined_anchors(raws: list[bytes], hasher: Hasher, length: int, words: bool) -> tuple[np.ndarray, ...]:
+    """Anchors of several texts at once: text, place among all symbols and in its text, hash, symbols to the left and right
+    that strings can cover; and the symbols. Short texts are joined, as each call costs more than their bytes."""
+    block = max(1, length // BLOCKS)
+    data = np.frombuffer(b"\n".join([*raws, b""]), dtype="uint8")
+    ends = np.cumsum([len(r) + 1 for r in raws]) - 1
+    low, high = ends - np.array([len(r) for r in raws]), ends
+    symbols = data
+    if words:
+        starts, _, symbols = hasher.words(data)
+        low, high = np.searchsorted(starts, low), np.searchsorted(starts, high)
+    if len(raws) == 1:
+        chosen, found = anchors(symbols[low[0]:high[0]], hasher, length)
+        chosen = chosen + low[0]
+    elif (high - low).max() < length:
+        chosen, found = np.empty(0, dtype="int64"), np.empty(0, dtype="uint64")
+    else:
+        found = hasher.blocks(symbols, block)
+        least = _least_places(found, length - block + 1)
+        inside = np.zeros(len(least) + 1, dtype="int64")  # strings that lie in one text
+        fits = high - low >= length
+        np.add.at(inside, low[fits], 1)
+        np.add.at(inside, high[fits] - length + 1, -1)
+        chosen = least[np.cumsum(inside)[:-1] > 0]
+        chosen = np.unique(chosen[np.append(True, chosen[1:] != chosen[:-1])])
+        found = found[chosen]
+    text = np.searchsorted(high, chosen, side="right")
+    place = chosen - low[text]
+    return text, chosen, place, found, np.minimum(place, length - block), np.minimum(high[text] - chosen, length), symbols
+
+
 def _anchor_rows(wanted: Sequence[Strings]):
+    # Strings of different kinds never share an anchor, and words count whatever lies between them.
+    salts = [[bytes([kind]) + i.to_bytes(7, "little") for i in range(w.length)] for kind, w in enumerate(wanted)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(SEGMENT_BYTES + max(w.length for w in wanted))
         for batch in batches:
-            texts = batch.column(2)
             rows: list[tuple[np.ndarray, ...]] = []
             contexts: list[bytes] = []
-            for n, text in enumerate(texts):
-                raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-                data = np.frombuffer(raw, dtype="uint8")
+            for first, raws in _joinable(batch.column(2)):
                 for kind, (length, words) in enumerate(wanted):
-                    block = max(1, length // BLOCKS)
-                    symbols = hasher.words(data)[2] if words else data
-                    if len(symbols) < length:
+                    text, chosen, place, found, left, right, symbols = _joined_anchors(raws, hasher, length, words)
+                    if not len(chosen):
                         continue
-                    whole = symbols.tobytes() if words else raw
-                    size = symbols.itemsize
-                    where, found = anchors(symbols, hasher, length)
-                    left = np.minimum(where, length - block)
-                    right = np.minimum(len(symbols) - where, length)
-                    # Strings of different kinds never share an anchor, and words count whatever lies between them.
-                    salt = [bytes([kind]) + i.to_bytes(7, "little") for i in range(length - block + 1)]
-                    for a, l, r in zip(where.tolist(), left.tolist(), right.tolist()):  # noqa: E741
-                        contexts.append(hashlib.blake2b(whole[(a - l) * size:(a + r) * size], digest_size=16, salt=salt[l]).digest())
-                    rows.append((np.full(len(where), n), np.full(len(where), kind, dtype="int8"),
-                                 where, (found + np.uint64(kind)).view("int64"), left, right))
+                    whole, size, salt = symbols.tobytes(), symbols.itemsize, salts[kind]
+                    contexts += [
+                        hashlib.blake2b(whole[a:b], digest_size=16, salt=salt[l]).digest()
+                        for a, b, l in zip(((chosen - left) * size).tolist(), ((chosen + right) * size).tolist(), left.tolist())  # noqa: E741
+                    ]
+                    rows.append((text + first, np.full(len(text), kind, dtype="int8"), place, (found + np.uint64(kind)).view("int64"), left, right))
                 if len(contexts) > 1 << 17:
                     yield _anchor_batch(batch, rows, contexts)
                     rows, contexts = [], []
@@ -178,6 +207,20 @@ def _anchor_rows(wanted: Sequence[Strings]):
     return run
 
 
+def _joinable(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts in runs of bounded size, with the number of the first; a long text is a run by itself."""
+    first, held, size = 0, [], 0
+    for n, text in enumerate(texts):
+        raw = text.as_buffer().to_pybytes() if text.is_valid else b""
+        if held and size + len(raw) + 1 > JOINED_BYTES:
+            yield first, held
+            first, held, size = n, [], 0
+        held.append(raw)
+        size += len(raw) + 1
+    if held:
+        yield first, held
+
+
 def _anchor_batch(batch: pa.RecordBatch, rows: list[tuple[np.ndarray, ...]], contexts: list[bytes]) -> pa.RecordBatch:
     n, kind, where, found, left, right = (np.concatenate(c) for c in zip(*rows))
     digests = pa.Array.from_buffers(pa.binary(16), len(contexts), [None, pa.py_buffer(b"".join(contexts))]).cast(pa.binary())

@@ -154,6 +154,21 @@ def test_edges(edges, length):
     assert suffix.suffix_dedup(edges.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("words", [False, True])
+def test_joined_texts_have_the_anchors_of_each(words):
+    rng = random.Random(6)
+    raws = ["".join(rng.choice("ab c\n") for _ in range(rng.choice([0, 5, 30, 200]))).encode() for _ in range(60)]
+    hasher = suffix.Hasher(1 << 16)
+    text, chosen, place, found, left, right, symbols = suffix._joined_anchors(raws, hasher, 12, words)
+    got = [(int(t), int(p), int(h)) for t, p, h in zip(text, place, found)]
+    wanted = []
+    for n, raw in enumerate(raws):
+        own = np.frombuffer(raw, dtype="uint8")
+        where, hashes = suffix.anchors(hasher.words(own)[2] if words else own, hasher, 12)
+        wanted += [(n, int(p), int(h)) for p, h in zip(where, hashes)]
+    assert got == wanted and len(got) > 50
+
+
 def test_collision_is_found_and_answered(monkeypatch):
     """With all sign values zero every comparison collides; another multiplier cannot help, other values do."""
     real, calls = suffix._byte_values, []
