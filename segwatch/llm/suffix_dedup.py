@@ -1,7 +1,7 @@
 """Removing strings of a given length that occur elsewhere, by sorting hashed suffixes.
 
 The symbols of a string are bytes or whole words. Only suffixes that can matter are sorted. Every string of ``length``
-symbols contains an anchor: the block of a sixth of its length whose hash is the smallest there. Equal strings have equal anchors at equal places, so a string whose
+symbols contains an anchor: the block of half its length whose hash is the smallest there. Equal strings have equal anchors at equal places, so a string whose
 anchor's hash occurs once in the table has no equal. Around each shared anchor lies its context, the symbols
 that any string with this anchor can cover. Contexts that are equal as a whole are covered as a whole.
 Different contexts of one anchor are sorted by their suffixes: a mergesort whose comparisons find the common
@@ -28,8 +28,8 @@ SEGMENT_BYTES = 1 << 20  # long texts are hashed in overlapping segments of this
 JOINED_BYTES = 1 << 18  # short texts are hashed together up to this size
 SORTED_CONTEXTS = 4_096  # contexts of one anchor that one task sorts; beyond it their strings are counted in the whole table
 SHARD_CONTEXTS = 2_048
-BLOCKS = 6  # anchors to a string's length: short ones are fewer, but found by chance more often
-PLACES = 10  # a string's length over this is the stride of the suffixes sorted first; others follow where those leave them open
+BLOCKS = 2  # anchors to a string's length: shorter ones are fewer, but more of them are shared by other strings
+PLACES = 16  # a string's length over this is the stride of the suffixes sorted first; others follow where those leave them open
 
 _MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
@@ -587,7 +587,7 @@ def suffix_dedup(
     lose all that is long enough, but with ``keep_first`` rows with the same key and text are one document. NULL and
     repeated keys are fine, an empty table gives an empty result, and other columns are not read.
 
-    Shuffled are: anchors (about one in 170 bytes or 22 words, 42 bytes each) by hash, the contexts of anchors with several, and
+    Shuffled are: anchors (about one in 100 bytes or 14 words, 42 bytes each) by hash, the contexts of anchors with several, and
     the compressed texts, twice. Counts combine before the shuffle, joins are splittable, and an anchor with
     more than ``SORTED_CONTEXTS`` contexts is not sorted in one task: the digests of its strings (128 bits) are counted in the
     whole table. Contexts that are equal as a whole are told by such a digest, too.
