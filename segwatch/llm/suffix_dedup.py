@@ -30,6 +30,7 @@ SORTED_CONTEXTS = 4_096  # contexts of one anchor that one task sorts; beyond it
 SHARD_CONTEXTS = 2_048
 BLOCKS = 2  # anchors to a string's length: shorter ones are fewer, but more of them are shared by other strings
 PLACES = 16  # a string's length over this is the stride of the suffixes sorted first; others follow where those leave them open
+WORD_PLACES = 4  # the same for words, of which a string has fewer
 
 _MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
@@ -194,7 +195,7 @@ def _anchor_rows(wanted: Sequence[Strings]):
                         continue
                     whole, size, salt = symbols.tobytes(), symbols.itemsize, salts[kind]
                     contexts += [
-                        hashlib.blake2b(whole[a:b], digest_size=16, salt=salt[l]).digest()
+                        hashlib.blake2b(whole[a:b], digest_size=8, salt=salt[l]).digest()
                         for a, b, l in zip(((chosen - left) * size).tolist(), ((chosen + right) * size).tolist(), left.tolist())  # noqa: E741
                     ]
                     rows.append((text + first, np.full(len(text), kind, dtype="int8"), place, (found + np.uint64(kind)).view("int64"), left, right))
@@ -223,7 +224,7 @@ def _joinable(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
 
 def _anchor_batch(batch: pa.RecordBatch, rows: list[tuple[np.ndarray, ...]], contexts: list[bytes]) -> pa.RecordBatch:
     n, kind, where, found, left, right = (np.concatenate(c) for c in zip(*rows))
-    digests = pa.Array.from_buffers(pa.binary(16), len(contexts), [None, pa.py_buffer(b"".join(contexts))]).cast(pa.binary())
+    digests = pa.array(np.frombuffer(b"".join(contexts), dtype="int64"))
     return pa.RecordBatch.from_arrays(
         [batch.column(0).take(pa.array(n)), batch.column(1).take(pa.array(n)), pa.array(kind), pa.array(found), digests,
          pa.array(where), pa.array(left.astype("int16")), pa.array(right.astype("int16"))],
@@ -246,6 +247,7 @@ class SuffixShard:
         self.length, self.groups, self.shift = length, groups, length - block
         self.first = self.shift - left.astype("int64")
         self.contexts, self.cuts = contexts, None
+        self.stride = max(1, length // (WORD_PLACES if words else PLACES))
         if words:
             sizes = np.array([c.count(b" ") + 1 for c in contexts])
             begin, end, flat = words.words(np.frombuffer(b" ".join(contexts), dtype="uint8"))
@@ -355,7 +357,7 @@ class SuffixShard:
         Only contexts in ``wanted`` (a mask) are asked about; the others are what they are compared with.
         """
         length, m = self.length, len(self.first)
-        grid = np.unique(np.append(np.arange(0, self.shift, max(1, length // PLACES)), self.shift))
+        grid = np.unique(np.append(np.arange(0, self.shift, self.stride), self.shift))
         context, column = np.nonzero(grid[None, :] >= self.first[:, None])
         extension = np.full((m, len(grid)), -1, dtype="int64")
         extension[context, column] = self._neighbours(context, grid[column])
@@ -587,14 +589,14 @@ def suffix_dedup(
     lose all that is long enough, but with ``keep_first`` rows with the same key and text are one document. NULL and
     repeated keys are fine, an empty table gives an empty result, and other columns are not read.
 
-    Shuffled are: anchors (about one in 100 bytes or 14 words, 42 bytes each) by hash, the contexts of anchors with several, and
+    Shuffled are: anchors (about one in 100 bytes or 14 words, 34 bytes each) by hash, the contexts of anchors with several, and
     the compressed texts, twice. Counts combine before the shuffle, joins are splittable, and an anchor with
     more than ``SORTED_CONTEXTS`` contexts is not sorted in one task: the digests of its strings (128 bits) are counted in the
-    whole table. Contexts that are equal as a whole are told by such a digest, too.
+    whole table. Contexts that are equal as a whole are told by the anchor's hash and a digest, 64 bits each.
     """
     wanted = (Strings(length, words), *counted)
     kind = df.schema[key].dataType.simpleString()
-    placed = f"doc {kind}, mark bigint, kind tinyint, hash bigint, context binary, at bigint, left smallint, right smallint"
+    placed = f"doc {kind}, mark bigint, kind tinyint, hash bigint, context bigint, at bigint, left smallint, right smallint"
     found = cut(_named(df, key, text).mapInArrow(_anchor_rows(wanted), placed), "anchors")
     # Both sides of the joins are read from files, so that Spark can split an anchor with many rows.
     shared = cut(found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "shared-hashes")
@@ -645,11 +647,11 @@ def suffix_dedup(
     bodies = cut(texts.mapInArrow(take, f"doc {kind}, mark bigint, {fields}"), "context-bytes")
     few = bodies.where(F.col("contexts") <= SORTED_CONTEXTS).select("kind", "hash", "context", "n", "left", "bytes", "doc", "mark", "at")
     ranged = few.repartition("hash").sortWithinPartitions("hash", "doc", "mark", "at", "context").mapInArrow(
-        _sorted_rows(wanted, keep_first), "hash bigint, context binary, low bigint, high bigint"
+        _sorted_rows(wanted, keep_first), "hash bigint, context bigint, low bigint, high bigint"
     )
     many = bodies.where(F.col("contexts") > SORTED_CONTEXTS).dropDuplicates(["hash", "context"])
     strings = many.select("doc", "mark", "at", "hash", "context", "kind", "left", "bytes").mapInArrow(
-        _string_rows(wanted), f"doc {kind}, mark bigint, at bigint, hash bigint, context binary, kind tinyint, low bigint, string binary"
+        _string_rows(wanted), f"doc {kind}, mark bigint, at bigint, hash bigint, context bigint, kind tinyint, low bigint, string binary"
     )
     place = F.struct("doc", "mark", "at")
     twice = strings.groupBy("hash", "low", "string").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).where("n > 1")
@@ -675,7 +677,7 @@ def suffix_dedup(
 
 
 _CONTEXT = {
-    "kind": ("tinyint", pa.int8()), "hash": ("bigint", pa.int64()), "context": ("binary", pa.binary()), "contexts": ("bigint", pa.int64()),
+    "kind": ("tinyint", pa.int8()), "hash": ("bigint", pa.int64()), "context": ("bigint", pa.int64()), "contexts": ("bigint", pa.int64()),
     "n": ("bigint", pa.int64()), "at": ("bigint", pa.int64()), "left": ("smallint", pa.int16()), "bytes": ("binary", pa.binary()),
 }
 
