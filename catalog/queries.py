@@ -22,7 +22,7 @@ from segwatch.operators.drift import (
     with_p_value,
 )
 from segwatch.operators.quality import davies_bouldin, inertia, silhouette
-from segwatch.operators.rows import before_rank, bounded_sample, head, split_at_rank
+from segwatch.operators.rows import before_middle, bounded_sample, head, split_at_rank, split_halves
 from segwatch.operators.scaling import apply_scaler, column_moments, fit_scaler, scale_features, with_scale
 from segwatch.operators.summary import row_count, value_counts
 from segwatch.plans.jobs import CANDIDATE, CHAMPION, evaluate, run_monitoring, run_scoring, train
@@ -126,7 +126,7 @@ def split_halves_by_key(spark, sf_dir):
 
 def split_halves_by_date(spark, sf_dir):
     lineitem = _table(spark, sf_dir, "lineitem")
-    return _halves_summary(*split_at_rank(lineitem, SHIP_ORDER, lineitem.count() // 2), "l_extendedprice")
+    return _halves_summary(*split_halves(lineitem, lineitem, SHIP_ORDER), "l_extendedprice")
 
 
 def drop_missing_per_feature(spark, sf_dir):
@@ -284,7 +284,7 @@ def davies_bouldin_on_embeddings(spark, sf_dir):
 
 def _ship_halves(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = _table(spark, sf_dir, "lineitem")
-    first = before_rank(lineitem, SHIP_ORDER, lineitem.count() // 2)
+    first = before_middle(lineitem, SHIP_ORDER)
     return lineitem.select(*FEATURES, first.alias("early"))
 
 

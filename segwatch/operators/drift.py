@@ -5,20 +5,23 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segwatch.functions.columns import is_missing, nan_to_null, require_columns
 from segwatch.functions.pvalue import with_ks_p_value
-from segwatch.functions.storage import cut, local_table
+from segwatch.functions.storage import cut
+from segwatch.operators.sketches import sketched
 
 MIN_BUCKETS = 256
 BUCKETS_PER_ROOT = 1
 MAX_BUCKET_ROWS = 1 << 18  # features x buckets of the first round: what is broadcast, about 16 MB
 PIECES = 64  # parts of an open bucket in each further round
 SORTED_ROWS = 1 << 16  # an open bucket with more rows is parted again
-SAMPLES_PER_BUCKET = 32  # rows looked at to place the bounds; they affect balance, never the result
+SKETCH_MARKS = 2048  # quantiles of a feature that place the bounds; they affect balance, never the result
+SKETCH_SIZE = 8192
 
 
 def both_sides(reference: DataFrame, current: DataFrame, features: Sequence[str], side: str) -> DataFrame:
@@ -42,19 +45,20 @@ def _bounds(df: DataFrame, features: Sequence[str]) -> list[list[float]]:
     """Roughly equally filled, strictly increasing bucket bounds of each feature, with open ends.
 
     Without drift the largest gap is about 1 / sqrt(rows); buckets of no more weight than that let
-    most of them be ruled out after counting.
+    most of them be ruled out after counting. One pass of merged sketches gives the sizes and quantiles of all
+    features; where more buckets are wanted than it has quantiles, bounds lie evenly between them.
     """
-    rows = df.count()
-    buckets = min(max(MIN_BUCKETS, math.isqrt(rows) * BUCKETS_PER_ROOT), max(2, MAX_BUCKET_ROWS // len(features)))
-    wanted = SAMPLES_PER_BUCKET * buckets
-    values = df.select(*(nan_to_null(f).alias(f"v{i}") for i, f in enumerate(features)))
-    looked_at = values if rows <= wanted else values.sample(wanted / rows, seed=0)
-    shares = [i / buckets for i in range(1, buckets)]
-    found = looked_at.approxQuantile(values.columns, shares, 1 / (4 * buckets))
-    return [
-        [-math.inf, *(sorted({b + 0.0 for b in inner if math.isfinite(b)}) or [0.0]), math.inf]
-        for inner in found
-    ]
+    values = df.select(*(F.col(f).cast("double").alias(f"v{i}") for i, f in enumerate(features)))
+    most = max(2, MAX_BUCKET_ROWS // len(features))
+    marks = [i / min(SKETCH_MARKS, most) for i in range(min(SKETCH_MARKS, most) + 1)]
+    found, _ = sketched(values, values.columns, marks, SKETCH_SIZE)
+    bounds = []
+    for rows, quantiles in found:
+        buckets = min(max(MIN_BUCKETS, math.isqrt(rows) * BUCKETS_PER_ROOT), most)
+        shares = [i / buckets for i in range(1, buckets)]
+        inner = np.interp(shares, marks, quantiles).tolist() if quantiles else []  # between infinite ones not finite
+        bounds.append([-math.inf, *(sorted({b + 0.0 for b in inner if math.isfinite(b)}) or [0.0]), math.inf])
+    return bounds
 
 
 def _bucketed(df: DataFrame, features: Sequence[str], side: str, bounds: list[list[float]]) -> DataFrame:
@@ -137,57 +141,64 @@ def ks_by_side(df: DataFrame, features: Sequence[str], side: str) -> DataFrame:
         )
 
     feature = Window.partitionBy("f")
+    n_rows = F.col("n_ref") + F.col("n_curr")
+
+    def with_verdicts(counts: DataFrame, known: Column) -> DataFrame:
+        """Add the largest gap at an edge, or ``known``, and of one row of each feature the largest open bucket."""
+        may_hold = ~F.col("one_value") & (F.col("inside") > F.col("largest"))
+        return (
+            counts.withColumn("largest", F.greatest(F.max("at_edge").over(feature), known))
+            .withColumn("is_open", may_hold)
+            .withColumn("open_rows", F.coalesce(F.max(F.when(F.col("is_open"), n_rows)).over(feature), F.lit(0)))
+            .withColumn("speaks", F.row_number().over(feature.orderBy("bucket")) == 1)
+        )
+
     first = rows.groupBy("f", "bucket").agg(*counted, one_value).withColumns({
         "all_ref": F.sum("n_ref").over(feature), "all_curr": F.sum("n_curr").over(feature),
         "base_ref": F.lit(0), "base_curr": F.lit(0),
     })
-    edges = cut(with_gaps(first), "edges")
-    known = edges.groupBy("f").agg(F.first("all_ref"), F.first("all_curr"), F.max("at_edge")).collect()
-    found = {r[0]: tuple(r)[1:] for r in known}
-    for i, name in enumerate(features):
-        sizes = found.get(i, (0, 0))[:2]
-        if 0 in sizes:
-            raise ValueError(f"Feature {name} has no values on one side: {sizes[0]} and {sizes[1]} rows")
+    edges = cut(with_verdicts(with_gaps(first), F.lit(0.0)), "edges")
     small = F.broadcast  # the first round's buckets have a fixed limit; Spark measures those of later rounds
+    found: dict[int, tuple[int, int, float]] = {}
     while True:
-        names = F.broadcast(local_table(
-            df.sparkSession, [(i, name, *found[i]) for i, name in enumerate(features)],
-            "f int, feature string, all_ref bigint, all_curr bigint, largest double",
+        spoken = edges.where("speaks").select("f", "all_ref", "all_curr", "largest", "open_rows").collect()
+        found.update({r["f"]: (r["all_ref"], r["all_curr"], r["largest"]) for r in spoken})
+        for i, name in enumerate(features):
+            sizes = found.get(i, (0, 0))[:2]
+            if 0 in sizes:
+                raise ValueError(f"Feature {name} has no values on one side: {sizes[0]} and {sizes[1]} rows")
+        open_buckets = small(edges.where("is_open").select(
+            "f", "bucket", "from_ref", "from_curr", "all_ref", "all_curr", "largest"
         ))
-        still_open = ~F.col("one_value") & (F.col("inside") > F.col("largest"))
-        open_buckets = small(edges.join(names.select("f", "largest"), "f").where(still_open).select(
-            "f", "bucket", "from_ref", "from_curr", (F.col("n_ref") + F.col("n_curr")).alias("n_rows")
-        ))
-        if (open_buckets.agg(F.max("n_rows")).head()[0] or 0) <= SORTED_ROWS:
+        if max((r["open_rows"] for r in spoken), default=0) <= SORTED_ROWS:
             break
         rows = cut(_parted(rows, open_buckets), "open-rows")  # only these are left, and later rounds start from them
         parents = open_buckets.select(
-            "f", F.col("bucket").alias("parent"), F.col("from_ref").alias("base_ref"), F.col("from_curr").alias("base_curr")
+            "f", F.col("bucket").alias("parent"), F.col("from_ref").alias("base_ref"),
+            F.col("from_curr").alias("base_curr"), "all_ref", "all_curr", F.col("largest").alias("known"),
         )
         parts = rows.groupBy("f", "parent", "bucket").agg(*counted, one_value).join(parents, ["f", "parent"])
-        edges = cut(with_gaps(parts.join(names.select("f", "all_ref", "all_curr"), "f"), "parent"), "edges")
-        for i, at_edge in edges.groupBy("f").agg(F.max("at_edge")).collect():
-            found[i] = (*found[i][:2], max(found[i][2], at_edge))
+        edges = cut(with_verdicts(with_gaps(parts, "parent"), F.col("known")), "edges")
         small = _as_it_is
 
+    before = ["from_ref", "from_curr", "all_ref", "all_curr"]
     distinct = (
-        rows.join(open_buckets.select("f", "bucket"), ["f", "bucket"], "left_semi")
-        .groupBy("f", "bucket", "value").agg(*counted)
+        rows.join(open_buckets, ["f", "bucket"])
+        .groupBy("f", "bucket", "value").agg(*counted, *(F.first(c).alias(c) for c in before))
     )
     ordered = Window.partitionBy("f", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    inner = (
-        distinct.select(
-            "f", "bucket", F.sum("n_ref").over(ordered).alias("here_ref"), F.sum("n_curr").over(ordered).alias("here_curr")
-        )
-        .join(open_buckets, ["f", "bucket"])
-        .join(names, "f")
-        .withColumns({"here_ref": F.col("here_ref") + F.col("from_ref"), "here_curr": F.col("here_curr") + F.col("from_curr")})
-        .groupBy("f").agg(F.max(gap("here_ref", "here_curr")).alias("inner"))
-    )
-    return names.join(inner, "f", "left").select(
-        "feature", F.greatest("largest", "inner").alias("ks_stat"),
-        F.col("all_ref").alias("n_ref"), F.col("all_curr").alias("n_curr"),
-    )
+    inner = distinct.withColumns({
+        f"here_{s}": F.col(f"from_{s}") + F.sum(f"n_{s}").over(ordered) for s in ("ref", "curr")
+    }).select("f", gap("here_ref", "here_curr").alias("ks_stat"))
+    at_edges = df.sparkSession.range(1).select(F.inline(F.array(*(
+        F.struct(F.lit(i).alias("f"), F.lit(largest).alias("ks_stat")) for i, (_, _, largest) in sorted(found.items())
+    ))))
+    known = F.array(*(F.struct(F.lit(name).alias("feature"), *(
+        F.lit(n).cast("bigint").alias(c) for n, c in zip(found[i], ("n_ref", "n_curr"))
+    )) for i, name in enumerate(features)))
+    return at_edges.unionAll(inner).groupBy("f").agg(F.max("ks_stat").alias("ks_stat")).select(
+        known[F.col("f")].alias("known"), "ks_stat"
+    ).select("known.feature", "ks_stat", "known.n_ref", "known.n_curr")
 
 
 def ks_statistic(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:

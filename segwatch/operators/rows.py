@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segwatch.functions.columns import is_missing, key_digest, require_columns
+from segwatch.operators.sketches import Sketch, sketched
 
 DIGEST_DIGITS = 32
 FEW_ROWS = 8
@@ -17,6 +18,8 @@ SMALL_RANGE = 10_000  # rows that a top-k may bring to one task
 PIVOTS_PER_PASS = 16
 PIVOT_SAMPLE = 100_000
 PIVOT_STEPS = (-0.05, -0.005, -0.001, 0.0, 0.001, 0.005, 0.05)
+MARKS = 1000  # quantiles of the first order column that come with the counts
+SKETCH_SIZE = 4096
 
 
 def head(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame:
@@ -88,6 +91,39 @@ def _pivots(df: DataFrame, column: str, share: float, size: int) -> list:
     return sorted(set(found))
 
 
+def _near(quantiles: Sequence, share: float) -> list:
+    """Those of evenly spread ``quantiles`` that lie around ``share`` of the rows."""
+    last = len(quantiles) - 1
+    places = (round((share + step) * last) for step in PIVOT_STEPS)
+    return sorted({quantiles[min(max(place, 0), last)] for place in places})
+
+
+def _narrowed(inside: DataFrame, column: str, pivots: Sequence, wanted: int, size: int) -> tuple[DataFrame, int, int, object]:
+    """The rows that can hold place ``wanted`` of ``column``, how many come before them, how many they are, and
+    the value they share, if a pivot is the one. One map-side combined aggregate counts around all pivots."""
+    measures = []
+    for i, pivot in enumerate(pivots):
+        at = _constant(inside, column, pivot)
+        measures.append(F.count_if(F.col(column) < at).alias(f"lt_{i}"))
+        measures.append(F.count_if(F.col(column) <= at).alias(f"le_{i}"))
+    counts = inside.agg(*measures).head()
+    low = high = None
+    low_count, high_count = 0, size
+    for i, pivot in enumerate(pivots):
+        lt, le = counts[f"lt_{i}"], counts[f"le_{i}"]
+        if lt <= wanted < le:
+            return inside.where(F.col(column) == _constant(inside, column, pivot)), lt, le - lt, pivot
+        if le <= wanted:
+            low, low_count = pivot, le
+        elif high is None:
+            high, high_count = pivot, lt
+    if low is not None:
+        inside = inside.where(F.col(column) > _constant(inside, column, low))
+    if high is not None:
+        inside = inside.where(F.col(column) < _constant(inside, column, high))
+    return inside, low_count, high_count - low_count, None
+
+
 def value_at_rank(df: DataFrame, column: str, rank: int) -> tuple[object, int, int]:
     """The value at 0-based ``rank`` of ``column`` in ascending order, how many are below, how many equal.
 
@@ -105,45 +141,32 @@ def value_at_rank(df: DataFrame, column: str, rank: int) -> tuple[object, int, i
             pivots = [inside.orderBy(column).limit(wanted + 1).agg(F.max(column)).head()[0]]
         else:
             pivots = _pivots(inside, column, wanted / size, size)
-        measures = []
-        for i, pivot in enumerate(pivots):
-            at = _constant(inside, column, pivot)
-            measures.append(F.count_if(F.col(column) < at).alias(f"lt_{i}"))
-            measures.append(F.count_if(F.col(column) <= at).alias(f"le_{i}"))
-        counts = inside.agg(*measures).head()
-        low = high = None
-        low_count, high_count = 0, size
-        for i, pivot in enumerate(pivots):
-            lt, le = counts[f"lt_{i}"], counts[f"le_{i}"]
-            if lt <= wanted < le:
-                return pivot, below + lt, le - lt
-            if le <= wanted:
-                low, low_count = pivot, le
-            elif high is None:
-                high, high_count = pivot, lt
-        if low is not None:
-            inside = inside.where(F.col(column) > _constant(inside, column, low))
-        if high is not None:
-            inside = inside.where(F.col(column) < _constant(inside, column, high))
-        below += low_count
-        size = high_count - low_count
-
-
-def _boundary(df: DataFrame, order: Sequence[str], rank: int) -> list[object]:
-    """The key at ``rank``, found one order column after the other among the rows still tied."""
-    boundary: list[object] = []
-    tied, wanted = df.select(*order), rank
-    for i, column in enumerate(order):
-        value, below, equal = value_at_rank(tied, column, wanted)
+        inside, before, size, value = _narrowed(inside, column, pivots, wanted, size)
+        below += before
+        if value is not None:
+            return value, below, size
+
+
+def _boundary(df: DataFrame, order: Sequence[str], rank: int, size: int, quantiles: Sequence) -> list[object]:
+    """The key at ``rank`` of ``size`` rows, narrowed down by one order column after the other.
+
+    ``quantiles`` of the first column, if known, save the first look for pivots. As soon as few rows are left, they
+    are ordered by the whole key, and only the one at the rank and the one before it are fetched.
+    """
+    inside, wanted, boundary = df.select(*order), rank, []
+    for column in order:
+        value = None
+        while value is None:
+            if size <= SMALL_RANGE:
+                last = inside.orderBy(*order).offset(max(wanted - 1, 0)).limit(min(wanted, 1) + 1).collect()
+                if wanted and last[0] == last[1]:
+                    raise ValueError(f"order columns {list(order)} do not tell the rows at rank {rank} apart")
+                return list(last[-1])
+            pivots = _near(quantiles, wanted / size) if quantiles else _pivots(inside, column, wanted / size, size)
+            quantiles = ()
+            inside, before, size, value = _narrowed(inside, column, pivots, wanted, size)
+            wanted -= before
         boundary.append(value)
-        wanted -= below
-        tied = tied.where(F.col(column) == _constant(tied, column, value))
-        if equal <= SMALL_RANGE:
-            rest = order[i + 1:]
-            top = tied.select(*rest).orderBy(*rest).limit(wanted + 1).collect() if rest else []
-            if wanted and (not rest or top[-1] == top[-2]):
-                break
-            return [*boundary, *(top[-1] if rest else ())]
     if wanted:
         raise ValueError(f"order columns {list(order)} do not tell the rows at rank {rank} apart")
     return boundary
@@ -159,6 +182,23 @@ def _before(df: DataFrame, order: Sequence[str], boundary: Sequence[object]) ->
     return reduce(lambda a, b: a | b, tests)
 
 
+def _before_place(df: DataFrame, order: Sequence[str], place: Callable[[int], int]) -> Column:
+    """A condition true for the first ``place(number of rows)`` rows. One pass counts the rows and missing values and
+    sketches the first order column."""
+    require_columns(df, order)
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    missing = [F.count_if(is_missing(c) if c in floating else F.col(c).isNull()) for c in order]
+    held = [order[0]] if Sketch.can_hold(df.schema[order[0]].dataType) else []
+    marks = [i / MARKS for i in range(MARKS + 1)]
+    sketches, (n, *without) = sketched(df.select(*order), held, marks, SKETCH_SIZE, [F.count(F.lit(1)), *missing])
+    if any(without):
+        raise ValueError(f"order columns with missing values: {[c for c, count in zip(order, without) if count]}")
+    rank = place(n)
+    if rank >= n:
+        return F.lit(True)
+    return _before(df, order, _boundary(df, order, rank, n, sketches[0][1] if held else ()))
+
+
 def before_rank(df: DataFrame, order: Sequence[str], rank: int) -> Column:
     """A condition true for exactly the first ``rank`` rows of ``df`` in ``order``.
 
@@ -166,19 +206,14 @@ def before_rank(df: DataFrame, order: Sequence[str], rank: int) -> Column:
     itself is never ranked. The order must tell the rows at the boundary apart, and its columns may
     hold neither NULL nor NaN.
     """
-    require_columns(df, order)
     if rank < 0:
         raise ValueError("rank must not be negative")
-    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    counts = df.agg(
-        F.count(F.lit(1)).alias("__n"),
-        *(F.count_if(is_missing(c) if c in floating else F.col(c).isNull()).alias(c) for c in order),
-    ).head()
-    if any(counts[c] for c in order):
-        raise ValueError(f"order columns with missing values: {[c for c in order if counts[c]]}")
-    if rank >= counts["__n"]:
-        return F.lit(True)
-    return _before(df, order, _boundary(df, order, rank))
+    return _before_place(df, order, lambda n: rank)
+
+
+def before_middle(df: DataFrame, order: Sequence[str]) -> Column:
+    """``before_rank`` at half the number of rows, rounded down, which the same pass counts."""
+    return _before_place(df, order, lambda n: n // 2)
 
 
 def split_at_rank(df: DataFrame, order: Sequence[str], rank: int) -> tuple[DataFrame, DataFrame]:
@@ -194,8 +229,8 @@ def split_halves(
 
     The position comes from ``reference`` alone, so a shorter ``current`` may come out empty.
     """
-    middle = reference.count() // 2
-    first = before_rank(reference, order, middle)
     if current is reference:
+        first = before_middle(reference, order)
         return reference.where(first), reference.where(~first)
-    return reference.where(first), current.where(~before_rank(current, order, middle))
+    middle = reference.count() // 2
+    return reference.where(before_rank(reference, order, middle)), current.where(~before_rank(current, order, middle))

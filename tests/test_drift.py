@@ -115,6 +115,23 @@ def test_bucketed_statistic_equals_a_plain_window_on_given_data(spark, data):
     assert found == plain
 
 
+def test_drift_takes_at_most_twelve_jobs(spark, data):
+    lineitem = spark.read.parquet(data("0.01", "lineitem"))
+    names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    spark.sparkContext.setJobGroup("drift", "drift")
+    try:
+        found = drift_report_by_side(lineitem.withColumn("s", F.col("l_suppkey") % 2 == 0), names, "s").collect()
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("drift")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 12
+    pdf = lineitem.select("l_suppkey", *names).toPandas()
+    even = pdf["l_suppkey"] % 2 == 0
+    for row in found:
+        values = pdf[row["feature"]].to_numpy()
+        assert row["ks_stat"] == pytest.approx(numpy_ks(values[even], values[~even]), abs=1e-15)
+
+
 def test_exact_two_sample_equals_enumeration():
     for n, m in ((1, 1), (3, 3), (4, 6), (3, 7), (5, 2)):
         for d in sorted({abs(i / n - j / m) for i in range(n + 1) for j in range(m + 1)}):

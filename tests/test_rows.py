@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from segwatch.operators import rows
-from segwatch.operators.rows import before_rank, bounded_sample, head, split_at_rank, split_halves, value_at_rank
+from segwatch.operators.rows import before_middle, before_rank, bounded_sample, head, split_at_rank, split_halves, value_at_rank
 from segwatch.operators.summary import row_count, value_counts
 
 
@@ -101,6 +101,37 @@ def test_halves_take_the_position_from_the_reference(spark):
     assert (a.count(), b.count()) == (4, 5)
 
 
+def jobs_of(spark, name, work):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        work()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_split_takes_at_most_six_jobs(spark, data):
+    lineitem = spark.read.parquet(data("0.01", "lineitem"))
+    order = ["l_shipdate", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    assert lineitem.count() > rows.SMALL_RANGE
+    found = []
+    assert jobs_of(spark, "split", lambda: found.append(before_middle(lineitem, order))) <= 6
+    assert lineitem.where(found[0]).count() == lineitem.count() // 2
+
+
+@pytest.mark.parametrize("kind", ["smallint", "bigint", "float", "double", "decimal(12,3)", "decimal(30,5)", "date", "timestamp", "timestamp_ntz", "string"])
+def test_split_by_any_type_of_column(spark, monkeypatch, kind):
+    monkeypatch.setattr(rows, "SMALL_RANGE", 4)
+    number = F.when(F.col("id") % 3 == 0, F.lit(50)).otherwise(F.col("id") - 90)
+    seconds = F.timestamp_seconds(F.lit(1_711_843_200) + number * 1800)
+    value = seconds.cast(kind) if kind.startswith(("date", "time")) else number.cast(kind)
+    df = spark.range(0, 300, 1, 5).select(value.alias("v"), "id")
+    ordered = [r["id"] for r in df.orderBy("v", "id").collect()]
+    for rank in (0, 1, 130, 299):
+        assert sorted(r["id"] for r in df.where(before_rank(df, ["v", "id"], rank)).collect()) == sorted(ordered[:rank])
+    assert sorted(r["id"] for r in df.where(before_middle(df, ["v", "id"])).collect()) == sorted(ordered[:150])
+
+
 def test_split_is_a_filter_without_shuffle(spark, data):
     lineitem = spark.read.parquet(data("0.001", "lineitem"))
     first, _ = split_at_rank(lineitem, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"], 3000)
