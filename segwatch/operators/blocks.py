@@ -10,7 +10,7 @@ and the rows are parted again. A restart with few rows to visit takes all its st
 
 from __future__ import annotations
 
-import hashlib
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -24,6 +24,8 @@ from segwatch.functions.columns import as_double
 from segwatch.functions.storage import cut
 
 BLOCK_ROWS = 8_192
+DIGEST_ROWS = 8_192  # keys digested at once
+RANKED_ROWS = 1_024  # rows ranked at once, so that all restarts' distances stay near the processor
 VISITED_BYTES = 32 << 20  # rows of a restart that one task steps through; more are visited by a pass for each step
 REACH = 16.0  # rows are parted so that they may rest for this many moves of the size of the last one
 VISITED_SHARE = 0.4  # a restart's rows are parted when at most this share of them would have to be visited
@@ -34,8 +36,8 @@ DRAW_BITS = 60
 
 
 def pack_rows(df: DataFrame, features: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """``n, body, names``: the rows as matrices of doubles, row after row, at most ``BLOCK_ROWS`` in one, with the rows' keys
-    as text, joined by bars. Missing values fail."""
+    """``n, body, names, lengths``: the rows as matrices of doubles, row after row, at most ``BLOCK_ROWS`` in one, with the rows' keys
+    as text, joined by bars, end to end, and their lengths in bytes. Missing values fail."""
     name = F.concat_ws("|", *(F.col(key).cast("string") for key in keys)).alias("name")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,15 +45,24 @@ def pack_rows(df: DataFrame, features: Sequence[str], keys: Sequence[str]) -> Da
             x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[:-1]])
             if np.isnan(x).any():
                 raise ValueError("cannot assign a row with missing features")
+            ends, text = _ends_and_bytes(batch.column(len(features)))
             for at in range(0, len(x), BLOCK_ROWS):
-                part, names = x[at:at + BLOCK_ROWS], batch.column(len(features)).slice(at, BLOCK_ROWS)
+                part, marks = x[at:at + BLOCK_ROWS], ends[at:at + BLOCK_ROWS + 1]
+                columns = [part.tobytes(), text[marks[0]:marks[-1]].tobytes(), np.diff(marks).astype("int32").tobytes()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([len(part)], pa.int32()), pa.array([part.tobytes()], pa.binary()), pa.array([names.to_pylist()], pa.list_(pa.string()))],
-                    names=["n", "body", "names"],
+                    [pa.array([len(part)], pa.int32()), *(pa.array([c], pa.binary()) for c in columns)], names=["n", "body", "names", "lengths"]
                 )
 
     rows = df.select(*(as_double(f).alias(f"x{i}") for i, f in enumerate(features)), name)
-    return rows.mapInArrow(run, "n int, body binary, names array<string>")
+    return rows.mapInArrow(run, "n int, body binary, names binary, lengths binary")
+
+
+def _ends_and_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where each text ends, after a zero, and the bytes of all."""
+    texts = texts.cast(pa.large_binary())
+    ends = np.frombuffer(texts.buffers()[1], dtype="int64")[texts.offset:texts.offset + len(texts) + 1]
+    whole = texts.buffers()[2]
+    return ends, np.frombuffer(whole, dtype="uint8") if whole is not None else np.zeros(0, dtype="uint8")
 
 
 def draw_seeds(blocks: DataFrame, width: int, k: int, seed: int, n_init: int) -> list[list[list[float]]]:
@@ -72,20 +83,23 @@ def draw_seeds(blocks: DataFrame, width: int, k: int, seed: int, n_init: int) ->
         def run(batches: Iterator[pa.RecordBatch], chosen=chosen, step=step) -> Iterator[pa.RecordBatch]:
             best: dict[int, tuple] = {}
             for batch in batches:
-                for body, names in zip(batch.column(0), batch.column(1)):
-                    x = _matrix(body, width)
-                    roots = [hashlib.md5(f"{name}|{seed}|".encode()) for name in names.as_py()]
-                    for i, points in chosen.items():
-                        rows, score = _scores(x, roots, points, i, step)
-                        if len(rows):
-                            least = rows[score == score.min()]
-                            found = min((float(score.min()), *x[r].tolist()) for r in least)
-                            best[i] = min(best.get(i, found), found)
+                for body, names, lengths in zip(*batch.columns):
+                    whole, ends = _matrix(body, width), np.concatenate([[0], np.cumsum(np.frombuffer(lengths.as_buffer(), dtype="int32"))])
+                    text = np.frombuffer(names.as_buffer(), dtype="uint8")
+                    for at in range(0, len(whole), DIGEST_ROWS):
+                        x, marks = whole[at:at + DIGEST_ROWS], ends[at:at + DIGEST_ROWS + 1]
+                        texts = Digests(text, marks, f"|{seed}|".encode())
+                        for i, points in chosen.items():
+                            rows, score = _scores(x, texts.ending(f"{i}|{step}".encode()), points)
+                            if len(rows):
+                                least = rows[score == score.min()]
+                                found = min((float(score.min()), *x[r].tolist()) for r in least)
+                                best[i] = min(best.get(i, found), found)
             columns = list(zip(*((i, *found) for i, found in best.items()))) or [()] * (2 + width)
             kinds = [pa.int32()] + [pa.float64()] * (1 + width)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["restart", "score", *(f"x{f}" for f in range(width))])
 
-        drawn = blocks.select("body", "names").mapInArrow(run, f"restart int, score double, {fields}")
+        drawn = blocks.select("body", "names", "lengths").mapInArrow(run, f"restart int, score double, {fields}")
         row = F.struct("score", *(f"x{f}" for f in range(width)))
         found = {r["restart"]: list(r["row"])[1:] for r in drawn.groupBy("restart").agg(F.min(row).alias("row")).collect()}
         growing = [i for i in growing if i in found]
@@ -96,15 +110,87 @@ def draw_seeds(blocks: DataFrame, width: int, k: int, seed: int, n_init: int) ->
     return starts
 
 
-def _scores(x: np.ndarray, roots: list, points: np.ndarray, restart: int, step: int) -> tuple[np.ndarray, np.ndarray]:
+class Digests:
+    """The first 64 bits of the MD5 of many texts at once: the same arithmetic on a column of each text's words."""
+
+    SHIFTS = ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21))
+    SINES = [np.uint32(int(abs(math.sin(i + 1)) * 2**32)) for i in range(64)]
+    START = tuple(map(np.uint32, (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)))
+
+    def __init__(self, text: np.ndarray, marks: np.ndarray, more: bytes):
+        """Texts are what lies between the ``marks`` of ``text``, with ``more`` after each of them."""
+        self.lengths, self.first, self.text, self.more = np.diff(marks), marks[:-1], text, np.frombuffer(more, dtype="uint8")
+        self.padded: dict[int, list] = {}  # by the length of the ending
+
+    def ending(self, end: bytes) -> np.ndarray:
+        """Of the texts with ``end`` after them, as numbers with the digest's first byte the highest."""
+        if len(end) not in self.padded:
+            size = self.lengths + len(self.more) + len(end)
+            blocks = (size + 8) // 64 + 1  # of 64 bytes, with the mark and the length at the end
+            self.padded[len(end)] = [self._pad(np.flatnonzero(blocks == n), int(n), size) for n in np.unique(blocks)]
+        out = np.empty(len(self.lengths), dtype="uint64")
+        for which, padded, places in self.padded[len(end)]:
+            for i, byte in enumerate(end):
+                padded.reshape(-1)[places + i] = byte
+            words = np.ascontiguousarray(padded.view("<u4").T)
+            state = [np.full(len(which), s) for s in self.START]
+            for at in range(0, len(words), 16):
+                state = self._block(state, words[at:at + 16])
+            out[which] = (state[0].byteswap().astype("uint64") << np.uint64(32)) | state[1].byteswap()
+        return out
+
+    def _pad(self, which: np.ndarray, blocks: int, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Some of the texts in so many blocks of bytes, and where their endings begin."""
+        lengths, padded = self.lengths[which], np.zeros((len(which), 64 * blocks), dtype="uint8")
+        if (longest := int(lengths.max())) > 0:
+            at = np.arange(longest)
+            source = np.minimum(self.first[which][:, None] + at, len(self.text) - 1)
+            np.multiply(self.text[source], at < lengths[:, None], out=padded[:, :longest])
+        start = np.arange(len(which)) * padded.shape[1]
+        for i, byte in enumerate(self.more):
+            padded.reshape(-1)[start + lengths + i] = byte
+        padded.reshape(-1)[start + size[which]] = 0x80
+        padded[:, -8:] = (8 * size[which]).astype("<u8").view("uint8").reshape(-1, 8)
+        return which, padded, start + lengths + len(self.more)
+
+    def _block(self, state: list[np.ndarray], words: np.ndarray) -> list[np.ndarray]:
+        a, b, c, d = (s.copy() for s in state)
+        mixed, turned = np.empty_like(a), np.empty_like(a)
+        filled = [bool(w.any()) for w in words]
+        for i in range(64):
+            part = i // 16
+            if part == 0:  # d ^ (b & (c ^ d))
+                np.bitwise_xor(c, d, out=mixed)
+                mixed &= b
+                mixed ^= d
+            elif part == 1:  # c ^ (d & (b ^ c))
+                np.bitwise_xor(b, c, out=mixed)
+                mixed &= d
+                mixed ^= c
+            elif part == 2:
+                np.bitwise_xor(b, c, out=mixed)
+                mixed ^= d
+            else:  # c ^ (b | ~d)
+                np.invert(d, out=mixed)
+                mixed |= b
+                mixed ^= c
+            word = (i, 5 * i + 1, 3 * i + 5, 7 * i)[part] % 16
+            a += mixed
+            a += self.SINES[i]
+            if filled[word]:
+                a += words[word]
+            shift = self.SHIFTS[part][i % 4]
+            np.right_shift(a, np.uint32(32 - shift), out=turned)
+            a <<= np.uint32(shift)
+            a |= turned
+            a += b
+            a, b, c, d = d, a, b, c
+        return [s + t for s, t in zip(state, (a, b, c, d))]
+
+
+def _scores(x: np.ndarray, digests: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows that can be drawn and their scores; the digests' first 60 bits are the draw."""
-    ending = f"{restart}|{step}".encode()
-    digests = []
-    for root in roots:
-        digest = root.copy()
-        digest.update(ending)
-        digests.append(digest.digest())
-    draw = (np.frombuffer(b"".join(digests), dtype=">u8")[::2] >> np.uint64(64 - DRAW_BITS)).astype("float64")
+    draw = (digests >> np.uint64(64 - DRAW_BITS)).astype("float64")
     if not len(points):
         return np.arange(len(x)), draw
     near = np.full(len(x), np.inf)
@@ -143,25 +229,30 @@ class Centres:
         """
         sets, k, width = self.points.shape
         size = (x * x).sum(axis=1)
-        ranking = self.norms[:, :, None] - 2.0 * (self.points.reshape(-1, width) @ x.T).reshape(sets, k, -1)
-        first, best = ranking[:, 0].copy(), np.zeros((sets, len(x)), dtype="int64")
+        ranking = np.matmul(-2.0 * self.points.reshape(-1, width), x.T).reshape(sets, k, -1)
+        ranking += self.norms[:, :, None]
+        first, best = ranking[:, 0].copy(), np.zeros((sets, len(x)), dtype="uint8" if k < 256 else "int32")
         second = np.full_like(first, np.inf)
         for j in range(1, k):
             here = ranking[:, j]
-            closer = here < first
-            second = np.where(closer, first, np.minimum(second, here))
-            np.copyto(first, here, where=closer)
-            best[closer] = j
+            np.copyto(best, j, where=here < first)
+            np.minimum(second, np.maximum(first, here), out=second)
+            np.minimum(first, here, out=first)
         largest = np.where(np.isfinite(self.norms), self.norms, 0.0).max(axis=1)[:, None]
-        close = second - first <= 1e-12 * width * (size + largest)
+        gap = second - first
+        close = gap <= 1e-12 * width * size + 1e-12 * width * largest
         for i in np.flatnonzero(close.any(axis=1)):
             used = self.points[i, np.isfinite(self.norms[i])]
             rows = np.flatnonzero(close[i])
             for at in range(0, len(rows), step := max(1, TIED_CELLS // used.size)):
                 some = rows[at:at + step]
                 best[i, some] = ((x[some, None, :] - used[None]) ** 2).sum(axis=2).argmin(axis=1)
-        margin = np.sqrt(np.maximum(second + size, 0.0)) - np.sqrt(np.maximum(first + size, 0.0))
-        return best, first + size, margin - SLACK * np.sqrt(size + largest)
+        first += size
+        second += size
+        margin = np.sqrt(np.maximum(second, 0.0, out=second), out=second) - np.sqrt(np.maximum(first, 0.0))
+        margin -= SLACK * np.sqrt(size)
+        margin -= SLACK * np.sqrt(largest)
+        return best, first, margin
 
 
 class Sums:
@@ -171,19 +262,25 @@ class Sums:
         self.total = np.zeros((sets * k, 3 + width))
         self.k = k
 
-    def add(self, sets: Sequence[int], best: np.ndarray, x: np.ndarray, near: np.ndarray, cost: np.ndarray | None) -> None:
-        """``near`` marks the rows that would be visited in passes to come."""
-        code = (best + np.asarray(sets)[:, None] * self.k).ravel()
-        n = len(self.total)
-        self.total[:, 0] += np.bincount(code, minlength=n)
-        self.total[:, 1] += np.bincount(code, near.ravel(), minlength=n)
-        if cost is not None:
-            self.total[:, 2] += np.bincount(code, cost.ravel(), minlength=n)
-        for f in range(x.shape[1]):
-            self.total[:, 3 + f] += np.bincount(code, np.broadcast_to(x[:, f], best.shape).ravel(), minlength=n)
+    def add(
+        self, sets: Sequence[int], best: np.ndarray, x: np.ndarray, near: np.ndarray | None = None, cost: np.ndarray | None = None, only: np.ndarray | None = None
+    ) -> None:
+        """``near`` marks the rows that would be visited in passes to come, counted under a restart's first cluster; ``only`` those that count."""
+        wide, first = np.column_stack([np.ones(len(x)), x]), np.asarray(sets) * self.k
+        for j in range(min(self.k, int(best.max(initial=0)) + 1)):
+            here = best == j
+            if only is not None:
+                here &= only
+            summed = here.astype("float64") @ wide
+            self.total[first + j, 0] += summed[:, 0]
+            self.total[first + j, 3:] += summed[:, 1:]
+            if cost is not None:
+                self.total[first + j, 2] += (cost * here).sum(axis=1)
+        if near is not None:
+            self.total[first, 1] += np.count_nonzero(near, axis=1)
 
     def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        used = np.flatnonzero(self.total[:, 0])
+        used = np.flatnonzero(self.total[:, :2].any(axis=1))
         return used // self.k, used % self.k, self.total[used]
 
 
@@ -216,13 +313,15 @@ def _pass(df: DataFrame, centres: Centres, reach: np.ndarray, cost: bool, own: b
         sums = Sums(sets, k, width)
         for batch in batches:
             for i, body in zip(batch.column(0).to_pylist(), batch.column(1)):
-                x = _matrix(body, width)
+                whole = _matrix(body, width)
                 which = [i] if own else range(sets)
-                best, squared, margin = (centres.only(i) if own else centres).rank(x)
-                if cost:
-                    chosen = np.stack([centres.points[r][b] for r, b in zip(which, best)])
-                    squared = ((x[None] - chosen) ** 2).sum(axis=2)
-                sums.add(which, best, x, margin <= reach[list(which), None], squared if cost else None)
+                for at in range(0, len(whole), RANKED_ROWS):
+                    x = whole[at:at + RANKED_ROWS]
+                    best, squared, margin = (centres.only(i) if own else centres).rank(x)
+                    if cost:
+                        chosen = np.stack([centres.points[r][b] for r, b in zip(which, best)])
+                        squared = ((x[None] - chosen) ** 2).sum(axis=2)
+                    sums.add(which, best, x, margin <= reach[list(which), None], squared if cost else None)
         yield _sum_batch(sums)
 
     first = "restart" if own else "n"
@@ -252,18 +351,19 @@ def _part_rows(df: DataFrame, centres: Centres, reach: np.ndarray) -> tuple[np.n
             held[i].clear()
             none = Sums(sets, k, width)
             empty = _sum_batch(none, {})
-            columns = [pa.array([i], pa.int32()), pa.array([ACTIVE], pa.int32()), pa.array([float(len(x))])]
+            columns = [pa.array([int(i)], pa.int32()), pa.array([ACTIVE], pa.int32()), pa.array([float(len(x))])]
             columns += [pa.array([0.0]) for _ in range(2 + width)] + [pa.array([x.tobytes()], pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names=empty.schema.names)
 
         for batch in batches:
             for body in batch.column(0):
-                x = _matrix(body, width)
-                best, _, margin = centres.rank(x)
-                rests = margin > reach[:, None]
-                for i in range(sets):
-                    sums.add([i], best[i:i + 1, rests[i]], x[rests[i]], np.zeros((1, int(rests[i].sum()))), None)
-                    if not rests[i].all():
+                whole = _matrix(body, width)
+                for at in range(0, len(whole), RANKED_ROWS):
+                    x = whole[at:at + RANKED_ROWS]
+                    best, _, margin = centres.rank(x)
+                    rests = margin > reach[:, None]
+                    sums.add(range(sets), best, x, only=rests)
+                    for i in np.flatnonzero(~rests.all(axis=1)):
                         held[i].append(x[~rests[i]])
                         if sum(map(len, held[i])) >= BLOCK_ROWS:
                             yield block(i)
@@ -314,11 +414,13 @@ class Restart:
 
     def go_on(self, x: Sequence[np.ndarray], resting: np.ndarray, max_iter: int, tol: float) -> None:
         """All steps that the parting allows, over the given blocks of rows."""
-        k, width = len(self.points), self.points.shape[1]
+        k, width, step = len(self.points), self.points.shape[1], 8 * RANKED_ROWS
         while self.tries < max_iter and not self.rested():
             sums, centres = Sums(1, len(resting), width), Centres.of([self.points])
             for part in x:
-                sums.add([0], centres.rank(part)[0], part, np.zeros((1, len(part))), None)
+                for at in range(0, len(part), step):
+                    some = part[at:at + step]
+                    sums.add([0], centres.rank(some)[0], some)
             self.move(resting[:k] + sums.total[:k], tol)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pytest
 
@@ -78,3 +80,21 @@ def test_ties_go_to_the_lowest_and_never_rest():
     x, points = np.zeros((3, 2)) + 1e6, np.array([[1e6 + 1, 1e6], [1e6 - 1, 1e6], [1e6, 1e6 + 1]])
     best, squared, margin = Centres.of([points, points[:1]]).rank(x)
     assert best.tolist() == [[0, 0, 0], [0, 0, 0]] and (margin[0] <= 0).all() and np.isinf(margin[1]).all()
+
+
+def test_digests_of_many_keys_are_those_of_each():
+    names = ["", "1|2|3", "é", "x" * 47, "x" * 50, "x" * 51, "x" * 64, "y" * 200, "a\x00b"]
+    encoded = [n.encode() for n in names]
+    marks = np.concatenate([[0], np.cumsum([len(e) for e in encoded])])
+    texts = blocks.Digests(np.frombuffer(b"".join(encoded), dtype="uint8"), marks, b"|42|")
+    for end in (b"0|0", b"9|3", b"10|1", b"0|1"):
+        expected = [int.from_bytes(hashlib.md5(e + b"|42|" + end).digest()[:8], "big") for e in encoded]
+        assert texts.ending(end).tolist() == expected
+
+
+def test_keys_are_packed_as_bytes(spark):
+    df = spark.createDataFrame([(1, "a", 0.5), (22, None, 1.5), (333, "é", 2.5)], "k long, t string, f double").coalesce(1)
+    packed = pack_rows(df, ["f"], ["k", "t"]).collect()
+    text, ends = b"".join(r["names"] for r in packed), np.cumsum([n for r in packed for n in np.frombuffer(r["lengths"], dtype="int32")])
+    found = [text[a:b].decode() for a, b in zip([0, *ends], ends)]
+    assert sorted(found) == ["1|a", "22", "333|é"]
