@@ -3,8 +3,8 @@
 The centroids are a table. Some of them, drawn by hash, are pivots; each centroid belongs to the ball of its nearest pivot, and
 balls with many centroids are cut into parts. Only the balls travel with the tasks: centre, radius and one
 centroid of each. A row is no nearer to a ball's centroids than to its centre less the radius, so it has to be compared
-with the balls for which this is not beyond the nearest of those single centroids. Rows and balls meet as
-groups of bounded size, and the best of a row's comparisons is kept.
+with the balls for which this is not beyond the nearest of those single centroids. Rows meet balls in blocks
+of bounded size, and the best of a row's comparisons is kept.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ from segwatch.functions.distance import nearest
 from segwatch.functions.storage import cut
 
 LEAF_ROWS = 1_024  # centroids of a ball
-GROUP_ROWS = 16_384  # rows that meet a ball in one task
+GROUP_ROWS = 8_192  # rows that meet a ball at once
+NO_CLUSTER = np.iinfo("int64").max
 CELLS = 1 << 22  # distances to balls held at once
 SLACK = 1e-9  # of the sizes involved: beyond the rounding error of a distance
 
@@ -106,6 +107,8 @@ def build_index(centroids: DataFrame, features: Sequence[str], limit: int, place
 def search_index(index: CentroidIndex, rows: DataFrame) -> DataFrame:
     """``row, distance, cluster``: the nearest centroid of each row of ``rows`` (``row`` and ``x``, the features as an array).
 
+    Rows are packed into blocks. Blocks and balls meet as a product of the two tables' partitions, which a task reads from their files,
+    so no row is shuffled once for each of its balls; a block's best results, one for each partition of the balls, are.
     Squared distances are sums of plain differences; the smallest number wins a tie. Rows with a NULL array have no result.
     """
     width = index.centres.shape[1]
@@ -113,36 +116,64 @@ def search_index(index: CentroidIndex, rows: DataFrame) -> DataFrame:
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            x = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
-            r, b = balls.candidates(x)
-            for at in range(0, len(r), GROUP_ROWS):
-                some = pa.array(r[at:at + GROUP_ROWS])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(some), batch.column(1).take(some), pa.array(b[at:at + GROUP_ROWS].astype("int32"))], names=["row", "x", "ball"]
-                )
-
-    pairs = rows.where(F.col("x").isNotNull()).select("row", "x").mapInArrow(wanted, "row bigint, x array<double>, ball int")
-    pairs = cut(pairs, "index-pairs")
-    groups = pairs.groupBy("ball").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).alias("groups"))  # a row for each ball
-    left = pairs.join(F.broadcast(groups), "ball").select("ball", F.pmod(F.xxhash64("row"), F.col("groups")).cast("int").alias("part"), "row", "x")
-    right = index.leaves.join(F.broadcast(groups), "ball").select(
-        "ball", F.explode(F.sequence(F.lit(0), F.col("groups").cast("int") - 1)).alias("part"), "clusters", "body"
-    )
-
-    def best(left: pa.Table, right: pa.Table) -> pa.Table:
-        if left.num_rows == 0 or right.num_rows == 0:
-            return pa.table({"row": pa.array([], pa.int64()), "distance": pa.array([], pa.float64()), "cluster": pa.array([], pa.int64())})
-        points = np.frombuffer(right.column("body")[0].as_buffer(), dtype="float64").reshape(-1, width)
-        x = left.column("x").combine_chunks().flatten().to_numpy().reshape(-1, width)
-        at, squared = nearest(x, points)
-        clusters = np.array(right.column("clusters")[0].as_py(), dtype="int64")
-        return pa.table({"row": left.column("row").combine_chunks(), "distance": pa.array(squared), "cluster": pa.array(clusters[at])})
-
-    met = left.groupBy("ball", "part").cogroup(right.groupBy("ball", "part")).applyInArrow(best, "row bigint, distance double, cluster bigint")
-    one = met.groupBy("row").agg(F.min(F.struct("distance", "cluster")).alias("best"))
-    return one.select("row", "best.distance", "best.cluster")
+            for at in range(0, batch.num_rows, GROUP_ROWS):
+                part = batch.slice(at, GROUP_ROWS)
+                x = part.column(1).flatten().to_numpy().reshape(part.num_rows, -1)
+                r, b = balls.candidates(x)
+                order = np.argsort(b, kind="stable")
+                asks = np.column_stack([r[order], b[order]]).astype("int32")
+                values = [part.column(0).to_numpy().astype("int64").tobytes(), x.tobytes(), asks.tobytes()]
+                columns = [*(pa.array([v], pa.binary()) for v in values), pa.array([np.unique(b).astype("int32").tolist()], pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["rows", "x", "asks", "wanted"])
+
+    packed = rows.where(F.col("x").isNotNull()).select("row", "x").mapInArrow(wanted, "rows binary, x binary, asks binary, wanted array<int>")
+    blocks = packed.withColumn("block", F.monotonically_increasing_id())
+    leaves = index.leaves.select("ball", "clusters", "body").hint("shuffle_replicate_nl")
+    pairs = blocks.join(leaves, F.array_contains("wanted", F.col("ball"))).select("block", "rows", "x", "asks", "ball", "clusters", "body")
+    fields = "rows binary, distance binary, cluster binary"
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = None, None  # a block meets the balls of the task one after the other
+
+        def done() -> pa.RecordBatch:
+            columns = [pa.array([block], pa.int64()), *(pa.array([v.tobytes()], pa.binary()) for v in held)]
+            return pa.RecordBatch.from_arrays(columns, names=["block", "rows", "distance", "cluster"])
+
+        for batch in batches:
+            for i, (number, ball) in enumerate(zip(batch.column(0).to_pylist(), batch.column(4).to_pylist())):
+                if number != block:
+                    if block is not None:
+                        yield done()
+                    block, x, asks = number, _values(batch.column(2)[i], "float64").reshape(-1, width), _values(batch.column(3)[i], "int32").reshape(-1, 2)
+                    held = (_values(batch.column(1)[i], "int64"), np.full(len(x), np.inf), np.full(len(x), NO_CLUSTER))
+                which = asks[slice(*np.searchsorted(asks[:, 1], [ball, ball + 1])), 0]
+                points = _values(batch.column(6)[i], "float64").reshape(-1, width)
+                at, squared = nearest(x[which], points)
+                _keep_nearer(held, which, squared, batch.column(5)[i].values.to_numpy()[at])
+        if block is not None:
+            yield done()
+
+    def merge(table: pa.Table) -> pa.Table:
+        parts = [[_values(v, kind) for c in table.column(name).chunks for v in c] for name, kind in (("rows", "int64"), ("distance", "float64"), ("cluster", "int64"))]
+        held = (parts[0][0], np.full(len(parts[0][0]), np.inf), np.full(len(parts[0][0]), NO_CLUSTER))
+        for squared, cluster in zip(*parts[1:]):
+            _keep_nearer(held, np.arange(len(squared)), squared, cluster)
+        found = held[2] != NO_CLUSTER  # a row without finite distances has none
+        return pa.table({c: v[found] for c, v in zip(("row", "distance", "cluster"), held)})
+
+    met = pairs.mapInArrow(best, f"block bigint, {fields}")
+    return met.groupBy("block").applyInArrow(merge, "row bigint, distance double, cluster bigint")
+
+
+def _values(value: pa.BinaryScalar, kind: str) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), dtype=kind)
+
+
+def _keep_nearer(held: tuple[np.ndarray, ...], which: np.ndarray, squared: np.ndarray, cluster: np.ndarray) -> None:
+    """Distance and number of the nearest so far of some rows of a block; the smaller number wins a tie."""
+    _, distance, number = held
+    nearer = (squared < distance[which]) | (squared == distance[which]) & (cluster < number[which])
+    distance[which[nearer]], number[which[nearer]] = squared[nearer], cluster[nearer]
 
 
 def assign_by_index(

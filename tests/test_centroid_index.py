@@ -61,3 +61,19 @@ def test_an_index_too_large_is_refused(spark):
     with pytest.raises(ValueError, match="non-empty"):
         index_centroids(df.limit(0).withColumnRenamed("id", "cluster"), names)
     assert clustering.CENTROID_BYTES == 64 << 20
+
+
+def test_rows_meet_balls_without_a_shuffled_copy_for_each(spark, monkeypatch):
+    """Shuffled are the blocks' results; a row without finite distances has none, ties in several balls go to the smallest."""
+    monkeypatch.setattr(centroid_index, "LEAF_ROWS", 4)
+    monkeypatch.setattr(centroid_index, "GROUP_ROWS", 16)
+    c = [[float(i), float(j)] for i in range(8) for j in range(8)]
+    x = [[i + 0.5, j + 0.5] for i in range(7) for j in range(7)] + [[float("inf"), 1.0]]
+    df, names = frame(spark, c)
+    index = index_centroids(df.withColumnRenamed("id", "cluster"), names, 4096)
+    rows = spark.createDataFrame([(i, r) for i, r in enumerate(x)], "row bigint, x array<double>").repartition(3).persist()
+    rows.count()
+    found = centroid_index.search_index(index, rows)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "CartesianProduct" in plan and "CoGroup" not in plan
+    assert {r["row"]: r["cluster"] for r in found.collect()} == dict(enumerate(numpy_nearest(np.array(x[:-1]), np.array(c))[0].tolist()))
