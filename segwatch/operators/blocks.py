@@ -31,6 +31,7 @@ REACH = 16.0  # rows are parted so that they may rest for this many moves of the
 VISITED_SHARE = 0.4  # a restart's rows are parted when at most this share of them would have to be visited
 SLACK = 1e-7  # of a row's and the centroids' size: beyond the rounding error of a margin
 TIED_CELLS = 1 << 20  # differences held at once when rows are ranked again
+PARTS_EACH = 4  # parts for each restart that goes on in one task, so that few share one
 ACTIVE = -1
 DRAW_BITS = 60
 
@@ -503,7 +504,9 @@ class BoundedLloyd:
             return pa.table({c: pa.array(v, kind) for (c, v), kind in zip(columns.items(), kinds)})
 
         schema = "restart int, points array<double>, tries int, steps int, settled boolean, moved double"
-        done = active.where(F.col("restart").isin(which)).groupBy("restart").applyInArrow(run, schema).collect() if which else []
+        # The number of parts is given, as parts that look small would be joined and the restarts run one after the other.
+        dealt = active.where(F.col("restart").isin(which)).repartition(PARTS_EACH * max(1, len(which)), "restart")
+        done = dealt.groupBy("restart").applyInArrow(run, schema).collect() if which else []
         for r in done:
             restart = moving[r["restart"]]
             restart.points = np.array(r["points"]).reshape(restart.points.shape)

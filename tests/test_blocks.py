@@ -98,3 +98,16 @@ def test_keys_are_packed_as_bytes(spark):
     text, ends = b"".join(r["names"] for r in packed), np.cumsum([n for r in packed for n in np.frombuffer(r["lengths"], dtype="int32")])
     found = [text[a:b].decode() for a, b in zip([0, *ends], ends)]
     assert sorted(found) == ["1|a", "22", "333|é"]
+
+
+def test_restarts_go_on_side_by_side(spark, monkeypatch):
+    """Restarts that go on in a task each get a given number of parts, which Spark does not join to one as their rows look few."""
+    x = clusters(8, 2000)
+    table, parts = packed(spark, x, 2), []
+    whole = type(table).repartition
+    monkeypatch.setattr(type(table), "repartition", lambda self, n, *by: (parts.append((n, by)), whole(self, n, *by))[1])
+    starts = [x[np.random.default_rng(i).choice(len(x), 4, replace=False)].tolist() for i in range(4)]
+    run = BoundedLloyd(table, len(x), 100, 0.0)
+    for start, restart in zip(starts, run.run(starts)):
+        assert np.allclose(restart.points, plain(x, np.array(start), 100, 0.0))
+    assert parts and max(n for n, _ in parts) >= len(starts) and {by for _, by in parts} == {("restart",)}
