@@ -5,7 +5,8 @@ symbols contains an anchor: the block of half its length whose hash is the small
 anchor's hash occurs once in the table has no equal. Around each shared anchor lies its context, the symbols
 that any string with this anchor can cover. Contexts that are equal as a whole are covered as a whole.
 Different contexts of one anchor are sorted by their suffixes: a mergesort whose comparisons find the common
-extension by binary search on polynomial prefix hashes, checked against the symbols themselves afterwards.
+extension by binary search on polynomial prefix hashes, checked against the symbols themselves afterwards. They are
+sorted at the anchor, forwards and backwards, and again only where that leaves a string open.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +31,6 @@ JOINED_BYTES = 1 << 18  # short texts are hashed together up to this size
 SORTED_CONTEXTS = 4_096  # contexts of one anchor that one task sorts; beyond it their strings are counted in the whole table
 SHARD_CONTEXTS = 2_048
 BLOCKS = 2  # anchors to a string's length: shorter ones are fewer, but more of them are shared by other strings
-PLACES = 16  # a string's length over this is the stride of the suffixes sorted first; others follow where those leave them open
-WORD_PLACES = 4  # the same for words, of which a string has fewer
 
 _MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
@@ -181,27 +181,28 @@ def _joined_anchors(raws: list[bytes], hasher: Hasher, length: int, words: bool)
 
 def _anchor_rows(wanted: Sequence[Strings]):
     # Strings of different kinds never share an anchor, and words count whatever lies between them.
-    salts = [[bytes([kind]) + i.to_bytes(7, "little") for i in range(w.length)] for kind, w in enumerate(wanted)]
+    digest = xxhash.xxh3_64_intdigest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(SEGMENT_BYTES + max(w.length for w in wanted))
         for batch in batches:
             rows: list[tuple[np.ndarray, ...]] = []
-            contexts: list[bytes] = []
+            contexts: list[np.ndarray] = []
+            held = 0
             for first, raws in _joinable(batch.column(2)):
                 for kind, (length, words) in enumerate(wanted):
                     text, chosen, place, found, left, right, symbols = _joined_anchors(raws, hasher, length, words)
                     if not len(chosen):
                         continue
-                    whole, size, salt = symbols.tobytes(), symbols.itemsize, salts[kind]
-                    contexts += [
-                        hashlib.blake2b(whole[a:b], digest_size=8, salt=salt[l]).digest()
-                        for a, b, l in zip(((chosen - left) * size).tolist(), ((chosen + right) * size).tolist(), left.tolist())  # noqa: E741
-                    ]
+                    whole, size = symbols.tobytes(), symbols.itemsize
+                    bounds = map(slice, ((chosen - left) * size).tolist(), ((chosen + right) * size).tolist())
+                    seeds = (left + (kind << 32)).tolist()
+                    contexts.append(np.fromiter(map(digest, map(whole.__getitem__, bounds), seeds), dtype="uint64", count=len(chosen)))
+                    held += len(chosen)
                     rows.append((text + first, np.full(len(text), kind, dtype="int8"), place, (found + np.uint64(kind)).view("int64"), left, right))
-                if len(contexts) > 1 << 17:
+                if held > 1 << 17:
                     yield _anchor_batch(batch, rows, contexts)
-                    rows, contexts = [], []
+                    rows, contexts, held = [], [], 0
             if rows:
                 yield _anchor_batch(batch, rows, contexts)
 
@@ -222,9 +223,9 @@ def _joinable(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
         yield first, held
 
 
-def _anchor_batch(batch: pa.RecordBatch, rows: list[tuple[np.ndarray, ...]], contexts: list[bytes]) -> pa.RecordBatch:
+def _anchor_batch(batch: pa.RecordBatch, rows: list[tuple[np.ndarray, ...]], contexts: list[np.ndarray]) -> pa.RecordBatch:
     n, kind, where, found, left, right = (np.concatenate(c) for c in zip(*rows))
-    digests = pa.array(np.frombuffer(b"".join(contexts), dtype="int64"))
+    digests = pa.array(np.concatenate(contexts).view("int64"))
     return pa.RecordBatch.from_arrays(
         [batch.column(0).take(pa.array(n)), batch.column(1).take(pa.array(n)), pa.array(kind), pa.array(found), digests,
          pa.array(where), pa.array(left.astype("int16")), pa.array(right.astype("int16"))],
@@ -233,7 +234,8 @@ def _anchor_batch(batch: pa.RecordBatch, rows: list[tuple[np.ndarray, ...]], con
 
 
 class SuffixShard:
-    """Contexts of several anchors, framed so that the anchors stand at one place, with prefix hashes.
+    """Contexts of several anchors, those of one beside each other (``groups`` ascends), framed so that the anchors stand at one
+    place, with prefix hashes.
 
     The words of a context stand with one blank between them; they are compared by their hashes, and the strings
     found equal by their bytes.
@@ -247,7 +249,6 @@ class SuffixShard:
         self.length, self.groups, self.shift = length, groups, length - block
         self.first = self.shift - left.astype("int64")
         self.contexts, self.cuts = contexts, None
-        self.stride = max(1, length // (WORD_PLACES if words else PLACES))
         if words:
             sizes = np.array([c.count(b" ") + 1 for c in contexts])
             begin, end, flat = words.words(np.frombuffer(b" ".join(contexts), dtype="uint8"))
@@ -256,45 +257,61 @@ class SuffixShard:
             flat, sizes = np.frombuffer(b"".join(contexts), dtype="uint8"), np.array([len(c) for c in contexts])
         self.bytes = np.zeros((m, frame), dtype=flat.dtype)
         self.last = self.first + sizes
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        row = np.repeat(np.arange(m), sizes)
-        self.bytes[row, np.arange(len(flat)) - starts[row] + self.first[row]] = flat
+        inside = (np.arange(frame) >= self.first[:, None]) & (np.arange(frame) < self.last[:, None])
+        self.bytes[inside] = flat
         powers = _powers(_MULTIPLIER + 2 * salt, frame)
         self.hashes = np.zeros((m, frame + 1), dtype="uint64")
         np.cumsum((self.bytes if words else _byte_values()[self.bytes]) * powers, axis=1, out=self.hashes[:, 1:])
         if words:  # where the words begin and end in their context, by place
-            base = np.cumsum([0] + [len(c) + 1 for c in contexts[:-1]])
-            at = np.arange(len(flat)) - starts[row] + self.first[row]
+            base = np.repeat(np.cumsum([0] + [len(c) + 1 for c in contexts[:-1]]), sizes)
             self.cuts = np.zeros((2, m, frame), dtype="int64")
-            self.cuts[0, row, at], self.cuts[1, row, at] = begin - base[row], end - base[row]
+            self.cuts[0, inside], self.cuts[1, inside] = begin - base, end - base
 
-    def extension(self, a: np.ndarray, b: np.ndarray, p: np.ndarray) -> np.ndarray:
-        """Bytes that contexts ``a`` and ``b`` have in common from place ``p``, by binary search on the hashes."""
+    def extension(self, a: np.ndarray, b: np.ndarray, p: np.ndarray, back: bool = False) -> np.ndarray:
+        """Symbols that contexts ``a`` and ``b`` have in common from place ``p``, or before it, by binary search on the hashes."""
         low = np.zeros(len(a), dtype="int64")
-        high = np.minimum(self.last[a], self.last[b]) - p
-        from_a, from_b = self.hashes[a, p], self.hashes[b, p]
+        high = p - np.maximum(self.first[a], self.first[b]) if back else np.minimum(self.last[a], self.last[b]) - p
+        flat, step = self.hashes.ravel(), -1 if back else 1
+        from_a, from_b = a * self.hashes.shape[1] + p, b * self.hashes.shape[1] + p
+        apart = flat[from_b] - flat[from_a]  # stays so as far as both have the same symbols
         while (low < high).any():
-            middle = (low + high + 1) // 2
-            same = self.hashes[a, p + middle] - from_a == self.hashes[b, p + middle] - from_b
+            middle = (low + high + 1) >> 1
+            same = flat[from_b + step * middle] - flat[from_a + step * middle] == apart
             low = np.where(same, middle, low)
             high = np.where(same, high, middle - 1)
         return low
 
-    def less(self, a: np.ndarray, b: np.ndarray, p: np.ndarray) -> np.ndarray:
-        """Suffix of ``a`` before that of ``b``; a suffix that the other begins with comes first, equals by number."""
-        n = self.extension(a, b, p)
-        end_a, end_b = self.last[a] - p == n, self.last[b] - p == n
-        at_a, at_b = np.minimum(p + n, self.bytes.shape[1] - 1), np.minimum(p + n, self.bytes.shape[1] - 1)
-        smaller = self.bytes[a, at_a] < self.bytes[b, at_b]
-        return np.where(end_a & end_b, a < b, np.where(end_a, True, np.where(end_b, False, smaller)))
+    def _order(self, a: np.ndarray, b: np.ndarray, p: np.ndarray, n: np.ndarray, back: bool) -> tuple[np.ndarray, np.ndarray]:
+        """With ``n`` symbols in common: is the suffix of ``a`` before that of ``b``, which may begin with it; and are they equal."""
+        at, end = (p - n, self.first) if back else (p + n, self.last)
+        end_a, end_b = at == end[a], at == end[b]
+        following = np.maximum(at - 1, 0) if back else np.minimum(at, self.bytes.shape[1] - 1)
+        flat, width = self.bytes.ravel(), self.bytes.shape[1]
+        return end_a | (~end_b & (flat[a * width + following] < flat[b * width + following])), end_a & end_b
+
+    def less(self, a: np.ndarray, b: np.ndarray, p: np.ndarray, back: bool = False) -> np.ndarray:
+        """Suffix of ``a`` before that of ``b``; a suffix that the other begins with comes first, equals by what lies on the other
+        side of ``p`` and then by number. With ``back`` the suffixes are read backwards, from the symbol before ``p``."""
+        out, equal = self._order(a, b, p, self.extension(a, b, p, back), back)
+        tied = np.flatnonzero(equal)
+        if len(tied):
+            a, b, p = a[tied], b[tied], p[tied]
+            smaller, equal = self._order(a, b, p, self.extension(a, b, p, not back), not back)
+            out[tied] = np.where(equal, a < b, smaller)
+        return out
 
-    def sort(self, context: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def sort(self, context: np.ndarray, place: np.ndarray, back: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Mergesort of suffixes within each (group, place): context, place and common extension with the one before.
 
         Runs of all parts are merged at once: a suffix's place in the merged run is its place in its own run plus the
         number of suffixes before it in the run beside it, found by binary search.
         """
-        part = self.groups[context] * self.bytes.shape[1] + place
+        context, place, before, after, _ = self._sorted(context, place, back)
+        return context, place, before if back else after
+
+    def _sorted(self, context: np.ndarray, place: np.ndarray, back: bool) -> tuple[np.ndarray, ...]:
+        """``sort`` with the symbols in common before and from ``place``, and whether a suffix is the first of its part."""
+        part = self.groups[context] * (self.bytes.shape[1] + 1) + place
         order = np.argsort(part, kind="stable")
         context, place, part = context[order], place[order], part[order]
         n = len(context)
@@ -318,7 +335,7 @@ class SuffixShard:
                     break
                 middle = (low[busy] + high[busy]) // 2
                 other = base[busy] + middle
-                before = self.less(context[other], context[who[busy]], place[who[busy]])
+                before = self.less(context[other], context[who[busy]], place[who[busy]], back)
                 low[busy] = np.where(before, middle + 1, low[busy])
                 high[busy] = np.where(before, high[busy], middle)
             target = base + (run // 2) * 2 * width + own + (low - start)
@@ -326,58 +343,90 @@ class SuffixShard:
             moved[target] = context[who]
             context = moved
             width *= 2
-        common = np.zeros(n, dtype="int64")
         later = np.flatnonzero(~new)
-        common[later] = self.extension(context[later - 1], context[later], place[later])
-        self._verify(context, place, common, later)
-        return context, place, common
-
-    def _verify(self, context: np.ndarray, place: np.ndarray, common: np.ndarray, later: np.ndarray) -> None:
-        """Every neighbour's common extension is that of the symbols themselves, and the order that of the symbols."""
-        for at in range(0, len(later), 8192):
-            some = later[at:at + 8192]
-            a, b, p, n = context[some - 1], context[some], place[some], common[some]
-            columns = np.arange(self.bytes.shape[1])
-            inside = (columns >= p[:, None]) & (columns < np.minimum(self.last[a], self.last[b])[:, None])
-            differ = (self.bytes[a] != self.bytes[b]) & inside
-            first = np.where(differ.any(axis=1), differ.argmax(axis=1), np.minimum(self.last[a], self.last[b])) - p
-            if (first != n).any() or not self.less(a, b, p).all():
+        before, after = np.zeros(n, dtype="int64"), np.zeros(n, dtype="int64")
+        pair = context[later - 1], context[later], place[later]
+        before[later], after[later] = self.extension(*pair, back=True), self.extension(*pair)
+        self._verify(*pair, before[later], after[later], back)
+        return context, place, before, after, new
+
+    def _verify(self, a: np.ndarray, b: np.ndarray, p: np.ndarray, before: np.ndarray, after: np.ndarray, back: bool) -> None:
+        """Every neighbour's common extensions are those of the symbols themselves, and the order that of the symbols."""
+        columns = np.arange(self.bytes.shape[1])
+        for at in range(0, len(a), 4096):
+            some = slice(at, at + 4096)
+            x, y, low, high = a[some], b[some], p[some] - before[some], p[some] + after[some]
+            differ = self.bytes[x] != self.bytes[y]
+            wrong = (differ & (columns >= low[:, None]) & (columns < high[:, None])).any()
+            row = np.arange(len(x))
+            more = low > np.maximum(self.first[x], self.first[y])
+            wrong |= not differ[row[more], low[more] - 1].all()
+            more = high < np.minimum(self.last[x], self.last[y])
+            wrong |= not differ[row[more], high[more]].all()
+            smaller, equal = self._order(x, y, p[some], before[some] if back else after[some], back)
+            if wrong or not (smaller | equal).all():
                 raise HashCollision
             if self.cuts is not None:
-                equal = n >= self.length
-                a, b, p, last = a[equal], b[equal], p[equal], p[equal] + n[equal] - 1
-                spans = zip(a.tolist(), self.cuts[0, a, p].tolist(), self.cuts[1, a, last].tolist(),
-                            b.tolist(), self.cuts[0, b, p].tolist(), self.cuts[1, b, last].tolist())
+                equal = high - low >= self.length
+                x, y, low, last = x[equal], y[equal], low[equal], high[equal] - 1
+                spans = zip(x.tolist(), self.cuts[0, x, low].tolist(), self.cuts[1, x, last].tolist(),
+                            y.tolist(), self.cuts[0, y, low].tolist(), self.cuts[1, y, last].tolist())
                 if any(self.contexts[i][low:high] != self.contexts[j][begin:end] for i, low, high, j, begin, end in spans):
                     raise ArithmeticError("two different words have one 64-bit hash")
 
     def repeated(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``context, place`` of every string of the wanted length that also starts in another context of its group.
+        """``context, place`` of the first and the last string of the wanted length that also starts in another context of its group.
 
-        Only contexts in ``wanted`` (a mask) are asked about; the others are what they are compared with.
+        Only contexts in ``wanted`` (a mask) are asked about; the others are what they are compared with. All strings of a
+        context contain its anchor, so what lies between its first and its last changes nothing.
+
+        The suffixes at the anchor are sorted, forwards and backwards. Neighbours there have the most in common to that side:
+        this bounds the places, and where a neighbour has as much in common to both sides, it settles them. What is
+        left open goes on from its outermost possible places. Sorting the suffixes there either finds that string, or the
+        most in common rules out all places up to the next one that may do.
         """
-        length, m = self.length, len(self.first)
-        grid = np.unique(np.append(np.arange(0, self.shift, self.stride), self.shift))
-        context, column = np.nonzero(grid[None, :] >= self.first[:, None])
-        extension = np.full((m, len(grid)), -1, dtype="int64")
-        extension[context, column] = self._neighbours(context, grid[column])
-        # A string from place t repeats surely if the suffix at the grid place before it has that much in common
-        # with another; and only if the suffix at the grid place after it has in common what the string shares with it.
-        t = np.arange(self.shift + 1)
-        after = np.searchsorted(grid, t)
-        before = np.searchsorted(grid, t, side="right") - 1
-        valid = (t >= self.first[:, None]) & (t <= self.last[:, None] - length)
-        sure = valid & (extension[:, before] >= length + t - grid[before])
-        possible = valid & (extension[:, after] >= length - (grid[after] - t)) & (grid[after] != t)
-        # Sorted again are all possible strings of a group at the places where one of them is open. What lies between
-        # two sure strings of a context changes nothing, as all of them cover its anchor.
-        left_of, right_of = sure.argmax(axis=1)[:, None], sure.shape[1] - 1 - sure[:, ::-1].argmax(axis=1)[:, None]
-        open_ones = possible & ~sure & wanted[:, None] & ~(sure.any(axis=1)[:, None] & (t > left_of) & (t < right_of))
-        part = self.groups[:, None] * len(t) + t
-        context, place = np.nonzero(possible & np.isin(part, np.unique(part[open_ones])))
-        good = self._neighbours(context, place) >= length
-        sure[context[good], place[good]] = True
-        return np.nonzero(sure & wanted[:, None])
+        m = len(self.first)
+        first, last = np.full(m, self.shift + 1), np.full(m, -1)  # outermost places found
+        low, high = self.first.copy(), self.last - self.length  # outermost places possible
+        context, place = np.arange(m), np.full(m, self.shift)
+        self._tighten(context, place, first, last, low, high, True)
+        self._tighten(context, place, first, last, low, high, False)
+        for back in (True, False):
+            while True:
+                open_ones = np.flatnonzero(wanted & (low <= high) & ((low < first) if back else (high > last)))
+                if not len(open_ones):
+                    break
+                # All contexts of a group that may have a string in common from the place in question on, or up to it.
+                asked = np.unique(self.groups[open_ones] * (self.shift + 1) + (low if back else high)[open_ones])
+                group, at = asked // (self.shift + 1), asked % (self.shift + 1)
+                begin, end = np.searchsorted(self.groups, group), np.searchsorted(self.groups, group, side="right")
+                size = end - begin
+                context = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - begin, size)
+                place = np.repeat(at, size)
+                may = (low <= high)[context] & (high[context] >= place if back else low[context] <= place)
+                context, place = context[may], place[may]
+                self._tighten(context, place + self.length if back else place, first, last, low, high, back)
+        found = np.flatnonzero(wanted & (last >= 0))
+        return np.concatenate([found, found]), np.concatenate([first[found], last[found]])
+
+    def _tighten(
+        self, context: np.ndarray, place: np.ndarray, first: np.ndarray, last: np.ndarray, low: np.ndarray, high: np.ndarray, back: bool
+    ) -> None:
+        """Sort the suffixes; note the outermost strings that neighbours share, and which places the most in common rules out."""
+        context, place, before, after, new = self._sorted(context, place, back)
+        later = np.flatnonzero(~new & (before + after >= self.length))
+        for one in (context[later - 1], context[later]):
+            np.minimum.at(first, one, place[later] - before[later])
+            np.maximum.at(last, one, place[later] + after[later] - self.length)
+        common = before if back else after
+        most = np.maximum(common, np.append(common[1:], 0))
+        if back:  # a string that begins at or before the place and does not end before it begins at most ``most`` symbols before
+            ruled = low[context] >= place - self.length
+            np.maximum.at(low, context[ruled], (place - most)[ruled])
+        else:
+            ruled = high[context] <= place
+            np.minimum.at(high, context[ruled], (place + most - self.length)[ruled])
+
 
     def repeated_earlier(self) -> tuple[np.ndarray, np.ndarray]:
         """``context, place`` of every string of the wanted length that also starts in an earlier context of its group."""
@@ -392,17 +441,6 @@ class SuffixShard:
         later = context > first
         return context[later], place[later]
 
-    def _neighbours(self, context: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """The longest common extension of each suffix with any other at its place in its group."""
-        key = context * self.bytes.shape[1] + place
-        sorted_context, sorted_place, common = self.sort(context, place)
-        best = np.maximum(common, np.append(common[1:], 0))
-        back = np.argsort(sorted_context * self.bytes.shape[1] + sorted_place)
-        out = np.empty(len(key), dtype="int64")
-        out[np.argsort(key)] = best[back]
-        return out
-
-
 class HashCollision(Exception):
     pass
 
@@ -438,8 +476,8 @@ def _sorted_rows(wanted: Sequence[Strings], keep_first: bool):
 
     def finish(table: pa.Table, hasher: Hasher) -> Iterator[pa.RecordBatch]:
         # Repeated rows of the input bring a context twice in a row; it is one place of the text.
-        pairs = list(zip(table.column("hash").to_pylist(), table.column("context").to_pylist()))
-        table = table.take(pa.array([i for i, p in enumerate(pairs) if not i or p != pairs[i - 1]]))
+        own, context = table.column("hash").to_numpy(), table.column("context").to_numpy()
+        table = table.take(pa.array(np.flatnonzero(np.append(True, (own[1:] != own[:-1]) | (context[1:] != context[:-1])))))
         kinds = table.column("kind").to_numpy()
         for kind in np.unique(kinds):
             some = table.take(pa.array(np.flatnonzero(kinds == kind)))

@@ -194,3 +194,64 @@ def test_sort_is_a_suffix_sort():
     for a, b, n in zip(order, order[1:], common[1:]):
         x, y = contexts[a][5:], contexts[b][5:]
         assert n == next((i for i, (p, q) in enumerate(zip(x, y)) if p != q), len(x))
+
+
+def _plain_ranges(contexts, left, groups, length, wanted):
+    """By every string of every context: what strings that another context of the group has at the same place cover."""
+    shift = length - length // 2
+    have = {}
+    for c, (body, l, g) in enumerate(zip(contexts, left, groups)):  # noqa: E741
+        for t in range(shift - l, shift - l + len(body) - length + 1):
+            have.setdefault((g, t, body[t - shift + l:][:length]), []).append(c)
+    out = [(0, 0)] * len(contexts)
+    for (_, t, _), some in have.items():
+        for c in some if len(some) > 1 else ():
+            low, high = out[c] if out[c] != (0, 0) else (t - shift, t - shift + length)
+            out[c] = (min(low, t - shift), max(high, t - shift + length))
+    return [r if w else (0, 0) for r, w in zip(out, wanted)]
+
+
+def _framed(rng, n, length, groups):
+    """Contexts of some anchors that have much in common with one another to either side, often with different ones."""
+    shift, block = length - length // 2, length // 2
+    sides = [["".join(rng.choice("ab") for _ in range(shift)) for _ in range(6)] for _ in range(2)]
+    rows = set()
+    while len(rows) < n:
+        cut = [rng.choice([0, 0, rng.randint(0, shift)]) for _ in range(2)]
+        mixed = ["".join(a if i < rng_cut else b for i, (a, b) in enumerate(zip(*rng.sample(s, 2))))
+                 for s, rng_cut in ((sides[0], rng.randint(0, shift)), (sides[1], rng.randint(0, shift)))]
+        before, after = mixed[0][cut[0]:], mixed[1][:shift - cut[1]]
+        if len(before) + len(after) + block >= length:
+            rows.add((rng.randrange(groups), len(before), (before + "c" * block + after).encode()))
+    rows = sorted(rows, key=lambda r: (r[0], rng.random()))
+    return [r[2] for r in rows], np.array([r[1] for r in rows]), np.array([r[0] for r in rows])
+
+
+@pytest.mark.parametrize("length", [6, 12, 40])
+def test_ranges_are_those_of_every_string(length):
+    rng = random.Random(length)
+    for _ in range(120):
+        contexts, left, groups = _framed(rng, 60 if length > 6 else 25, length, rng.choice([1, 3, 12]))
+        wanted = np.array([rng.random() < 0.8 for _ in contexts])
+        truth = _plain_ranges(contexts, left, groups, length, wanted)
+        low, high = suffix.covered_ranges(contexts, left, groups, length, wanted=wanted)
+        assert list(zip(low.tolist(), high.tolist())) == truth
+    spaced = [b" ".join(bytes([b]) for b in c) for c in contexts]
+    low, high = suffix.covered_ranges(spaced, left, groups, length, suffix.Hasher(1 << 14), wanted=wanted)
+    assert list(zip(low.tolist(), high.tolist())) == truth
+
+
+def test_few_suffixes_are_compared(monkeypatch):
+    """A context of an anchor that one other text shares takes a few comparisons, not some for each place of a grid."""
+    rng = random.Random(9)
+    contexts, left, groups = [], [], []
+    for g in range(50):
+        one = bytes(rng.choice(b"abcdefgh") for _ in range(600))
+        contexts += [one, one[:520] + bytes(rng.choice(b"ijkl") for _ in range(80))]
+        left += [200, 200]
+        groups += [g, g]
+    compared, real = [], suffix.SuffixShard.extension
+    monkeypatch.setattr(suffix.SuffixShard, "extension", lambda self, a, *more, **named: compared.append(len(a)) or real(self, a, *more, **named))
+    low, high = suffix.covered_ranges(contexts, np.array(left), np.array(groups), 400)
+    assert (low == -200).all() and (high == 320).all()
+    assert sum(compared) <= 8 * len(contexts)
