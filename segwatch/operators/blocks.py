@@ -16,7 +16,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -373,7 +372,7 @@ def _part_rows(df: DataFrame, centres: Centres, reach: np.ndarray) -> tuple[np.n
                 yield block(i)
         yield _sum_batch(sums, {})
 
-    parted = cut(df.select("body").mapInArrow(run, _schema(width) + ", body binary"), "parted")
+    parted = cut(df.select("body").mapInArrow(run, _schema(width) + ", body binary"), "parted", wide=True)
     sums = parted.where(F.col("cluster") != ACTIVE).groupBy("restart", "cluster").agg(
         *(F.sum(c).alias(c) for c in ("n", "near", "cost", *(f"s{f}" for f in range(width))))
     )
@@ -481,14 +480,11 @@ class BoundedLloyd:
         small = [i for i, n in enumerate(visited) if n <= bound]
         large = [i for i, n in enumerate(visited) if n > bound]
         self._in_one_task(moving, small, resting, active)
-        if large:
-            active = active.persist(StorageLevel.MEMORY_AND_DISK)
-            while left := [i for i in large if moving[i].tries < self.max_iter and not moving[i].rested()]:
-                sums = _pass(active.where(F.col("restart").isin(left)), Centres.of([r.points for r in moving]), np.zeros(len(moving)), cost=False, own=True)
-                self.passes.append(("visit", int(sums[:, :, 0].sum())))
-                for i in left:
-                    moving[i].move(sums[i] + resting[i], self.tol)
-            active.unpersist()
+        while left := [i for i in large if moving[i].tries < self.max_iter and not moving[i].rested()]:
+            sums = _pass(active.where(F.col("restart").isin(left)), Centres.of([r.points for r in moving]), np.zeros(len(moving)), cost=False, own=True)
+            self.passes.append(("visit", int(sums[:, :, 0].sum())))
+            for i in left:
+                moving[i].move(sums[i] + resting[i], self.tol)
 
     def _in_one_task(self, moving: list[Restart], which: list[int], resting: np.ndarray, active: DataFrame) -> None:
         """Each of these restarts goes on in one task, which gets its rows to be visited: a bounded number."""

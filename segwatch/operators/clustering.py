@@ -288,7 +288,7 @@ def spread(cached: DataFrame) -> DataFrame:
     cores = cached.sparkSession.sparkContext.defaultParallelism
     if cached.rdd.getNumPartitions() >= cores:
         return cached
-    dealt = cached.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+    dealt = cached.repartition(cores).persist(cached.storageLevel)
     dealt.count()
     cached.unpersist()
     return dealt
@@ -296,7 +296,7 @@ def spread(cached: DataFrame) -> DataFrame:
 
 def seed_centroids(df: DataFrame, features: Sequence[str], keys: Sequence[str], k: int, seed: int, n_init: int) -> list[Points]:
     """``n_init`` seedings of up to ``k`` rows each, drawn from the whole table; see ``blocks.draw_seeds``."""
-    return draw_seeds(cut(pack_rows(df, features, keys), "blocks"), len(features), k, seed, n_init)
+    return draw_seeds(cut(pack_rows(df, features, keys), "blocks", wide=True), len(features), k, seed, n_init)
 
 
 def fit_kmeans(
@@ -325,7 +325,7 @@ def fit_kmeans(
     mine = not (df.storageLevel.useMemory or df.storageLevel.useDisk)  # else the caller keeps it cached
     table = df.select(*extra, *(as_double(f).alias(f) for f in features))
     if mine:
-        table = table.persist(StorageLevel.MEMORY_AND_DISK)
+        table = table.persist(StorageLevel.DISK_ONLY)  # read twice
     try:
         moments = column_moments(table, features).collect()
         rows = moments[0]["n_rows"]
@@ -340,16 +340,13 @@ def fit_kmeans(
         if mine:
             table = spread(table)
         limit = tol * float(np.mean([r["std"] ** 2 for r in moments]))
-        blocks = cut(pack_rows(table, features, keys or features), "blocks")
-        starts = draw_seeds(blocks, len(features), k, seed, n_init)
-        blocks = blocks.select("n", "body").persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            best = min(BoundedLloyd(blocks, rows, max_iter, limit).run(starts), key=lambda s: s.cost)
-        finally:
-            blocks.unpersist()
+        blocks = cut(pack_rows(table, features, keys or features), "blocks", wide=True)
     finally:
         if mine:
             table.unpersist()
+    starts = draw_seeds(blocks, len(features), k, seed, n_init)
+    # Every pass reads the files: a copy in the executors' memory would take it from the rows that are being read.
+    best = min(BoundedLloyd(blocks.select("n", "body"), rows, max_iter, limit).run(starts), key=lambda s: s.cost)
     if len(best.points) < k:
         log.warning("found %d distinct centroids instead of %d", len(best.points), k)
     return Clustering(tuple(features), tuple(map(tuple, best.points.tolist())), best.cost, best.steps)

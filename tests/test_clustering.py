@@ -1,8 +1,11 @@
+import glob
 import hashlib
 import math
+import os
 
 import numpy as np
 import pandas as pd
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -10,6 +13,7 @@ from pyspark.sql import functions as F
 from reference_math import lloyd as numpy_lloyd
 from reference_math import nearest as numpy_nearest
 
+from segwatch.functions import storage
 from segwatch.functions.distance import nearest
 from segwatch.operators import clustering
 from segwatch.operators.clustering import assign, centroid_sums, fit_kmeans, lloyd, sorted_centroids
@@ -177,6 +181,26 @@ def test_one_model_on_any_partitioning(spark):
     assert models[0].inertia == pytest.approx(cost) and np.allclose(models[0].centroids, points)
 
 
+def test_a_task_of_the_fit_holds_a_bounded_group_of_blocks(spark, monkeypatch):
+    """A row group is decoded as a whole where it is read, and nothing else of the table is kept in memory meanwhile."""
+    monkeypatch.setattr(storage, "GROUP_BYTES", 1 << 20, raising=False)
+    df, names = frame(spark, np.random.default_rng(23).standard_normal((60_000, 16)), parts=1)
+    folder, cached = storage._session_folder(spark), []
+    before, whole = set(glob.glob(f"{folder}/*")), clustering.BoundedLloyd.run
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+
+    def run(self, starts):
+        cached.append(spark.sparkContext._jsc.getPersistentRDDs().size() - held)
+        return whole(self, starts)
+
+    monkeypatch.setattr(clustering.BoundedLloyd, "run", run)
+    fit_kmeans(df, names, k=2, n_init=1, max_iter=2, keys=["id"])
+    blocks = [f for d in set(glob.glob(f"{folder}/*")) - before if "/blocks-" in d for f in glob.glob(os.path.join(d, "*.parquet"))]
+    files = [pq.ParquetFile(f).metadata for f in blocks]
+    groups = [m.row_group(i).total_byte_size for m in files for i in range(m.num_row_groups)]
+    assert sum(groups) > 7 << 20 and max(groups) <= 3 << 20 and cached == [0]
+
+
 def test_fit_finds_separated_blobs(spark):
     blobs = generate_blobs(spark, 1200)
     names = [f"feature_{i}" for i in range(1, 5)]
